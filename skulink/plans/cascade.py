@@ -26,6 +26,7 @@ from skulink.functions.vectors import cosine
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
 from skulink.operators.embed import Encoder, text_vectors
 from skulink.operators.lookup import first_by_key
+from skulink.session import materialize
 
 SCALE = 100
 FIELDS = ["product_category", "product_sub_category", "product_id", "product_name",
@@ -111,8 +112,10 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
         raise ValueError(f"unknown band mode: {band}")
     if band == "assisted" and hits is None:
         raise ValueError("assisted band needs a hits table")
-    left = prepare_left(left, fold_case)
-    right = prepare_right(right, fold_case)
+    band_ks = grid.band_ks if band != "off" else []
+    plain_ks = [k for k in grid.ks if k not in set(band_ks)]
+    left = materialize(prepare_left(left, fold_case))
+    right = materialize(prepare_right(right, fold_case))
     vendors = vendors_of(right)
     if scorer is None:
         scorer = SetScorer(left_sets(left), right_sets(right), cfg)
@@ -126,8 +129,7 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
                 .withColumn("plain_score", F.when(F.col("uni").isNotNull(), inter / uni)
                             .otherwise(F.lit(0.0)))
                 .withColumn("plain_k", F.when(F.col("last_pos").isNotNull(),
-                                              _first_k(grid.plain_ks, inter, uni))))
-    band_ks = grid.band_ks if band != "off" else []
+                                              _first_k(plain_ks, inter, uni))))
     if band_ks:
         below = F.col("plain_k").isNull() | (F.col("plain_k") < min(band_ks))
         eligible = rows.where(below & F.col("last_pos").isNotNull())
@@ -162,6 +164,7 @@ def _pair_cosines(pairs: DataFrame, encoder, pooling, stop_words) -> DataFrame:
     ``pairs`` holds ``l_name, l_desc, r_name, r_desc``; every distinct text
     is embedded once and joined back.
     """
+    pairs = materialize(pairs)
     texts = (pairs.select(F.col("l_name").alias("text"))
              .unionByName(pairs.select(F.col("l_desc").alias("text")))
              .unionByName(pairs.select(F.col("r_name").alias("text")))

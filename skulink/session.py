@@ -66,3 +66,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     # the checkpoint dir holds one sub-folder per application; keep ours beside it
     return f"{os.path.dirname(base) or base}/skulink-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage at a reuse point with a reliable checkpoint.
+
+    The data goes to ``spark.checkpoint.dir`` (a shared folder on a
+    cluster), so a lost executor does not force recomputing the plan
+    behind it, and later plans start from a leaf instead of re-planning
+    the whole sub-tree.
+    """
+    ensure_checkpoint_dir(df.sparkSession, fallback="/tmp/skulink-checkpoints")
+    return df.checkpoint(eager=eager)
