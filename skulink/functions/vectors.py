@@ -17,6 +17,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(expr, fn) -> Column:
+    """Evaluate ``expr`` once and hand it to ``fn`` as a lambda variable.
+
+    Higher-order functions re-evaluate a column expression at every use
+    inside a lambda; binding it through a one-element ``transform`` keeps
+    pooling and normalisation linear in the vector size.
+    """
+    return F.element_at(F.transform(F.array(expr), fn), 1)
+
+
 def check_pooling(strategy: str) -> str:
     if strategy not in POOLING:
         raise ValueError(f"Unknown pooling strategy: {strategy}")
@@ -31,7 +41,10 @@ def pool_tokens(token_vectors, strategy: str = "mean") -> Column:
     gives an empty vector.
     """
     check_pooling(strategy)
-    tv = _c(token_vectors)
+    return let(_c(token_vectors), lambda tv: _pool(tv, strategy))
+
+
+def _pool(tv, strategy):
     if strategy == "cls":
         return F.when(F.size(tv) > 0, F.transform(F.element_at(tv, 1),
                                                    lambda x: x.cast("double"))) \
@@ -48,10 +61,10 @@ def pool_tokens(token_vectors, strategy: str = "mean") -> Column:
 
 def l2_normalize(v) -> Column:
     """Unit-length vector; a zero vector stays zero."""
-    v = _c(v)
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm)
-                       .otherwise(F.lit(0.0)))
+    return let(_c(v), lambda vv: let(
+        F.sqrt(F.aggregate(vv, F.lit(0.0), lambda a, x: a + x.cast("double") * x)),
+        lambda norm: F.transform(vv, lambda x: F.when(norm > 0, x.cast("double") / norm)
+                                 .otherwise(F.lit(0.0)))))
 
 
 def dot(a, b) -> Column:
@@ -61,7 +74,10 @@ def dot(a, b) -> Column:
 
 def cosine(a, b) -> Column:
     """Cosine similarity; 0 when either side is empty or zero."""
-    a, b = _c(a), _c(b)
+    return let(_c(a), lambda va: let(_c(b), lambda vb: _cos(va, vb)))
+
+
+def _cos(a, b):
     na = F.sqrt(dot(a, a))
     nb = F.sqrt(dot(b, b))
     return F.when((na > 0) & (nb > 0), dot(a, b) / (na * nb)).otherwise(F.lit(0.0))
