@@ -30,7 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skulink.functions.text import set_key
-from skulink.operators.skew import bounded_broadcast, salt_column, salt_replicas
+from skulink.functions.vectors import let
+from skulink.operators.skew import bounded_broadcast
+from skulink.session import materialize
+
 
 def _empty_str_array():
     return F.array().cast("array<string>")
@@ -39,32 +42,71 @@ def _empty_str_array():
 @dataclass(frozen=True)
 class JoinConfig:
     hot_limit: int = 5000        # right sets per (vendor, token) before a token is hot
-    salt_limit: int = 100_000    # left sets per token before the cold join is salted
-    n_salt: int = 32
+    salt_limit: int = 100_000    # pairs one token may emit per join task before it is split
+    n_salt: int = 64             # most buckets one token is split into
     max_broadcast_rows: int = 200_000
 
 
+def _key_words(key: str):
+    # the set key is the sorted words joined by a space, so it gives them back
+    return F.when(F.col(key) == "", _empty_str_array()).otherwise(F.split(key, " "))
+
+
 def left_sets(left: DataFrame, words: str = "words") -> DataFrame:
-    """Distinct left word sets: ``lkey, lwords, nl``."""
-    return (left.select(set_key(words).alias("lkey"), F.array_sort(words).alias("lwords"))
-            .groupBy("lkey").agg(F.first("lwords").alias("lwords"))
+    """Distinct left word sets: ``lkey, lwords, nl`` (a hash aggregate on the key)."""
+    return (left.select(set_key(words).alias("lkey")).distinct()
+            .withColumn("lwords", _key_words("lkey"))
             .withColumn("nl", F.size("lwords")))
 
 
 def right_sets(right: DataFrame, words: str = "words") -> DataFrame:
     """Distinct right word sets per vendor with their row ordinals."""
     return (right.groupBy("vendor", set_key(words).alias("rkey"))
-            .agg(F.first(F.array_sort(words)).alias("rwords"),
-                 F.min("pos").alias("min_pos"), F.max("pos").alias("max_pos"),
+            .agg(F.min("pos").alias("min_pos"), F.max("pos").alias("max_pos"),
                  F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("rwords", _key_words("rkey"))
             .withColumn("nr", F.size("rwords")))
 
 
+# Best-pair keys packed into longs, so the per-left-set maximum runs as a
+# hash aggregate (a struct maximum falls back to a sort-based aggregate).
+# A score inter/uni becomes the fixed point (inter << 20) div uni (at most
+# 2^20, so the packed long stays positive): exact and order-preserving while
+# unions stay below 1024 words (two different fractions then differ by more
+# than 2^-20).  Ordinals need < 2^42.
+FP_BITS, POS_BITS, CNT_BITS = 20, 42, 11
+MAX_UNION = 1024
+MAX_POS = (1 << POS_BITS) - 1
+
+
+def pos_key(inter, uni, pos):
+    """Orders pairs by score, then by right ordinal."""
+    fp = (F.shiftleft(inter.cast("long"), FP_BITS) / uni.cast("long")).cast("long")
+    return F.shiftleft(fp, POS_BITS).bitwiseOR(pos.cast("long"))
+
+
+def frac_key(inter, uni):
+    """Orders pairs by score and carries one (inter, uni) of that score."""
+    fp = (F.shiftleft(inter.cast("long"), FP_BITS) / uni.cast("long")).cast("long")
+    return (F.shiftleft(fp, 2 * CNT_BITS)
+            .bitwiseOR(F.shiftleft(inter.cast("long"), CNT_BITS))
+            .bitwiseOR(uni.cast("long")))
+
+
+def _decode(pkey, fkey):
+    """best_pos, inter, uni back out of the two packed keys."""
+    return (pkey.bitwiseAND(F.lit(MAX_POS)).alias("best_pos"),
+            F.shiftright(fkey, CNT_BITS).bitwiseAND(F.lit((1 << CNT_BITS) - 1)).alias("inter"),
+            fkey.bitwiseAND(F.lit((1 << CNT_BITS) - 1)).alias("uni"))
+
+
 class SetScorer:
     """Shared intermediate tables of one left-vs-right scoring job."""
 
-    def __init__(self, lsets: DataFrame, rsets: DataFrame, cfg: JoinConfig = JoinConfig()):
+    def __init__(self, lsets: DataFrame, rsets: DataFrame, cfg: JoinConfig = JoinConfig(),
+                 band_ks: list[int] | None = None):
         self.cfg = cfg
+        self.band_ks = list(band_ks or [])
         self.lsets = lsets
         rp = rsets.select("vendor", "rkey", F.explode("rwords").alias("token"))
         hot = (rp.groupBy("vendor", "token").count()
@@ -80,7 +122,14 @@ class SetScorer:
         else:
             rsets = rsets.withColumn("hot_r", _empty_str_array())
         self.rsets = rsets.withColumn("hkey_r", F.array_join("hot_r", " "))
+        # the packed keys need set sizes and ordinals inside their bit widths
+        sizes = (lsets.agg(F.max("nl")).first()[0] or 0,
+                 rsets.agg(F.max("nr"), F.max("max_pos")).first())
+        if sizes[0] + (sizes[1][0] or 0) >= MAX_UNION or (sizes[1][1] or 0) > MAX_POS:
+            raise ValueError("word-set unions of 1024 words or ordinals above 2^42 are not supported")
         self._cold = None
+        self._join = None
+        self._summary: dict = {}
         self._lgroups = None
         self._gpairs = None
 
@@ -94,31 +143,46 @@ class SetScorer:
         rp = self.rsets.select("vendor", "rkey", "rwords", "nr", "min_pos", "max_pos",
                                "hot_r", "hkey_r", F.explode("rwords").alias("token"))
         rp = rp.where(~F.array_contains("hot_r", F.col("token")))
-        heavy = (lp.groupBy("token").count()
-                 .where(F.col("count") > cfg.salt_limit).select("token"))
+        # A token emits df_left x df_right pairs; split tokens whose pair count
+        # exceeds ``salt_limit`` into buckets: left postings are spread by a
+        # hash of the set key, right postings are copied into every bucket.
+        # (AQE cannot see this skew: the join inputs are small, only the
+        # output explodes.)
+        dl = lp.groupBy("token").agg(F.count(F.lit(1)).alias("dl"))
+        dr = rp.groupBy("token").agg(F.count(F.lit(1)).alias("dr"))
+        cost = F.col("dl") * F.col("dr")
+        heavy = (dl.join(dr, "token").where(cost > cfg.salt_limit)
+                 .select("token", F.least(F.lit(cfg.n_salt),
+                                          F.ceil(cost / F.lit(cfg.salt_limit))).cast("int").alias("ns")))
         heavy_b, n_heavy = bounded_broadcast(heavy, cfg.max_broadcast_rows)
         if n_heavy:
-            flag = heavy_b.withColumn("heavy", F.lit(True))
-            lp = (lp.join(flag, "token", "left")
-                  .withColumn("salt", salt_column(F.col("lkey"), cfg.n_salt,
-                                                  F.coalesce("heavy", F.lit(False))))
-                  .drop("heavy"))
-            rp = (rp.join(flag, "token", "left")
-                  .withColumn("salt", salt_replicas(cfg.n_salt, F.coalesce("heavy", F.lit(False))))
-                  .drop("heavy"))
+            lp = (lp.join(heavy_b, "token", "left")
+                  .withColumn("salt", F.pmod(F.xxhash64("lkey"), F.coalesce("ns", F.lit(1))).cast("int"))
+                  .drop("ns"))
+            rp = (rp.join(heavy_b, "token", "left")
+                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("ns", F.lit(1)) - 1)))
+                  .drop("ns"))
             keys = ["token", "salt"]
         else:
             keys = ["token"]
         j = lp.join(rp, keys)
         cold_shared = F.array_intersect("lwords", F.array_except("rwords", "hot_r"))
-        j = j.where(F.col("token") == F.array_min(cold_shared))
-        inter = F.size(F.array_intersect("lwords", "rwords"))
-        self._cold = (j.select("vendor", "lkey", "rkey", "nl", "nr", "min_pos", "max_pos",
-                               "hkey_r", inter.alias("inter"),
-                               F.size(F.array_intersect("lwords", "hot_r")).alias("h"))
-                      .withColumn("uni", F.col("nl") + F.col("nr") - F.col("inter")))
+        self._join = j.where(F.col("token") == F.array_min(cold_shared))
+        self._cold = self._score(self._join)
         return self._cold
 
+    def _cold_join(self) -> DataFrame:
+        self.cold_pairs()
+        return self._join
+
+    @staticmethod
+    def _score(j: DataFrame) -> DataFrame:
+        inter = F.size(F.array_intersect("lwords", "rwords"))
+        return (j.select("vendor", "lkey", "rkey", "nl", "nr", "min_pos", "max_pos", "hkey_r",
+                         inter.alias("inter"),
+                         F.size(F.array_intersect("lwords", "hot_r")).alias("h"))
+                .withColumn("uni", F.col("nl") + F.col("nr") - F.col("inter")))
+
     # -- hot path ----------------------------------------------------------
     def left_groups(self) -> DataFrame:
         """(vendor, lkey) -> hot signature ``hkey_l`` for sets holding hot tokens."""
@@ -150,33 +214,66 @@ class SetScorer:
         return self._gpairs
 
     # -- results -----------------------------------------------------------
+    def cold_summary(self, band_ks: list[int] | None = None, scale: int = 100) -> DataFrame:
+        """One aggregation over the cold pairs per (vendor, lkey).
+
+        ``b``: best pair as struct(score, pos, inter, uni); ``bands``: for each
+        band grid value with an exact-score pair, struct(k, first_pos,
+        last_pos).  Conditional aggregates instead of filters keep the pair
+        scoring out of the join condition (a pushed-down filter would
+        re-evaluate the set intersection at every reference), and one
+        shuffle with partial aggregation serves both the best match and the
+        band.  The result is checkpointed once and shared by both.
+        """
+        ks = tuple(self.band_ks if band_ks is None else band_ks)
+        if (ks, scale) in self._summary:
+            return self._summary[(ks, scale)]
+        c = self.cold_pairs()
+        pk = pos_key(F.col("inter"), F.col("uni"), F.col("max_pos"))
+        fk = frac_key(F.col("inter"), F.col("uni"))
+        if not ks:
+            out = c.groupBy("vendor", "lkey").agg(F.max(pk).alias("pk"), F.max(fk).alias("fk"))
+        else:
+            # k is null for pairs off the band grid: at most len(ks)+1 groups
+            # per left set, then a second, small aggregation per left set
+            c = c.withColumn("k", _exact_k(F.col("inter"), F.col("uni"), scale, list(ks)))
+            g = c.groupBy("vendor", "lkey", "k").agg(
+                F.max(pk).alias("pk"), F.max(fk).alias("fk"),
+                F.min("min_pos").alias("first_pos"), F.max("max_pos").alias("last_pos"))
+            band = F.when(F.col("k").isNotNull(), F.struct("k", "first_pos", "last_pos"))
+            out = g.groupBy("vendor", "lkey").agg(
+                F.max("pk").alias("pk"), F.max("fk").alias("fk"),
+                F.collect_list(band).alias("bands"))
+        # one row per left set: small next to the pair table, and read by both
+        # the best match and the band; a reliable checkpoint keeps the pair
+        # join from running once per consumer (and survives executor loss)
+        out = materialize(out)
+        self._summary[(ks, scale)] = out
+        return out
+
     def best(self) -> DataFrame:
         """A1 per (vendor, lkey): highest score, then highest right ordinal.
 
-        Columns ``vendor, lkey, inter, uni, best_pos``; left sets sharing no
-        word with any right set are absent (their best score is 0).
+        Columns ``vendor, lkey, inter, uni, best_pos``; ``inter/uni`` equals
+        the best score (as a fraction it may come from another pair of the
+        same score, e.g. 3/9 for 2/6).  Left sets sharing no word with any
+        right set are absent (their best score is 0).
         """
-        c = self.cold_pairs()
-        key = F.struct((F.col("inter") / F.col("uni")).alias("s"),
-                       F.col("max_pos").cast("long").alias("p"),
-                       F.col("inter").cast("long").alias("inter"),
-                       F.col("uni").cast("long").alias("uni"))
-        cold_best = c.groupBy("vendor", "lkey").agg(F.max(key).alias("b"))
+        cold_best = self.cold_summary().select("vendor", "lkey", "pk", "fk")
         if not self.n_hot:
             best = cold_best
         else:
             g = self.group_pairs()
-            gkey = F.struct((F.col("h") / F.col("uni")).alias("s"),
-                            F.col("g_max_pos").cast("long").alias("p"),
-                            F.col("h").cast("long").alias("inter"),
-                            F.col("uni").cast("long").alias("uni"))
-            gbest = g.groupBy("vendor", "hkey_l", "nl").agg(F.max(gkey).alias("gb"))
+            gbest = g.groupBy("vendor", "hkey_l", "nl").agg(
+                F.max(pos_key(F.col("h"), F.col("uni"), F.col("g_max_pos"))).alias("gpk"),
+                F.max(frac_key(F.col("h"), F.col("uni"))).alias("gfk"))
             hot_best = (self.left_groups().join(gbest, ["vendor", "hkey_l", "nl"])
-                        .select("vendor", "lkey", "gb"))
+                        .select("vendor", "lkey", "gpk", "gfk"))
             best = (cold_best.join(hot_best, ["vendor", "lkey"], "full")
-                    .select("vendor", "lkey", F.greatest("b", "gb").alias("b")))
-        return best.select("vendor", "lkey", F.col("b.inter").alias("inter"),
-                           F.col("b.uni").alias("uni"), F.col("b.p").alias("best_pos"))
+                    .select("vendor", "lkey", F.greatest("pk", "gpk").alias("pk"),
+                            F.greatest("fk", "gfk").alias("fk")))
+        pos, inter, uni = _decode(F.col("pk"), F.col("fk"))
+        return best.select("vendor", "lkey", inter, uni, pos)
 
     def band(self, band_ks: list[int], scale: int = 100) -> DataFrame:
         """F2 + A2 + A3 per (vendor, lkey, k) for the band grid values.
@@ -184,11 +281,11 @@ class SetScorer:
         ``first_pos`` = lowest ordinal and ``last_pos`` = highest ordinal of
         a right row whose score is exactly ``k/scale``.
         """
-        c = self.cold_pairs()
-        exact_k = _exact_k(F.col("inter"), F.col("uni"), scale, band_ks)
-        a = (c.withColumn("k", exact_k).where(F.col("k").isNotNull())
-             .groupBy("vendor", "lkey", "k")
-             .agg(F.min("min_pos").alias("first_pos"), F.max("max_pos").alias("last_pos")))
+        a = (self.cold_summary(band_ks, scale)
+             .select("vendor", "lkey", F.explode("bands").alias("x"))
+             .select("vendor", "lkey", F.col("x.k").alias("k"),
+                     F.col("x.first_pos").alias("first_pos"),
+                     F.col("x.last_pos").alias("last_pos")))
         if not self.n_hot:
             return a
         lo = self._band_hot(band_ks, scale, "min")
@@ -259,8 +356,11 @@ class SetScorer:
 
     def pairs_at_least(self, min_k: int, scale: int = 100) -> DataFrame:
         """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni."""
-        c = self.cold_pairs().where(F.lit(scale) * F.col("inter") >= F.lit(min_k) * F.col("uni"))
-        out = c.select("vendor", "lkey", "rkey", "inter", "uni")
+        # floor tested on the raw join rows with the intersection bound once,
+        # so the filter pushed into the join evaluates it once
+        ok = let(F.size(F.array_intersect("lwords", "rwords")),
+                 lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
+        out = self._score(self._cold_join().where(ok)).select("vendor", "lkey", "rkey", "inter", "uni")
         if not self.n_hot:
             return out
         g = (self.group_pairs()

@@ -66,14 +66,14 @@ class Grid:
 
 def prepare_left(left: DataFrame, fold_case: bool = False) -> DataFrame:
     """Left rows with word set, set key and the description by id."""
-    left = left.withColumn("words", name_words("product_name", fold_case))
+    left = left.drop("words", "desc_by_id").withColumn("words", name_words("product_name", fold_case))
     desc = first_by_key(left, "product_id", "pos", "product_desc").withColumnRenamed(
         "product_desc", "desc_by_id")
     return left.join(desc, "product_id", "left")
 
 
 def prepare_right(right: DataFrame, fold_case: bool = False) -> DataFrame:
-    return right.withColumn("words", name_words("product_name", fold_case))
+    return right.drop("words").withColumn("words", name_words("product_name", fold_case))
 
 
 def vendors_of(right: DataFrame, max_vendors: int = 10_000) -> list[str]:
@@ -118,7 +118,7 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
     right = materialize(prepare_right(right, fold_case))
     vendors = vendors_of(right)
     if scorer is None:
-        scorer = SetScorer(left_sets(left), right_sets(right), cfg)
+        scorer = SetScorer(left_sets(left), right_sets(right), cfg, band_ks=band_ks)
     lv = per_vendor(left, vendors).withColumn("lkey", F.array_join(F.array_sort("words"), " "))
     last = F.broadcast(right.groupBy("vendor").agg(F.max("pos").alias("last_pos")))
     rows = (lv.join(scorer.best(), ["vendor", "lkey"], "left")

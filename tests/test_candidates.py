@@ -1,6 +1,7 @@
 """J1 scoring join against brute force, with and without hot tokens."""
 
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,8 +63,8 @@ def test_scorer_matches_brute_force(spark, seed, hot_limit):
     if hot_limit < 10:
         assert sc.n_hot > 0
     best, band, pairs = _brute({tuple(w) for w in lws}, rrows)
-    got_best = {r.lkey: (r.inter, r.uni, r.best_pos) for r in sc.best().collect()}
-    assert got_best == best
+    got_best = {r.lkey: (Fraction(r.inter, r.uni), r.best_pos) for r in sc.best().collect()}
+    assert got_best == {k: (Fraction(i, u), p) for k, (i, u, p) in best.items()}
     got_band = {(r.lkey, r.k): (r.first_pos, r.last_pos) for r in sc.band(BAND).collect()}
     assert got_band == band
     got_pairs = {(r.lkey, r.rkey, r.inter, r.uni) for r in sc.pairs_at_least(25).collect()}
