@@ -167,8 +167,10 @@ def tokenize(x) -> Column:
 def remove_stop_words(tokens, stop_words=None) -> Column:
     """drop stop words, keeping order and duplicates."""
     stop = ENGLISH_STOP_WORDS if stop_words is None else list(stop_words)
-    stop_arr = F.array(*[F.lit(w) for w in stop]) if stop else F.array().cast("array<string>")
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stop_arr, t))
+    if not stop:
+        return _c(tokens)
+    # a long IN list is planned as a hash-set lookup (InSet), not a scan
+    return F.filter(_c(tokens), lambda t: ~t.isin(*stop))
 
 
 def stop_filtered_text(x, stop_words=None) -> Column:

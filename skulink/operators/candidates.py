@@ -247,7 +247,8 @@ class SetScorer:
         # one row per left set: small next to the pair table, and read by both
         # the best match and the band; a reliable checkpoint keeps the pair
         # join from running once per consumer (and survives executor loss)
-        out = materialize(out)
+        if not getattr(self, "_single_use", False):
+            out = materialize(out)
         self._summary[(ks, scale)] = out
         return out
 
@@ -354,6 +355,41 @@ class SetScorer:
         agg = F.min("v") if asc else F.max("v")
         return allv.groupBy("vendor", "lkey", "k").agg(agg.alias(out))
 
+    def restrict(self, active_lsets: DataFrame, pool_rsets: DataFrame,
+                 band_ks: list[int] | None = None) -> "SetScorer":
+        """A scorer over a shrunken problem sharing this one's pair table.
+
+        For the exclusion loop: the left sets still active and the right
+        sets still in the pool (``right_sets`` of the remaining rows, whose
+        ordinals may have changed).  The token join is not run again: the
+        checkpointed cold pairs are filtered and re-stamped with the pool's
+        ordinals; the hot-token classification is kept (any fixed split
+        into hot and cold tokens is exact).
+        """
+        base = self.materialized_cold()
+        new = object.__new__(SetScorer)
+        new.cfg, new.hot, new.n_hot = self.cfg, self.hot, self.n_hot
+        new.band_ks = list(self.band_ks if band_ks is None else band_ks)
+        new.lsets = active_lsets
+        hot_cols = self.rsets.select("vendor", "rkey", "hot_r", "hkey_r")
+        new.rsets = pool_rsets.join(hot_cols, ["vendor", "rkey"])
+        pos = pool_rsets.select("vendor", "rkey", "min_pos", "max_pos")
+        new._cold = (base.drop("min_pos", "max_pos").join(pos, ["vendor", "rkey"])
+                     .join(active_lsets.select("lkey"), "lkey", "left_semi"))
+        new._join = None
+        new._summary = {}
+        new._lgroups = (self.left_groups().join(active_lsets.select("lkey"), "lkey", "left_semi")
+                        if self.n_hot else None)
+        new._gpairs = None
+        new._single_use = True   # one consumer per round: no checkpoint of the summary
+        return new
+
+    def materialized_cold(self) -> DataFrame:
+        """The cold pair table, checkpointed once (the exclusion loop reads it every round)."""
+        if getattr(self, "_cold_mat", None) is None:
+            self._cold_mat = materialize(self.cold_pairs())
+        return self._cold_mat
+
     def pairs_at_least(self, min_k: int, scale: int = 100) -> DataFrame:
         """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni."""
         # floor tested on the raw join rows with the intersection bound once,
