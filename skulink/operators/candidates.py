@@ -390,8 +390,57 @@ class SetScorer:
             self._cold_mat = materialize(self.cold_pairs())
         return self._cold_mat
 
+    def prefix_pairs(self, min_k: int, scale: int = 100) -> DataFrame:
+        """Set pairs with ``inter/uni >= min_k/scale`` by prefix filtering.
+
+        Tokens are ordered by ascending document frequency (ties by text);
+        a set of size n only indexes its first ``n - ceil(t*n) + 1`` tokens,
+        and two sets reaching Jaccard t must share one of those (the prefix
+        filter of the set-similarity-join literature), so frequent tokens
+        rarely enter the join.  A size filter drops pairs whose sizes alone
+        rule the threshold out.  Candidates are kept once (smallest shared
+        prefix token) and verified exactly.
+        """
+        lp = self.lsets.select("lkey", F.explode("lwords").alias("token"))
+        rp = self.rsets.select("vendor", "rkey", F.explode("rwords").alias("token"))
+        df = (lp.select("token").unionByName(rp.select("token"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+
+        def prefixed(sets, key, words, n, extra):
+            p = (sets.select(*extra, key, F.explode(words).alias("token")).join(df, "token")
+                 .groupBy(*extra, key)
+                 .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o")))
+            size = F.size("o")
+            plen = size - ((F.lit(min_k) * size + scale - 1) / F.lit(scale)).cast("int") + 1
+            return p.select(*extra, key, F.transform(F.slice("o", 1, plen), lambda x: x["token"]).alias("pre"))
+
+        lpre = prefixed(self.lsets, "lkey", "lwords", "nl", [])
+        rpre = prefixed(self.rsets, "rkey", "rwords", "nr", ["vendor"])
+        lx = (lpre.join(self.lsets, "lkey")
+              .select("lkey", "lwords", "nl", "pre", F.explode("pre").alias("token")))
+        rx = (rpre.join(self.rsets, ["vendor", "rkey"])
+              .select("vendor", "rkey", "rwords", "nr", F.col("pre").alias("rpre"),
+                      F.explode("pre").alias("token")))
+        size_ok = ((F.lit(scale) * F.col("nr") >= F.lit(min_k) * F.col("nl"))
+                   & (F.lit(min_k) * F.col("nr") <= F.lit(scale) * F.col("nl")))
+        j = (lx.join(rx, "token").where(size_ok)
+             .where(F.col("token") == F.array_min(F.array_intersect("pre", "rpre"))))
+        ok = let(F.size(F.array_intersect("lwords", "rwords")),
+                 lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
+        inter = F.size(F.array_intersect("lwords", "rwords"))
+        return (j.where(ok).select("vendor", "lkey", "rkey", inter.alias("inter"), "nl", "nr")
+                .select("vendor", "lkey", "rkey", "inter",
+                        (F.col("nl") + F.col("nr") - F.col("inter")).alias("uni")))
+
     def pairs_at_least(self, min_k: int, scale: int = 100) -> DataFrame:
-        """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni."""
+        """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni.
+
+        Without hot tokens and with a positive floor this is the prefix-filtered
+        join; otherwise every pair sharing a cold token is verified and hot-only
+        pairs come from the group scores.
+        """
+        if not self.n_hot and min_k > 0 and not getattr(self, "_single_use", False):
+            return self.prefix_pairs(min_k, scale)
         # floor tested on the raw join rows with the intersection bound once,
         # so the filter pushed into the join evaluates it once
         ok = let(F.size(F.array_intersect("lwords", "rwords")),

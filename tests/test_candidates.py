@@ -87,3 +87,23 @@ def test_no_cross_join_in_plan(spark):
     plan = sc.best()._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F is not None
+
+
+@pytest.mark.parametrize("seed,min_k", [(5, 25), (6, 50), (7, 80), (8, 1)])
+def test_prefix_filter_join_is_exact(spark, seed, min_k):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(10)]
+    lws = _random_sets(rng, 50, vocab, ["H1", "H2"])
+    rws = _random_sets(rng, 70, vocab, ["H1", "H2"])
+    left = spark.createDataFrame([(i, w) for i, w in enumerate(lws)], "pos long, words array<string>")
+    right = spark.createDataFrame([("V", i, w) for i, w in enumerate(rws)],
+                                  "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(left), right_sets(right))
+    want = set()
+    for lw in {tuple(w) for w in lws}:
+        for rw in {tuple(w) for w in rws}:
+            i, u = len(set(lw) & set(rw)), len(set(lw) | set(rw))
+            if i and 100 * i >= min_k * u:
+                want.add((" ".join(sorted(lw)), " ".join(sorted(rw)), i, u))
+    got = {(r.lkey, r.rkey, r.inter, r.uni) for r in sc.prefix_pairs(min_k).collect()}
+    assert got == want
