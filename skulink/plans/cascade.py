@@ -40,6 +40,7 @@ class Grid:
     step: float = 0.01
     band_lo: float = 0.30
     band_hi: float = 0.40
+    stop: float = 0.00      # last round (Q5: stop before 0.00 to leave weak rows unmatched)
 
     def __post_init__(self):
         s, st = self.start * SCALE, self.step * SCALE
@@ -51,7 +52,7 @@ class Grid:
     @property
     def ks(self) -> list[int]:
         start, step = round(self.start * SCALE), round(self.step * SCALE)
-        return list(range(start, -1, -step))
+        return list(range(start, round(self.stop * SCALE) - 1, -step))
 
     @property
     def band_ks(self) -> list[int]:
@@ -94,7 +95,7 @@ def per_vendor(left: DataFrame, vendors: list[str]) -> DataFrame:
 def _first_k(ks: list[int], inter, uni) -> F.Column:
     """Largest grid value in ``ks`` (descending) reached by ``inter/uni``."""
     arr = F.array(*[F.lit(k) for k in ks]) if ks else F.array().cast("array<int>")
-    return F.element_at(F.filter(arr, lambda k: F.lit(SCALE) * inter >= k * uni), 1)
+    return F.try_element_at(F.filter(arr, lambda k: F.lit(SCALE) * inter >= k * uni), F.lit(1))
 
 
 def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str = "direct",
@@ -233,13 +234,17 @@ def _assisted_band(cands: DataFrame, right: DataFrame, hits: DataFrame, encoder,
 # ---------------------------------------------------------------------------
 # Output shaping
 
-def attach_rows(result: DataFrame, right: DataFrame) -> DataFrame:
-    """Left fields, matched right fields, score, round, agreement label."""
+def attach_rows(result: DataFrame, right: DataFrame, measure_mode: str = "as_written") -> DataFrame:
+    """Left fields, matched right fields, score, round, agreement label.
+
+    ``measure_mode="value"`` compares whole numbers and lower-cased units (Q3).
+    """
     r = right.select("vendor", F.col("pos").alias("match_pos"),
                      *[F.col(f).alias(f"right_{f}") for f in FIELDS])
     out = result.join(r, ["vendor", "match_pos"], "left")
     lab = agreement(color_set("product_name"), color_set("right_product_name"),
-                    measure_set("product_name"), measure_set("right_product_name"))
+                    measure_set("product_name", measure_mode),
+                    measure_set("right_product_name", measure_mode))
     return out.select(
         "vendor", F.col("pos").alias("left_pos"),
         *[F.col(f).alias(f"left_{f}") for f in FIELDS],
