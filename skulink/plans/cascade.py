@@ -282,3 +282,16 @@ def prefixed(df: DataFrame, left_label: str, vendor_label: str) -> DataFrame:
     cols += [F.col(f"right_{f}").alias(f"{vendor_label}_{f}") for f in FIELDS]
     cols.append(F.col("score").alias(f"{vendor_label}_Match_Score"))
     return df.select(*cols)
+
+
+def require_agreement(matches: DataFrame, level: str = "both") -> DataFrame:
+    """Q2 option: keep accepted matches whose colours (and measures) agree.
+
+    ``level="both"`` keeps only full agreement, ``"colors"`` also keeps a
+    measure mismatch.  The cascade itself never uses the label, as written.
+    """
+    from skulink.functions.text import AGREE_BOTH, AGREE_COLORS_ONLY
+    ok = [AGREE_BOTH] if level == "both" else [AGREE_BOTH, AGREE_COLORS_ONLY]
+    if level not in ("both", "colors"):
+        raise ValueError(f"unknown agreement level: {level}")
+    return matches.where(F.col("agreement").isin(*ok))

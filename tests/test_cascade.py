@@ -118,3 +118,11 @@ def test_grid_validation():
     for bad in (0.0, -0.01, 0.005):
         with pytest.raises(ValueError):
             cz.Grid(step=bad)
+
+
+def test_require_agreement(spark):
+    left = catalogue(spark, [(0, "red tube 5 mL"), (2, "red tube 5 mm"), (4, "blue tube")], vendor="Base")
+    right = catalogue(spark, [(1, "red tube 9 mL")])
+    out = cz.attach_rows(cz.match_none(left, right, band="off"), right)
+    assert sorted(r.left_pos for r in cz.require_agreement(out).collect()) == [0]
+    assert sorted(r.left_pos for r in cz.require_agreement(out, "colors").collect()) == [0, 2]
