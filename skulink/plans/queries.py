@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from skulink.functions import text as tx
 from skulink.functions import vectors as vx
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
-from skulink.operators.consolidate import consolidate_by_left, consolidate_by_pair
+from skulink.operators.consolidate import (consolidate_by_left, consolidate_by_pair,
+                                           consolidate_matches)
 from skulink.operators.embed import text_vectors
 from skulink.operators.lookup import exclude_rows, first_by_key
 from skulink.plans import cascade as cz
@@ -286,8 +287,7 @@ def q_round_output(spark, sf):
 
 
 def q_consolidate_by_left(spark, sf):
-    rnd = cz.round_output(_banded_rows(spark, sf))
-    c = consolidate_by_left(rnd)
+    c = consolidate_matches(_banded_rows(spark, sf), cz.Grid().ks[-1])
     return c.select("left_product_id", "left_product_name", "threshold", "right_product_id",
                     "right_product_name", r6("score").alias("score"))
 
