@@ -126,3 +126,16 @@ def test_require_agreement(spark):
     out = cz.attach_rows(cz.match_none(left, right, band="off"), right)
     assert sorted(r.left_pos for r in cz.require_agreement(out).collect()) == [0]
     assert sorted(r.left_pos for r in cz.require_agreement(out, "colors").collect()) == [0, 2]
+
+
+@pytest.mark.parametrize("policy", ["matched", "last_scanned"])
+def test_assisted_exclusion_matches_model(spark, fixture_rows, policy):
+    L, R, lrows, rrows = fixture_rows
+    hits = fx.fixture_hits(spark, SF0001)
+    hd = {}
+    for h in sorted(hits.collect(), key=lambda r: r["rank"]):
+        hd.setdefault(h.query_key, []).append(h.product_id)
+    want = model.run(lrows, rrows, step=2, mode="assisted", policy=policy, hits=hd)
+    got = match_excluding(L, R, policy, grid=cz.Grid(step=0.02), band="assisted", hits=hits,
+                          hit_key="product_id")
+    _same(_spark_result(got), want)
