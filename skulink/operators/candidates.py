@@ -9,9 +9,12 @@ Never a cross join.  The plan:
    hold it.  Tokens that are not hot are *cold*.
 3. Cold path: an inverted-index equi-join on cold tokens.  Each cold
    token joins at most ``hot_limit`` right sets, so the pairs it emits are
-   bounded per left set; tokens heavy on the left side are salted.  A pair
+   bounded per left set; a token whose pair output (left sets x right
+   sets) is large is split over several join tasks (salting).  A pair
    sharing several cold tokens is kept once (at its smallest shared cold
    token, no shuffle) and scored exactly with ``array_intersect``.
+   Thresholded pair lists use the prefix filter instead when no token is
+   hot.
 4. Hot path: pairs that share only hot tokens are never listed one by
    one.  Right sets are grouped by (hot words, size), left sets likewise;
    group pairs give the score ``h / (n_l + n_r - h)`` of every member pair

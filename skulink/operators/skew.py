@@ -1,4 +1,4 @@
-"""Size-checked broadcast and salting helpers."""
+"""Size-checked broadcast."""
 
 from __future__ import annotations
 
@@ -17,14 +17,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     """
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
-
-
-def salt_column(key_col, n_salt: int, heavy: F.Column) -> F.Column:
-    """Salt for the big side: spread heavy keys over ``n_salt`` buckets."""
-    return F.when(heavy, F.pmod(F.xxhash64(key_col), F.lit(n_salt))).otherwise(F.lit(0)).cast("int")
-
-
-def salt_replicas(n_salt: int, heavy: F.Column) -> F.Column:
-    """Replica salts for the small side: every bucket for heavy keys, else 0."""
-    return F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(n_salt - 1)))
-                     .otherwise(F.array(F.lit(0))))

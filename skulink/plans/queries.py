@@ -15,7 +15,6 @@ from skulink.functions import vectors as vx
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
 from skulink.operators.consolidate import (consolidate_by_left, consolidate_by_pair,
                                            consolidate_matches)
-from skulink.operators.embed import text_vectors
 from skulink.operators.lookup import exclude_rows, first_by_key
 from skulink.plans import cascade as cz
 from skulink.plans.exclusion import CONTENT, match_excluding
