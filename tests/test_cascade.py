@@ -139,3 +139,27 @@ def test_assisted_exclusion_matches_model(spark, fixture_rows, policy):
     got = match_excluding(L, R, policy, grid=cz.Grid(step=0.02), band="assisted", hits=hits,
                           hit_key="product_id")
     _same(_spark_result(got), want)
+
+
+def test_duplicate_left_id_uses_first_description(spark):
+    # both left rows share id P0: the band scores the first row's description
+    left = catalogue(spark, [(0, "kilo lima mike", "glass beaker heat", "P0"),
+                             (2, "kilo lima mike", "unrelated words only", "P0")], vendor="Base")
+    right = catalogue(spark, [(1, "kilo lima november oscar", "glass beaker heat")])
+    got = _spark_result(cz.match_none(left, right, band="direct"))
+    want = model.run(_rows(left), _rows(right), mode="direct")
+    _same(got, want)
+    assert got[0] == got[2]
+
+
+@pytest.mark.parametrize("policy", ["matched", "last_scanned"])
+def test_duplicate_right_rows_leave_together(spark, policy):
+    left = catalogue(spark, [(0, "alpha beta"), (2, "alpha beta"), (4, "alpha gamma"),
+                             (6, "delta"), (8, "alpha beta gamma")], vendor="Base")
+    rows = [(1, "alpha beta", "d", "X1"), (3, "alpha beta", "d", "X1"), (5, "alpha gamma"),
+            (7, "delta epsilon"), (9, "zeta")]
+    right = catalogue(spark, rows)
+    grid = cz.Grid(step=0.1)
+    got = _spark_result(match_excluding(left, right, policy, grid=grid, band="direct"))
+    want = model.run(_rows(left), _rows(right), step=10, mode="direct", policy=policy)
+    _same(got, want)
