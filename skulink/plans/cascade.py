@@ -141,8 +141,10 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
             acc = _direct_band(cands, right, encoder, pooling, stop_words)
         else:
             acc = _assisted_band(cands, right, hits, encoder, pooling, stop_words)
+        # at most one accepted row per band round and left row, so the list
+        # is bounded (<= 11): a hash-based object aggregate, not a sort
         best_band = acc.groupBy("vendor", "pos").agg(
-            F.max(F.struct("k", "b_pos", "b_score")).alias("bb"))
+            F.array_max(F.collect_list(F.struct("k", "b_pos", "b_score"))).alias("bb"))
         rows = rows.join(best_band, ["vendor", "pos"], "left")
         use_band = F.col("bb").isNotNull() & (F.col("plain_k").isNull()
                                               | (F.col("bb.k") > F.col("plain_k")))
