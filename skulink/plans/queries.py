@@ -16,6 +16,7 @@ from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right
 from skulink.operators.consolidate import (consolidate_by_left, consolidate_by_pair,
                                            consolidate_matches)
 from skulink.operators.lookup import exclude_rows, first_by_key
+from skulink.operators.pooling import pool_groups
 from skulink.plans import cascade as cz
 from skulink.plans.exclusion import CONTENT, match_excluding
 from skulink.sources import fixture as fx
@@ -154,19 +155,10 @@ def _label_tokens(spark, sf):
 
 
 def _pool_grouped(spark, sf, strategy):
-    """A9 over a grouped table: token vectors = a label's rows in vec_id order.
-
-    Mean and max are per-dimension aggregates with partial combine; cls is
-    the lowest vec_id's vector.  No group is collected into one array.
-    """
-    e = _label_tokens(spark, sf)
-    if strategy == "cls":
-        first = first_by_key(e, "label", "vec_id", "embedding")
-        return first.select("label", F.posexplode("embedding").alias("dim", "value")).select(
-            "label", "dim", r6(F.col("value").cast("double")).alias("value"))
-    x = e.select("label", F.posexplode("embedding").alias("dim", "value"))
-    agg = F.avg(F.col("value").cast("double")) if strategy == "mean" else F.max(F.col("value").cast("double"))
-    return x.groupBy("label", "dim").agg(r6(agg).alias("value"))
+    """A9 over a grouped table: a label's rows in vec_id order are its token vectors."""
+    pooled = pool_groups(_label_tokens(spark, sf), "label", "vec_id", "embedding", strategy)
+    return (pooled.select("label", F.posexplode("pooled").alias("dim", "value"))
+            .select("label", "dim", r6("value").alias("value")))
 
 
 def q_pool_mean(spark, sf):
