@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default the headline set).
+BENCH_QUERIES (comma list, default the headline set), BENCH_EVENT_LOG (an
+existing folder for Spark's event log; off by default).
 Each query runs to completion through a ``noop`` sink (nothing is
 collected to the driver); the time includes planning and every job the
 query starts (size checks, checkpoints).
@@ -37,9 +38,13 @@ def main() -> None:
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     from skulink.plans.queries import QUERIES
     from skulink.session import get_spark
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times for later analysis, written to a scratch folder
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_spark(f"local[{cpus}]", app_name="skulink-bench",
-                      shuffle_partitions=max(8, 2 * cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                      shuffle_partitions=max(8, 2 * cpus), extra=extra)
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()

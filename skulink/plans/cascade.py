@@ -197,8 +197,14 @@ def _direct_band(cands: DataFrame, right: DataFrame, encoder, pooling, stop_word
 
 
 def hit_rows(hits: DataFrame, right: DataFrame) -> DataFrame:
-    """Each hit id -> first right row (lowest ``pos``) with that id."""
-    first = first_by_key(right, ["vendor", "product_id"], "pos", ["product_name", "product_desc"])
+    """Each hit id -> first right row (lowest ``pos``) with that id.
+
+    The catalogue is cut to the ids that occur in the hits (a semi join)
+    before the first-row aggregation, so its cost follows the hits.
+    """
+    wanted = right.join(hits.select("vendor", "product_id").distinct(),
+                        ["vendor", "product_id"], "left_semi")
+    first = first_by_key(wanted, ["vendor", "product_id"], "pos", ["product_name", "product_desc"])
     return hits.join(first, ["vendor", "product_id"])
 
 

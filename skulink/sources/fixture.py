@@ -44,8 +44,9 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     k = F.col("p_partkey")
-    nw = _doc_words(spark, sf_dir).select(F.col("doc_id").alias("n_doc"), F.col("w").alias("nw"))
-    dw = _doc_words(spark, sf_dir).select(F.col("doc_id").alias("d_doc"), F.col("w").alias("dw"))
+    words = _doc_words(spark, sf_dir)   # one broadcast, used for names and descriptions
+    nw = words.select(F.col("doc_id").alias("n_doc"), F.col("w").alias("nw"))
+    dw = words.select(F.col("doc_id").alias("d_doc"), F.col("w").alias("dw"))
     p = (p.join(nw, nw.n_doc == k % N_NAME_DOCS)
           .join(dw, dw.d_doc == (k * 3) % N_NAME_DOCS))
     name_words = F.array_join(
