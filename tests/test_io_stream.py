@@ -107,3 +107,10 @@ def test_stream_matches_batches_and_skips_done(spark, tmp_path):
     q = match_stream(spark, src + "/*", R, out, cp, band="off")
     q.awaitTermination(300)
     assert n0 == want.count() and spark.read.parquet(out).count() == n0
+
+
+def test_scan_ordinal_is_consecutive_in_order(spark):
+    df = spark.range(0, 1000, 1, numPartitions=7).withColumn("v", F.col("id") * 3)
+    got = ct.with_scan_ordinal(df).orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1000))
+    assert [r.id for r in got] == list(range(1000))
