@@ -22,6 +22,7 @@ from skulink.plans.exclusion import CONTENT, match_excluding
 from skulink.sources import fixture as fx
 from skulink.sources import pages as pg
 from skulink.sources import resume as rs
+from skulink.session import materialize
 
 FLOOR_K = 41          # minimum slice: accept a best match at 0.41 or more
 SENTINEL_K = 50       # the single round shown by sentinel_left_outer
@@ -40,8 +41,9 @@ def _lr(spark, sf):
 
 
 def _scorer(left, right, cfg=JoinConfig()):
-    L = left.withColumn("words", tx.name_words("product_name"))
-    R = right.withColumn("words", tx.name_words("product_name"))
+    # standardised catalogues feed several branches: materialise them once
+    L = materialize(left.withColumn("words", tx.name_words("product_name")))
+    R = materialize(right.withColumn("words", tx.name_words("product_name")))
     return L, R, SetScorer(left_sets(L), right_sets(R), cfg)
 
 
