@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skulink.session import materialize
+
 MAX_BROADCAST_ROWS = 200_000
 
 
@@ -15,5 +17,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     limit the frame is returned as is and the join stays a shuffle join
     (AQE may still pick broadcast from runtime statistics).
     """
+    # the list is an aggregate over all postings: checkpoint it so the count
+    # and the join read the result instead of aggregating twice
+    df = materialize(df)
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
