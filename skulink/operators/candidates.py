@@ -19,7 +19,9 @@ Never a cross join.  The plan:
    one.  Right sets are grouped by (hot words, size), left sets likewise;
    group pairs give the score ``h / (n_l + n_r - h)`` of every member pair
    without a cold overlap.  Members with a cold overlap are already exact
-   on the cold path and are removed by rank arithmetic where needed.
+   on the cold path and are removed by rank arithmetic where needed.  For
+   the best match only the smallest set of each hot signature can win, so
+   left groups pair with right signatures there.
 
 Scores are compared as integers: ``inter/uni >= k/100`` iff
 ``100*inter >= k*uni``.
@@ -216,6 +218,34 @@ class SetScorer:
                             .withColumn("uni", F.col("nl") + F.col("nr") - F.col("h")))
         return self._gpairs
 
+    def _signature_pairs(self) -> DataFrame:
+        """Hot-only candidates for the best match, one per right *signature*.
+
+        For a left group and a right hot signature the shared count ``h`` is
+        fixed, so ``h / (n_l + n_r - h)`` is highest for the smallest right
+        set; equal sizes are one group, whose highest ordinal breaks ties.
+        So each signature keeps only its smallest size (packed key: size,
+        then highest ordinal), and left groups pair with signatures instead
+        of (signature, size) groups.
+        """
+        rs = self.rsets.where(F.size("hot_r") > 0)
+        packed = F.shiftleft(F.col("nr").cast("long"), POS_BITS).bitwiseOR(
+            F.lit(MAX_POS) - F.col("max_pos").cast("long"))
+        sig = (rs.groupBy("vendor", "hkey_r")
+               .agg(F.min(packed).alias("_k"))
+               .select("vendor", "hkey_r",
+                       F.shiftright("_k", POS_BITS).cast("int").alias("nr"),
+                       (F.lit(MAX_POS) - F.col("_k").bitwiseAND(F.lit(MAX_POS))).alias("g_max_pos"),
+                       _key_words("hkey_r").alias("hot_r")))
+        lg = (self.left_groups().select("vendor", "hkey_l", "hot_l", "nl").distinct()
+              .select("vendor", "hkey_l", "nl", F.explode("hot_l").alias("token")))
+        sx = sig.select("vendor", "hkey_r", "nr", "g_max_pos", F.explode("hot_r").alias("token"))
+        return (lg.join(sx, ["vendor", "token"])
+                .groupBy("vendor", "hkey_l", "nl", "hkey_r")
+                .agg(F.count(F.lit(1)).alias("h"), F.first("nr").alias("nr"),
+                     F.first("g_max_pos").alias("g_max_pos"))
+                .withColumn("uni", F.col("nl") + F.col("nr") - F.col("h")))
+
     # -- results -----------------------------------------------------------
     def cold_summary(self, band_ks: list[int] | None = None, scale: int = 100) -> DataFrame:
         """One aggregation over the cold pairs per (vendor, lkey).
@@ -267,7 +297,7 @@ class SetScorer:
         if not self.n_hot:
             best = cold_best
         else:
-            g = self.group_pairs()
+            g = self._signature_pairs()
             gbest = g.groupBy("vendor", "hkey_l", "nl").agg(
                 F.max(pos_key(F.col("h"), F.col("uni"), F.col("g_max_pos"))).alias("gpk"),
                 F.max(frac_key(F.col("h"), F.col("uni"))).alias("gfk"))
