@@ -101,3 +101,14 @@ def test_hash_encoder_matches_python(spark):
         m = model.vector(t)
         assert len(v) == len(m)
         assert all(abs(a - b) < 1e-12 for a, b in zip(v, m)), t
+
+
+def test_pool_groups_table_operator(spark):
+    from skulink.operators.pooling import pool_groups
+    rows = [("a", 2, [1.0, 5.0]), ("a", 1, [3.0, 1.0]), ("b", 7, [2.0, 2.0])]
+    df = spark.createDataFrame(rows, "g string, o int, v array<double>")
+    got = {s: {r.g: r.pooled for r in pool_groups(df, "g", "o", "v", s).collect()}
+           for s in ("mean", "max", "cls")}
+    assert got["mean"] == {"a": [2.0, 3.0], "b": [2.0, 2.0]}
+    assert got["max"] == {"a": [3.0, 5.0], "b": [2.0, 2.0]}
+    assert got["cls"] == {"a": [3.0, 1.0], "b": [2.0, 2.0]}
