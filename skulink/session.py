@@ -6,10 +6,10 @@ one in.  ``get_spark`` is for tests, the bench and ad-hoc use.
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configs the plans are written against.  AQE re-plans joins from runtime
 # sizes, splits skewed shuffle partitions and coalesces tiny ones.
@@ -28,7 +28,7 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, app_name: str = "skulink",
               shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
@@ -40,26 +40,30 @@ def get_spark(master: str | None = None, app_name: str = "skulink",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession, path: str | None = None) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) is ``fallback`` set.
+    The session's setting always wins; ``path`` is used where it is unset.  With
+    neither, a ``local[...]`` session (tests, one machine) gets a fresh
+    folder of its own, and any other master is an error: a machine-local
+    folder is never used on a cluster.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    path = (spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir", None) or path)
     if not path:
-        if fallback is None:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
-                "spark.checkpoint.dir is not set; configure a shared folder")
-        path = fallback
+                "spark.checkpoint.dir is not set; name a folder that the driver and "
+                "all executors share")
+        path = tempfile.mkdtemp(prefix="skulink-checkpoints-")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -67,8 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (never local tmp)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    # the checkpoint dir holds one sub-folder per application; keep ours beside it
-    return f"{os.path.dirname(base) or base}/skulink-scratch/{name}-{uuid.uuid4().hex}"
+    # the checkpoint dir is this application's own sub-folder of the setting
+    return f"{base}/skulink-scratch/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, eager: bool = True):
@@ -79,5 +83,17 @@ def materialize(df, eager: bool = True):
     behind it, and later plans start from a leaf instead of re-planning
     the whole sub-tree.
     """
-    ensure_checkpoint_dir(df.sparkSession, fallback="/tmp/skulink-checkpoints")
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def cut(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage at a reuse point with a Parquet table in the shared folder.
+
+    Same purpose as :func:`materialize`, for results that are read more than
+    once: the table is columnar and compressed, readers prune its columns,
+    and a lost executor re-reads it instead of recomputing the plan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
