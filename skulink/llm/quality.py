@@ -171,19 +171,19 @@ def thresholds(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         F.sum("good").cast("long").alias("good"),
         F.sum(1 - F.col("good")).cast("long").alias("bad"))
     # a histogram row per stratum, rule and step: rejected at step s = all above >= s
-    steps = hist.groupBy("stratum", "rule").agg(
+    steps = cut(hist.groupBy("stratum", "rule").agg(
         F.collect_list(F.struct("above", "good", "bad")).alias("h"),
-        F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
-    m = steps.agg(F.count("*").alias("n_rules")).select((F.col("n_rules") * grid).alias("m"))
+        F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad")), "quality-steps")
+    m = max(1, steps.count() * grid)     # tests made in all strata together
     tested = (steps.select("stratum", "rule", "n_good", "n_bad", "h",
                            F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("step"))
               .withColumn("k", F.expr("aggregate(h, 0L, (a, x) -> a + IF(x.above >= step, x.good, 0L))"))
               .withColumn("caught", F.expr("aggregate(h, 0L, (a, x) -> a + IF(x.above >= step, x.bad, 0L))"))
-              .drop("h").crossJoin(F.broadcast(m)))  # m is one row by construction
+              .drop("h"))
     low = F.create_map(*[F.lit(x) for r, (a, _) in RULES.items() for x in (r, a)])
     width = F.create_map(*[F.lit(x) for r, (a, b) in RULES.items() for x in (r, (b - a) / grid)])
     certified = tested.where(
-        (binomial_tail(F.col("k"), F.col("n_good"), alpha) <= delta / F.col("m"))
+        (binomial_tail(F.col("k"), F.col("n_good"), alpha) <= delta / m)
         & (F.col("caught") * F.col("n_good") > 2 * F.col("k") * F.col("n_bad")))
     chosen = certified.groupBy("stratum", "rule").agg(F.min("step").alias("step")).withColumn(
         "cutoff", low[F.col("rule")] + F.col("step") * width[F.col("rule")])

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from skulink.llm.bpe import op5_bpe
 from skulink.llm.decontam import op9_decontaminate
+from skulink.llm.ngramjoin import op4_ngram_join
 from skulink.llm.quality import op3_quality
 from skulink.llm.shard import op10_shard
 from skulink.llm.tokcount import op8_tokens
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_quality, op5_bpe, op8_tokens, op9_decontaminate, op10_shard)}
+    op3_quality, op4_ngram_join, op5_bpe, op8_tokens, op9_decontaminate, op10_shard)}
 LLM_ORACLE: dict[str, str] = {}
