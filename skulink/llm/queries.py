@@ -8,7 +8,8 @@ from skulink.llm.ngramjoin import op4_ngram_join
 from skulink.llm.quality import op3_quality
 from skulink.llm.shard import op10_shard
 from skulink.llm.tokcount import op8_tokens
+from skulink.llm.toxicity import op6_toxicity
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_quality, op4_ngram_join, op5_bpe, op8_tokens, op9_decontaminate, op10_shard)}
+    op3_quality, op4_ngram_join, op5_bpe, op6_toxicity, op8_tokens, op9_decontaminate, op10_shard)}
 LLM_ORACLE: dict[str, str] = {}
