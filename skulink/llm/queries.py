@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from skulink.llm.bpe import op5_bpe
 from skulink.llm.decontam import op9_decontaminate
+from skulink.llm.masked_lm import op2_masked_lm
 from skulink.llm.ngramjoin import op4_ngram_join
+from skulink.llm.pii import op1_pii
 from skulink.llm.quality import op3_quality
 from skulink.llm.shard import op10_shard
 from skulink.llm.tokcount import op8_tokens
 from skulink.llm.toxicity import op6_toxicity
+from skulink.llm.urlgraph import op7_url_filter
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_quality, op4_ngram_join, op5_bpe, op6_toxicity, op8_tokens, op9_decontaminate, op10_shard)}
+    op1_pii, op2_masked_lm, op3_quality, op4_ngram_join, op5_bpe, op6_toxicity, op7_url_filter,
+    op8_tokens, op9_decontaminate, op10_shard)}
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 LLM_ORACLE: dict[str, str] = {}
