@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skulink.llm.common import fresh
+
 WINDOW = 13
 #: (window, item) rows per automaton: about 13 nodes each, some hundred MB at most
 BLOCK = 200_000
@@ -163,7 +165,7 @@ def with_hits(docs: DataFrame, bench: DataFrame, text_col: str = "text",
 
 def merge_blocks(docs: DataFrame, scans: list, text_col: str, out_col: str) -> DataFrame:
     """Union of the blocks' hits per distinct text, joined back by text digest."""
-    key = "_text_key"
+    key, got = fresh(docs, "_text_key"), fresh(docs, "_merged")
     raw = F.col(text_col).cast("binary")
     texts = docs.where(raw.isNotNull()).select(F.sha2(raw, 256).alias(key), raw.alias("raw"))
     found = None
@@ -196,7 +198,7 @@ def merge_blocks(docs: DataFrame, scans: list, text_col: str, out_col: str) -> D
     merged = (found.groupBy(key).agg(F.collect_list("hit").alias("hs"),
                                      F.collect_list("items").alias("its"),
                                      F.first("raw").alias("raw"))
-              .select(key, join_runs("hs", "its", "raw").alias("_merged")))
+              .select(key, join_runs("hs", "its", "raw").alias(got)))
 
     @F.pandas_udf("long")
     def count_words(texts: pd.Series) -> pd.Series:
@@ -207,7 +209,7 @@ def merge_blocks(docs: DataFrame, scans: list, text_col: str, out_col: str) -> D
                      F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
                      F.array().cast("array<int>").alias("hit"))
     return (docs.withColumn(key, F.sha2(raw, 256)).join(merged, key, "left")
-            .withColumn(out_col, F.coalesce(F.col("_merged"), clean)).drop(key, "_merged"))
+            .withColumn(out_col, F.coalesce(F.col(got), clean)).drop(key, got))
 
 
 def contaminated(hits: str = "hits") -> Column:
@@ -228,8 +230,9 @@ def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: contaminated documents go, all others stay unchanged."""
-    out = with_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out_col="_hits")
-    return out.where(~contaminated("_hits")).drop("_hits")
+    hits = fresh(docs, "_hits")
+    out = with_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out_col=hits)
+    return out.where(~contaminated(hits)).drop(hits)
 
 
 def brute_force(docs: list[tuple], bench: list[tuple], window: int = WINDOW) -> list[tuple]:

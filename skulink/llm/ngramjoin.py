@@ -51,6 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skulink.llm.common import fresh
 from skulink.session import cut
 
 SHINGLE = 3          # words
@@ -356,11 +357,11 @@ def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest id stays."""
-    rows = classes(docs)
+    rows, uid = classes(docs), fresh(docs, "_uid")
     # one row per class by an aggregate, not a window: a class may be a third of all rows
     keep = rows.where(F.col("root").isNotNull()).groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("uid"))).alias("k")).select(
         "root", F.col("k.uid").alias("first"))
-    drop = rows.join(keep, "root").where("uid <> first").select(F.col("uid").alias("_uid"))
-    return (docs.withColumn("_uid", F.monotonically_increasing_id())
-            .join(drop, "_uid", "left_anti").drop("_uid"))
+    drop = rows.join(keep, "root").where("uid <> first").select(F.col("uid").alias(uid))
+    return (docs.withColumn(uid, F.monotonically_increasing_id())
+            .join(drop, uid, "left_anti").select(*docs.columns))

@@ -37,6 +37,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skulink.llm.common import fresh
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "phone_like", "id_number", "account", "email_like", "ipv6")
 KINDS = BASE_KINDS + ADDED_KINDS
@@ -454,11 +456,12 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all spans are redacted; other texts stay unchanged."""
-    out = (with_spans(docs, out_col="_spans")
-           .withColumn("_text", redactor()(F.col("text").cast("string"), "_spans"))
-           .withColumn("_hit", F.size("_spans") > 0))
+    spans = fresh(docs, "_spans")
+    text = redactor()(F.col("text").cast("string"), F.col(spans))
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(
-            F.col("_hit"), F.char_length("_text").cast(docs.schema["n_chars"].dataType))
-            .otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_text")).select(*docs.columns)
+        new["n_chars"] = F.when(
+            F.size(spans) > 0, F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        ).otherwise(F.col("n_chars"))
+    return with_spans(docs, out_col=spans).select(
+        *[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -36,6 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skulink.llm.common import fresh
 from skulink.session import cut
 
 SAMPLE = 10_000       # labelled documents the models are fitted on
@@ -107,7 +108,9 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                               for c, e in chain.items()]))
     # at most `sample` rows of a few numbers: the documented bound allows a broadcast
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return cut(texts.join(F.broadcast(truth), "_id").drop("_id"), "toxicity-sample")
+    # one text per id, however often it is repeated
+    return cut(texts.join(F.broadcast(truth), "_id").groupBy("_id", *chain)
+               .agg(F.min("text").alias("text")).drop("_id"), "toxicity-sample")
 
 
 def strongest(rows: DataFrame, categories: list[str], total: int) -> list[str]:
@@ -266,5 +269,6 @@ def op6_toxicity(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the chain rejects go."""
-    out, threshold = scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "_p")
-    return out.where(F.col("_p.toxic") < threshold).drop("_p")
+    p = fresh(docs, "_p")
+    out, threshold = scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), p)
+    return out.where(F.col(f"{p}.toxic") < threshold).drop(p)
