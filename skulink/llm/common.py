@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -11,3 +12,28 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def most_frequent(counts: DataFrame, column: str, k: int) -> list[tuple[str, int]]:
+    """The about k most frequent values of a (value, n) table, at most k, by n and value.
+
+    A plain top-k would send k rows of every partition to the driver.  Here a
+    histogram of the counts' logarithms (a few thousand bins whatever the
+    input) finds the count where k values are reached, and only values above
+    it are collected; ties in the last bin are cut by hash.
+    """
+    bins = counts.withColumn("bin", F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int"))
+    hist = sorted(((r["bin"], r["count"]) for r in bins.groupBy("bin").count().collect()),
+                  reverse=True)
+    whole, share, left = 1 << 30, 0.0, k
+    for b, n in hist:
+        if n > left:
+            share = left / n
+            break
+        whole, left = b, left - n
+    edge = max((b for b, _ in hist if b < whole), default=whole)
+    unit = 1_000_000
+    part = F.pmod(F.xxhash64(column), F.lit(unit)) < int(share * unit)
+    rows = bins.where((F.col("bin") >= whole) | ((F.col("bin") == edge) & part)).select(
+        column, "n").collect()
+    return sorted(((r[0], r[1]) for r in rows), key=lambda x: (-x[1], x[0]))[:k]

@@ -13,9 +13,9 @@ Features are rates (per word of the text) of words and of character 5- and
 language.  Candidates are counted over the labelled sample in Spark and the
 ``FEATURES`` with the strongest positive association per category stay.
 
-The models are fitted on the driver, on at most ``SAMPLE`` labelled
-documents (chosen by hash of the id; documented bounds: SAMPLE documents of
-at most FEATURES rates each).  Scoring reads whole texts in one scan without
+The models are fitted on the driver, on about ``SAMPLE`` labelled documents
+(a share of the ids by hash; documented bounds: SAMPLE documents of at most
+FEATURES rates each).  Scoring reads whole texts in one scan without
 a shuffle.
 
 Defined results: null and word-less texts have no features and get the
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from skulink.llm.common import fresh
 from skulink.session import cut
 
-SAMPLE = 10_000       # labelled documents the models are fitted on
+SAMPLE = 10_000       # labelled documents the models are fitted on (expected number)
 FEATURES = 800        # text features, all categories together
 FOLDS = 3
 STEPS = 150           # optimiser steps per model
@@ -100,13 +100,17 @@ class Features:
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
              chain: dict[str, str], sample: int) -> DataFrame:
-    """text and one 0/1 column per category of at most ``sample`` labelled ids."""
-    truth = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+    """text and one 0/1 column per category of about ``sample`` labelled ids."""
+    known = labels.where(F.col(id_col).isNotNull())
+    # the same share of ids by hash, whatever the table's size: about `sample` of them
+    share = min(1.0, sample / max(1, known.count()))
+    picked = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    truth = (known.groupBy(F.col(id_col).alias("_id"))
              .agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-             .orderBy(F.xxhash64("_id"), "_id").limit(sample)
+             .where(picked)
              .select("_id", *[F.coalesce(F.expr(e), F.lit(False)).cast("int").alias(c)
                               for c, e in chain.items()]))
-    # at most `sample` rows of a few numbers: the documented bound allows a broadcast
+    # about `sample` rows of a few numbers: the documented bound allows a broadcast
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     # one text per id, however often it is repeated
     return cut(texts.join(F.broadcast(truth), "_id").groupBy("_id", *chain)
