@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 COLOR_NAMES = ["red", "green", "blue", "yellow", "orange", "purple", "pink",
                "brown", "black", "white", "gray", "silver"]
 # Measure units (number, optional fraction, optional space, unit):
-MEASURE_UNITS = ["mL", "mm"]
+MEASURE_RE = r"(?iU)\b\d+(\.\d+)?\s*(mL|mm)\b"
+MEASURE_UNIT_RE = r"(?iU)\s*(mL|mm)$"
 # Right-side name written for a left row without an accepted match:
 NO_MATCH_NAME = "No good match found (Low match score)"
 # Agreement labels of an accepted match (colours, then measures):
@@ -55,14 +56,16 @@ ENGLISH_STOP_WORDS = [
 # str patterns; (?i) ignores case.
 COLOR_RE = r"(?iU)\b(?:" + "|".join(COLOR_NAMES) + r")\b"
 COLOR_GROUP_RE = r"(?iU)\b(" + "|".join(COLOR_NAMES) + r")\b"
-MEASURE_RE = r"(?iU)\b\d+(\.\d+)?\s*(" + "|".join(MEASURE_UNITS) + r")\b"
 NUM_RE = r"(?U)\b\d+\b"
 # Split on runs of characters that are neither letters, digits nor '_':
 # equals Python's re.split(r'\W+') on str, and runs the same in DuckDB.
 WORD_SPLIT = r"[^\p{L}\p{N}_]+"
-# Word-level tokeniser approximating a Treebank tokeniser: contractions
-# split off ("n't", "'s"), punctuation marks are tokens of their own.
-TOKEN_RE = r"n't|'\p{L}+|[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+# Word-level tokeniser after the Treebank rules: quotes become `` and '',
+# contractions split off ("n't", "'s"), an ellipsis, a number with inner
+# points or commas and a hyphenated word are one token each, other
+# punctuation marks are tokens of their own.
+TOKEN_RE = (r"``|''|\.\.\.|n't|'\p{L}+|\p{N}+(?:[.,]\p{N}+)+"
+            r"|[\p{L}\p{N}_]+(?:-[\p{L}\p{N}_]+)*|[^\s\p{L}\p{N}_]")
 EDGE_SPACE_RE = r"^\s+|\s+$"
 
 
@@ -139,7 +142,7 @@ def measure_set(x, mode: str = "as_written") -> Column:
         first = F.regexp_extract_all(s, F.lit(MEASURE_RE), 1)
     elif mode == "value":
         first = F.transform(F.regexp_extract_all(s, F.lit(MEASURE_RE), 0),
-                            lambda m: F.regexp_replace(m, r"(?iU)\s*(mL|mm)$", ""))
+                            lambda m: F.regexp_replace(m, MEASURE_UNIT_RE, ""))
     else:
         raise ValueError(f"unknown measure mode: {mode}")
     unit = F.regexp_extract_all(s, F.lit(MEASURE_RE), 2)
@@ -159,8 +162,11 @@ def agreement(colors_l, colors_r, measures_l, measures_r) -> Column:
 
 
 def tokenize(x) -> Column:
-    """Lower-case, split contractions and punctuation into tokens."""
+    """Lower-case, split quotes, contractions and punctuation into tokens."""
     s = F.regexp_replace(F.lower(null_to_empty(x)), "n't", " n't")
+    s = F.regexp_replace(s, r"(?U)\bcannot\b", "can not")
+    s = F.regexp_replace(s, r'(^|[\s(\[{<])"', "$1 `` ")
+    s = F.replace(s, F.lit('"'), F.lit(" '' "))
     return F.regexp_extract_all(s, F.lit(TOKEN_RE), 0)
 
 

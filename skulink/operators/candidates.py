@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from skulink.functions.text import set_key
 from skulink.functions.vectors import let
 from skulink.operators.skew import bounded_broadcast
-from skulink.session import materialize
+from skulink.session import cut, materialize
 
 
 def _empty_str_array():
@@ -48,7 +48,6 @@ def _empty_str_array():
 class JoinConfig:
     hot_limit: int = 5000        # right sets per (vendor, token) before a token is hot
     salt_limit: int = 100_000    # pairs one token may emit per join task before it is split
-    n_salt: int = 64             # most buckets one token is split into
     max_broadcast_rows: int = 200_000
 
 
@@ -73,36 +72,57 @@ def right_sets(right: DataFrame, words: str = "words") -> DataFrame:
             .withColumn("nr", F.size("rwords")))
 
 
-# Best-pair keys packed into longs, so the per-left-set maximum runs as a
-# hash aggregate (a struct maximum falls back to a sort-based aggregate).
-# A score inter/uni becomes the fixed point (inter << 20) div uni (at most
-# 2^20, so the packed long stays positive): exact and order-preserving while
-# unions stay below 1024 words (two different fractions then differ by more
-# than 2^-20).  Ordinals need < 2^42.
-FP_BITS, POS_BITS, CNT_BITS = 20, 42, 11
-MAX_UNION = 1024
+# Best-pair keys packed into one number each, so the per-left-set maximum
+# runs as a hash aggregate (a struct maximum falls back to a sort-based one).
+# A score inter/uni becomes the fixed point floor(inter * S / uni) with S
+# above the square of the largest union, so different fractions stay
+# different and in order.  The widths follow the data: short names fit a
+# long, anything longer (up to 2^26 words, 2^42 rows) a 38-digit decimal.
+POS_BITS = 42
 MAX_POS = (1 << POS_BITS) - 1
 
 
-def pos_key(inter, uni, pos):
-    """Orders pairs by score, then by right ordinal."""
-    fp = (F.shiftleft(inter.cast("long"), FP_BITS) / uni.cast("long")).cast("long")
-    return F.shiftleft(fp, POS_BITS).bitwiseOR(pos.cast("long"))
-
-
-def frac_key(inter, uni):
-    """Orders pairs by score and carries one (inter, uni) of that score."""
-    fp = (F.shiftleft(inter.cast("long"), FP_BITS) / uni.cast("long")).cast("long")
-    return (F.shiftleft(fp, 2 * CNT_BITS)
-            .bitwiseOR(F.shiftleft(inter.cast("long"), CNT_BITS))
-            .bitwiseOR(uni.cast("long")))
-
-
-def _decode(pkey, fkey):
-    """best_pos, inter, uni back out of the two packed keys."""
-    return (pkey.bitwiseAND(F.lit(MAX_POS)).alias("best_pos"),
-            F.shiftright(fkey, CNT_BITS).bitwiseAND(F.lit((1 << CNT_BITS) - 1)).alias("inter"),
-            fkey.bitwiseAND(F.lit((1 << CNT_BITS) - 1)).alias("uni"))
+@dataclass(frozen=True)
+class Keys:
+    """Number type and factors of the packed keys."""
+    dtype: str = "decimal(38,0)"
+    words: int = 1 << 26          # above the largest union
+    rows: int = 1 << 42           # above the largest ordinal
+
+    @classmethod
+    def fit(cls, max_union: int, max_pos: int) -> "Keys":
+        words, rows = 1 << int(max_union + 1).bit_length(), 1 << int(max_pos + 1).bit_length()
+        # (score, ordinal) and (score, inter, uni) have to stay positive longs
+        if 2 * words * words * max(rows, words * words) < 1 << 62:
+            return cls("long", words, rows)
+        return cls()
+
+    def _lit(self, x: int):
+        return F.lit(x).cast(self.dtype)
+
+    def _quotient(self, a, b):
+        return F.call_function("div", a, b) if self.dtype == "long" else F.floor(a / b).cast(self.dtype)
+
+    def _fp(self, inter, uni):
+        scale = self._lit(2 * self.words * self.words)
+        return self._quotient((inter.cast(self.dtype) * scale).cast(self.dtype), uni.cast(self.dtype))
+
+    def pos_key(self, inter, uni, pos):
+        """Orders pairs by score, then by right ordinal."""
+        return (self._fp(inter, uni) * self._lit(self.rows) + pos.cast(self.dtype)).cast(self.dtype)
+
+    def frac_key(self, inter, uni):
+        """Orders pairs by score and carries one (inter, uni) of that score."""
+        w = self._lit(self.words)
+        high = (self._fp(inter, uni) * w + inter.cast(self.dtype)).cast(self.dtype)
+        return (high * w + uni.cast(self.dtype)).cast(self.dtype)
+
+    def decode(self, pkey, fkey):
+        """best_pos, inter, uni back out of the two packed keys."""
+        w = self._lit(self.words)
+        return ((pkey % self._lit(self.rows)).cast("long").alias("best_pos"),
+                (self._quotient((fkey - fkey % w).cast(self.dtype), w) % w).cast("long").alias("inter"),
+                (fkey % w).cast("long").alias("uni"))
 
 
 class SetScorer:
@@ -127,11 +147,10 @@ class SetScorer:
         else:
             rsets = rsets.withColumn("hot_r", _empty_str_array())
         self.rsets = rsets.withColumn("hkey_r", F.array_join("hot_r", " "))
-        # the packed keys need set sizes and ordinals inside their bit widths
-        sizes = (lsets.agg(F.max("nl")).first()[0] or 0,
-                 rsets.agg(F.max("nr"), F.max("max_pos")).first())
-        if sizes[0] + (sizes[1][0] or 0) >= MAX_UNION or (sizes[1][1] or 0) > MAX_POS:
-            raise ValueError("word-set unions of 1024 words or ordinals above 2^42 are not supported")
+        # the packed keys are as wide as the longest names and the ordinals ask for
+        size = rsets.agg(F.max("nr").alias("n"), F.max("max_pos").alias("p")).first()
+        self.keys = Keys.fit((lsets.agg(F.max("nl")).first()[0] or 0) + (size["n"] or 0),
+                             size["p"] or 0)
         self._cold = None
         self._join = None
         self._summary: dict = {}
@@ -157,8 +176,9 @@ class SetScorer:
         dr = rp.groupBy("token").agg(F.count(F.lit(1)).alias("dr"))
         cost = F.col("dl") * F.col("dr")
         heavy = (dl.join(dr, "token").where(cost > cfg.salt_limit)
-                 .select("token", F.least(F.lit(cfg.n_salt),
-                                          F.ceil(cost / F.lit(cfg.salt_limit))).cast("int").alias("ns")))
+                 # no more buckets than left sets, and none is capped otherwise
+                 .select("token", F.least(F.col("dl"), F.ceil(cost / F.lit(cfg.salt_limit)))
+                         .cast("int").alias("ns")))
         heavy_b, n_heavy = bounded_broadcast(heavy, cfg.max_broadcast_rows)
         if n_heavy:
             lp = (lp.join(heavy_b, "token", "left")
@@ -174,6 +194,10 @@ class SetScorer:
         cold_shared = F.array_intersect("lwords", F.array_except("rwords", "hot_r"))
         self._join = j.where(F.col("token") == F.array_min(cold_shared))
         self._cold = self._score(self._join)
+        if self.n_hot:
+            # best match, both band directions and hot-only pairs all read it:
+            # written once, the token join runs once
+            self._cold = cut(self._cold, "cold-pairs")
         return self._cold
 
     def _cold_join(self) -> DataFrame:
@@ -262,8 +286,8 @@ class SetScorer:
         if (ks, scale) in self._summary:
             return self._summary[(ks, scale)]
         c = self.cold_pairs()
-        pk = pos_key(F.col("inter"), F.col("uni"), F.col("max_pos"))
-        fk = frac_key(F.col("inter"), F.col("uni"))
+        pk = self.keys.pos_key(F.col("inter"), F.col("uni"), F.col("max_pos"))
+        fk = self.keys.frac_key(F.col("inter"), F.col("uni"))
         if not ks:
             out = c.groupBy("vendor", "lkey").agg(F.max(pk).alias("pk"), F.max(fk).alias("fk"))
         else:
@@ -299,14 +323,14 @@ class SetScorer:
         else:
             g = self._signature_pairs()
             gbest = g.groupBy("vendor", "hkey_l", "nl").agg(
-                F.max(pos_key(F.col("h"), F.col("uni"), F.col("g_max_pos"))).alias("gpk"),
-                F.max(frac_key(F.col("h"), F.col("uni"))).alias("gfk"))
+                F.max(self.keys.pos_key(F.col("h"), F.col("uni"), F.col("g_max_pos"))).alias("gpk"),
+                F.max(self.keys.frac_key(F.col("h"), F.col("uni"))).alias("gfk"))
             hot_best = (self.left_groups().join(gbest, ["vendor", "hkey_l", "nl"])
                         .select("vendor", "lkey", "gpk", "gfk"))
             best = (cold_best.join(hot_best, ["vendor", "lkey"], "full")
                     .select("vendor", "lkey", F.greatest("pk", "gpk").alias("pk"),
                             F.greatest("fk", "gfk").alias("fk")))
-        pos, inter, uni = _decode(F.col("pk"), F.col("fk"))
+        pos, inter, uni = self.keys.decode(F.col("pk"), F.col("fk"))
         return best.select("vendor", "lkey", inter, uni, pos)
 
     def band(self, band_ks: list[int], scale: int = 100) -> DataFrame:
@@ -401,7 +425,7 @@ class SetScorer:
         """
         base = self.materialized_cold()
         new = object.__new__(SetScorer)
-        new.cfg, new.hot, new.n_hot = self.cfg, self.hot, self.n_hot
+        new.cfg, new.hot, new.n_hot, new.keys = self.cfg, self.hot, self.n_hot, self.keys
         new.band_ks = list(self.band_ks if band_ks is None else band_ks)
         new.lsets = active_lsets
         hot_cols = self.rsets.select("vendor", "rkey", "hot_r", "hkey_r")
@@ -420,7 +444,8 @@ class SetScorer:
     def materialized_cold(self) -> DataFrame:
         """The cold pair table, checkpointed once (the exclusion loop reads it every round)."""
         if getattr(self, "_cold_mat", None) is None:
-            self._cold_mat = materialize(self.cold_pairs())
+            cold = self.cold_pairs()
+            self._cold_mat = cold if self.n_hot else cut(cold, "cold-pairs")
         return self._cold_mat
 
     def prefix_pairs(self, min_k: int, scale: int = 100) -> DataFrame:
@@ -474,13 +499,15 @@ class SetScorer:
         """
         if not self.n_hot and min_k > 0 and not getattr(self, "_single_use", False):
             return self.prefix_pairs(min_k, scale)
-        # floor tested on the raw join rows with the intersection bound once,
-        # so the filter pushed into the join evaluates it once
-        ok = let(F.size(F.array_intersect("lwords", "rwords")),
-                 lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
-        out = self._score(self._cold_join().where(ok)).select("vendor", "lkey", "rkey", "inter", "uni")
-        if not self.n_hot:
-            return out
+        if self.n_hot:
+            out = self.cold_pairs().where(F.lit(scale) * F.col("inter") >= F.lit(min_k) * F.col("uni")) \
+                .select("vendor", "lkey", "rkey", "inter", "uni")
+        else:
+            # floor tested on the raw join rows with the intersection bound once,
+            # so the filter pushed into the join evaluates it once
+            ok = let(F.size(F.array_intersect("lwords", "rwords")),
+                     lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
+            return self._score(self._cold_join().where(ok)).select("vendor", "lkey", "rkey", "inter", "uni")
         g = (self.group_pairs()
              .where(F.lit(scale) * F.col("h") >= F.lit(min_k) * F.col("uni")))
         hot = (self.left_groups().join(g, ["vendor", "hkey_l", "nl"])

@@ -25,17 +25,20 @@ from skulink.functions.vectors import check_pooling, hash_token_vectors, l2_norm
 Encoder = Callable[[Column], Column]
 
 
-def hash_encoder(text: Column, stop_words=None) -> Column:
-    """Token vectors of the stop-filtered tokens, cut to the input limit."""
-    toks = truncate_tokens(remove_stop_words(tokenize(text), stop_words), ENCODER_MAX_TOKENS - 2)
+def hash_encoder(text: Column, stop_words=None, max_tokens: int = ENCODER_MAX_TOKENS - 2) -> Column:
+    """Token vectors of the first ``max_tokens`` stop-filtered tokens.
+
+    The limit is the matched encoder's input limit (X12), a parameter.
+    """
+    toks = truncate_tokens(remove_stop_words(tokenize(text), stop_words), max_tokens)
     return hash_token_vectors(toks)
 
 
 def sentence_vector(text: Column, encoder: Encoder | None = None, pooling: str = "mean",
-                    stop_words=None) -> Column:
+                    stop_words=None, max_tokens: int = ENCODER_MAX_TOKENS - 2) -> Column:
     check_pooling(pooling)
     if encoder is None:
-        tv = hash_encoder(text, stop_words)
+        tv = hash_encoder(text, stop_words, max_tokens)
     else:
         tv = encoder(stop_filtered_text(text, stop_words))
     return l2_normalize(pool_tokens(tv, pooling))

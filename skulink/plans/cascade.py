@@ -27,6 +27,7 @@ from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right
 from skulink.operators.embed import Encoder, text_vectors
 from skulink.operators.lookup import first_by_key
 from skulink.session import materialize
+from skulink.sources.resume import skip_done_left
 
 SCALE = 100
 FIELDS = ["product_category", "product_sub_category", "product_id", "product_name",
@@ -102,9 +103,11 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
                hits: DataFrame | None = None, hit_key: str = "product_name",
                encoder: Encoder | None = None, pooling: str = "mean", stop_words=None,
                cfg: JoinConfig = JoinConfig(), fold_case: bool = False,
-               scorer: SetScorer | None = None) -> DataFrame:
+               scorer: SetScorer | None = None, done: DataFrame | None = None) -> DataFrame:
     """Closed-form cascade (policy ``none``), one row per (vendor, left row).
 
+    ``done``: a resume log (vendor, kind, key); what it names is left out.
+
     Columns: every left column, ``vendor``, ``match_pos`` (right ``pos``,
     null when the vendor has no rows), ``score``, ``match_k``.
     ``band``: ``off`` (plain rounds only), ``direct`` or ``assisted``.
@@ -121,6 +124,8 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
     if scorer is None:
         scorer = SetScorer(left_sets(left), right_sets(right), cfg, band_ks=band_ks)
     lv = per_vendor(left, vendors).withColumn("lkey", F.array_join(F.array_sort("words"), " "))
+    if done is not None:
+        lv = skip_done_left(lv, done)
     last = F.broadcast(right.groupBy("vendor").agg(F.max("pos").alias("last_pos")))
     rows = (lv.join(scorer.best(), ["vendor", "lkey"], "left")
               .join(last, "vendor", "left"))

@@ -8,18 +8,22 @@ round by round.  Only the driver tables are referenced.
 
 from __future__ import annotations
 
-from skulink.functions.text import COLOR_NAMES, ENGLISH_STOP_WORDS
-from skulink.plans.cascade import Grid
+from skulink.functions.text import (AGREE_BOTH, AGREE_COLORS_ONLY, AGREE_NONE, COLOR_NAMES,
+                                    ENGLISH_STOP_WORDS, NO_MATCH_NAME)
+from skulink.plans.cascade import FIELDS, Grid
 
 COLOR_ALT = "|".join(COLOR_NAMES)
 STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
-TOKEN_RE = r"n''t|''\p{L}+|[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+# RE2 forms of the fixed patterns in skulink/functions/text.py
+MEASURE_SQL_RE = r"(?i)\b\d+(\.\d+)?\s*(mL|mm)\b"
+TOKEN_RE = (r"``|''''|\.\.\.|n''t|''\p{L}+|\p{N}+(?:[.,]\p{N}+)+"
+            r"|[\p{L}\p{N}_]+(?:-[\p{L}\p{N}_]+)*|[^\s\p{L}\p{N}_]")
 
 
 def clean_sql(x: str) -> str:
     s = f"coalesce({x}, '')"
     s = rf"regexp_replace({s}, '(?i)\b(?:{COLOR_ALT})\b', '', 'g')"
-    s = rf"regexp_replace({s}, '(?i)\b\d+(\.\d+)?\s*(mL|mm)\b', '', 'g')"
+    s = f"regexp_replace({s}, '{MEASURE_SQL_RE}', '', 'g')"
     s = rf"regexp_replace({s}, '\b\d+\b', '', 'g')"
     return rf"regexp_replace({s}, '^\s+|\s+$', '', 'g')"
 
@@ -35,7 +39,7 @@ def colors_sql(x: str) -> str:
 
 
 def measures_sql(x: str) -> str:
-    pat = r"'(?i)\b\d+(\.\d+)?\s*(mL|mm)\b'"
+    pat = f"'{MEASURE_SQL_RE}'"
     a = f"regexp_extract_all(coalesce({x}, ''), {pat}, 1)"
     b = f"regexp_extract_all(coalesce({x}, ''), {pat}, 2)"
     return (f"array_to_string(list_sort(list_distinct(list_transform(range(len({a})),"
@@ -43,7 +47,11 @@ def measures_sql(x: str) -> str:
 
 
 def tokens_sql(x: str) -> str:
-    return (f"regexp_extract_all(regexp_replace(lower(coalesce({x}, '')), 'n''t', ' n''t', 'g'), '{TOKEN_RE}')")
+    s = f"regexp_replace(lower(coalesce({x}, '')), 'n''t', ' n''t', 'g')"
+    s = rf"regexp_replace({s}, '\bcannot\b', 'can not', 'g')"
+    s = rf"""regexp_replace({s}, '(^|[\s(\[{{<])"', '\1 `` ', 'g')"""
+    s = f"""replace({s}, '"', ' '''' ')"""
+    return f"regexp_extract_all({s}, '{TOKEN_RE}')"
 
 
 def filtered_tokens_sql(x: str) -> str:
@@ -65,8 +73,9 @@ def cos_sql(a: str, b: str) -> str:
 
 CAT = r"""
 docw AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(text, '[^\p{L}\p{N}_]+'), lambda w: w <> '') AS w
-  FROM documents WHERE doc_id >= 0 AND doc_id < 60),
+  SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[^\p{L}\p{N}_]+'), lambda w: w <> '') AS w
+  FROM documents),
+nd AS (SELECT greatest(1, count(*)) AS n FROM documents),
 cat AS (
   SELECT p.p_partkey AS pos, 'P' || p.p_partkey AS product_id,
     concat_ws(' ',
@@ -74,14 +83,17 @@ cat AS (
       CASE WHEN p.p_partkey % 3 = 0 THEN lower(p.p_type) END,
       CASE p.p_partkey % 4 WHEN 0 THEN p.p_size || ' mL' WHEN 1 THEN p.p_size || '.5 mm'
                            WHEN 2 THEN 'No ' || p.p_size ELSE p.p_brand END,
-      array_to_string(list_slice(n.w, 1 + p.p_partkey % 3, 4 + (p.p_partkey // 2) % 5), ' ')) AS product_name,
-    CASE WHEN p.p_partkey % 11 <> 0 THEN array_to_string(list_slice(d.w, 1, 12), ' ') END AS product_desc,
+      coalesce(array_to_string(list_slice(n.w, 1 + ((p.p_partkey // 2) * 31) % greatest(1, len(n.w) - 12) + p.p_partkey % 3,
+        ((p.p_partkey // 2) * 31) % greatest(1, len(n.w) - 12) + p.p_partkey % 3 + 4 + p.p_partkey % 5), ' '), ''))
+        AS product_name,
+    CASE WHEN p.p_partkey % 11 <> 0 THEN d.text END AS product_desc,
     p.p_type AS product_category, p.p_brand AS product_sub_category,
     CAST(p.p_size AS VARCHAR) AS product_quantity,
     CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS product_price,
     'https://shop.example/p/' || p.p_partkey AS product_url,
     'https://img.example/p/' || p.p_partkey || '.jpg' AS image_url
-  FROM part p JOIN docw n ON n.doc_id = p.p_partkey % 60 JOIN docw d ON d.doc_id = (p.p_partkey * 3) % 60)
+  FROM part p CROSS JOIN nd LEFT JOIN docw n ON n.doc_id = (p.p_partkey // 2) % nd.n
+       LEFT JOIN docw d ON d.doc_id = (p.p_partkey * 3) % nd.n)
 """
 
 
@@ -113,7 +125,8 @@ def band_list(grid: Grid) -> str:
 
 HITS = """hits AS (
   SELECT 'Alpha' AS vendor, 'P' || p_partkey AS query_key, r AS rank,
-         'P' || (2 * ((p_partkey * 7 + r * 13) % 90) + 1) AS product_id
+         'P' || (2 * ((p_partkey * 7 + r * 13) % (SELECT greatest(1, count(*)) FROM part WHERE p_partkey % 2 = 1)) + 1)
+           AS product_id
   FROM part CROSS JOIN (SELECT 0 AS r UNION ALL SELECT 1 UNION ALL SELECT 2) g
   WHERE p_partkey % 2 = 0 AND p_partkey % 3 <> 1)"""
 
@@ -170,22 +183,30 @@ res AS (
   FROM pk LEFT JOIN ba ON ba.vendor = pk.vendor AND ba.lpos = pk.lpos AND ba.rn = 1)"""
 
 
-def assisted_ctes(grid: Grid) -> str:
+def after_sql(x: str, delimiter: str) -> str:
+    return f"CASE WHEN contains({x}, '{delimiter}') THEN substr({x}, strpos({x}, '{delimiter}') + {len(delimiter)}) ELSE {x} END"
+
+
+def assisted_ctes(grid: Grid, by_name: bool = False) -> str:
+    key = "l.product_name" if by_name else "l.product_id"
+    hits = HITS if not by_name else HITS.replace("hits AS (", "hits_by_id AS (") + """,
+hits AS (SELECT h.vendor, l.product_name AS query_key, h.rank, h.product_id
+         FROM hits_by_id h JOIN cl l ON l.product_id = h.query_key)"""
     return f"""{plain_k_cte(grid)},
 {band_cands_cte(grid)},
-{HITS},
+{hits},
 hr AS (SELECT h.vendor, h.query_key, r.product_name AS r_name, r.product_desc AS r_desc
        FROM hits h JOIN (SELECT *, row_number() OVER (PARTITION BY vendor, product_id ORDER BY pos) AS rn FROM cr) r
          ON r.vendor = h.vendor AND r.product_id = h.product_id AND r.rn = 1),
 el AS (SELECT DISTINCT bc.vendor, bc.lpos FROM bc),
 hp AS (SELECT el.vendor, el.lpos, l.product_name AS l_name, l.product_desc AS l_desc, hr.r_name, hr.r_desc
-       FROM el JOIN cl l ON l.pos = el.lpos JOIN hr ON hr.vendor = el.vendor AND hr.query_key = l.product_id),
+       FROM el JOIN cl l ON l.pos = el.lpos JOIN hr ON hr.vendor = el.vendor AND hr.query_key = {key}),
 {embed_ctes('hp')},
 hs AS (SELECT vendor, lpos, max(sim) AS hit_sim FROM ps GROUP BY ALL),
 hh AS (SELECT DISTINCT vendor, query_key FROM hits),
 bx AS (SELECT bc.*, hh.query_key IS NOT NULL AS has_hits, hs.hit_sim
        FROM bc JOIN cl l ON l.pos = bc.lpos
-       LEFT JOIN hh ON hh.vendor = bc.vendor AND hh.query_key = l.product_id
+       LEFT JOIN hh ON hh.vendor = bc.vendor AND hh.query_key = {key}
        LEFT JOIN hs ON hs.vendor = bc.vendor AND hs.lpos = bc.lpos),
 ba AS (SELECT vendor, lpos, k,
               CASE WHEN has_hits THEN first_pos ELSE last_pos END AS b_pos,
@@ -214,18 +235,15 @@ def cascade_view() -> str:
             f"round(score, 6) AS score FROM res")
 
 
-FIELDS = ["product_category", "product_sub_category", "product_id", "product_name",
-          "product_quantity", "product_price", "product_url", "image_url"]
-NO_MATCH = "No good match found (Low match score)"
 
 
 def rounds_cte(grid: Grid) -> str:
     """I5 expansion of ``res``: ``rnd`` rows, sentinel before the match round."""
     return f"""rnd AS (
-  SELECT res.lpos AS left_pos, g.k, {label('g.k')} AS threshold,
+  SELECT res.vendor, res.lpos AS left_pos, g.k, {label('g.k')} AS threshold,
          l.product_id AS left_product_id, l.product_name AS left_product_name,
          CASE WHEN g.k = res.match_k THEN r.product_id ELSE '' END AS right_product_id,
-         CASE WHEN g.k = res.match_k THEN r.product_name ELSE '{NO_MATCH}' END AS right_product_name,
+         CASE WHEN g.k = res.match_k THEN r.product_name ELSE '{NO_MATCH_NAME}' END AS right_product_name,
          CASE WHEN g.k = res.match_k THEN res.score ELSE 0.0 END AS score
   FROM res JOIN {grid_sql(grid)} g ON res.match_k IS NULL OR g.k >= res.match_k
   JOIN cl l ON l.pos = res.lpos
@@ -309,14 +327,14 @@ def build() -> dict[str, str]:
                              "FROM bst b JOIN cl l ON l.pos = b.lpos JOIN cr r ON r.pos = b.rpos "
                              "WHERE b.uni > 0 AND 100 * b.inter >= 41 * b.uni")
     agree = (f"CASE WHEN {colors_sql('l.product_name')} = {colors_sql('r.product_name')} AND "
-             f"{measures_sql('l.product_name')} = {measures_sql('r.product_name')} THEN 'Colors and mL/mm Match' "
-             f"WHEN {colors_sql('l.product_name')} = {colors_sql('r.product_name')} THEN 'Colors Match, mL/mm Mismatch' "
-             "ELSE 'Colors Mismatch' END")
+             f"{measures_sql('l.product_name')} = {measures_sql('r.product_name')} THEN '{AGREE_BOTH}' "
+             f"WHEN {colors_sql('l.product_name')} = {colors_sql('r.product_name')} THEN '{AGREE_COLORS_ONLY}' "
+             f"ELSE '{AGREE_NONE}' END")
     q["agreement_label"] = (base() + f" SELECT b.lpos AS left_pos, b.rpos AS right_pos, {agree} AS agreement "
                             "FROM bst b JOIN cl l ON l.pos = b.lpos JOIN cr r ON r.pos = b.rpos")
     q["sentinel_left_outer"] = (base() + " SELECT b.lpos AS left_pos, "
                                 "CASE WHEN ok THEN r.product_id ELSE '' END AS right_product_id, "
-                                f"CASE WHEN ok THEN r.product_name ELSE '{NO_MATCH}' END AS right_product_name, "
+                                f"CASE WHEN ok THEN r.product_name ELSE '{NO_MATCH_NAME}' END AS right_product_name, "
                                 "CASE WHEN ok THEN round(b.inter::DOUBLE / b.uni, 6) ELSE 0.0 END AS score "
                                 "FROM (SELECT *, uni > 0 AND 100 * inter >= 50 * uni AS ok FROM bst) b "
                                 "JOIN cr r ON r.pos = b.rpos")
@@ -332,7 +350,7 @@ def build() -> dict[str, str]:
     q["last_in_band"] = (base() + f" SELECT lpos AS left_pos, k::INTEGER AS k, max(rpos) AS right_pos "
                          f"FROM ({exact}) GROUP BY ALL")
     q["stopword_filter"] = (f"SELECT doc_id, array_to_string(t, ' ') AS filtered, len(t) AS n_tokens FROM "
-                            f"(SELECT doc_id, {filtered_tokens_sql('text')} AS t FROM documents WHERE lang = 'en')")
+                            f"(SELECT doc_id, {filtered_tokens_sql('text')} AS t FROM documents)")
     ex = "SELECT vec_id, label, embedding, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding) AS value FROM embeddings"
     q["pool_mean"] = f"SELECT label, dim, round(avg(value::DOUBLE), 6) AS value FROM ({ex}) GROUP BY ALL"
     q["pool_max"] = f"SELECT label, dim, round(max(value::DOUBLE), 6) AS value FROM ({ex}) GROUP BY ALL"
@@ -382,9 +400,41 @@ def build() -> dict[str, str]:
     q["right_exclusion"] = (base() + ", rec AS (SELECT r.* FROM bst b JOIN cr r ON r.pos = b.rpos "
                             "WHERE b.uni > 0 AND 100 * b.inter >= 41 * b.uni) "
                             f"SELECT q.pos, q.product_id FROM cr q WHERE NOT EXISTS (SELECT 1 FROM rec r WHERE {eq})")
-    q["resume_skip"] = (base() + ",\n" + direct_ctes(g) + ",\n" + rounds_cte(g) +
-                        " SELECT left_pos, threshold, right_product_id, round(score, 6) AS score FROM rnd "
-                        "WHERE k < 50 AND left_pos IN (SELECT lpos FROM res WHERE match_k IS NULL OR match_k < 50)")
+    done = "(SELECT l.product_id, l.product_name FROM res JOIN cl l ON l.pos = res.lpos WHERE vendor = 'Alpha' AND match_k >= 50)"
+    q["resume_skip"] = (base(2) + ",\n" + direct_ctes(g) + ",\n" + rounds_cte(g) +
+                        " SELECT vendor, left_pos, threshold, right_product_id, round(score, 6) AS score FROM rnd "
+                        f"WHERE vendor = 'Beta' OR (k < 50 AND left_product_id NOT IN (SELECT product_id FROM {done}) "
+                        f"AND left_product_name NOT IN (SELECT product_name FROM {done}))")
+    q["csv_roundtrip"] = (f"WITH {CAT} SELECT pos, product_id, product_name, coalesce(product_desc, '') AS product_desc "
+                          "FROM cat WHERE pos % 2 = 1")
+    q["final_sink"] = (base(2) + ",\n" + direct_ctes(g) + " SELECT res.vendor, l.product_id AS left_product_id, "
+                       "r.product_id AS right_product_id, round(res.score, 6) AS score FROM res JOIN cl l ON l.pos = res.lpos "
+                       "JOIN cr r ON r.vendor = res.vendor AND r.pos = res.match_pos")
+    q["round_file_count"] = (base(2) + ",\n" + direct_ctes(g) + ",\n" + rounds_cte(g) +
+                             " SELECT count(DISTINCT vendor || threshold) AS n_files FROM rnd")
+    q["score_text"] = (f"WITH {CAT} SELECT pos, CAST(regexp_extract(product_price, '\\d*\\.\\d*') AS DOUBLE) AS value FROM cat")
+    q["truncated_tokens"] = (f"SELECT doc_id, array_to_string(t[1:126], ' ') AS kept, len(t) AS n_tokens FROM "
+                             f"(SELECT doc_id, {tokens_sql('text')} AS t FROM documents)")
+    q["assisted_by_name"] = (base() + ",\n" + assisted_ctes(g, by_name=True) + band_view)
+    letters = ", ".join(f"list_avg(list_transform(w, lambda x: (len(x) - len(replace(x, '{c}', '')))::DOUBLE))" for c in "aeiost")
+    q["encoder_udf"] = (f"WITH {CAT}, t AS (SELECT pos, {filtered_tokens_sql('product_name')} AS w FROM cat), "
+                        f"v AS (SELECT pos, CASE WHEN len(w) = 0 THEN CAST([] AS DOUBLE[]) ELSE [{letters}] END AS v FROM t), "
+                        "e AS (SELECT pos, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n, "
+                        "unnest(range(len(v))) AS dim FROM v) "
+                        "SELECT pos, dim::INTEGER AS dim, round(CASE WHEN n > 0 THEN v[dim + 1] / n ELSE 0.0 END, 6) AS value FROM e")
+    li = "regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1)"
+    q["listing_rules"] = (
+        f"WITH e AS (SELECT page_id, unnest({li}) AS t, unnest(generate_series(1, len({li}))) AS rank FROM pages), "
+        "h AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages) "
+        f"SELECT page_id, 'contains' AS rule, rank, {element_text_sql('t')} AS value FROM e WHERE contains(t, '\"/th') "
+        f"UNION ALL SELECT page_id, 'delimiter', 1, regexp_replace({after_sql(element_text_sql('t'), ' ')}, '^\\s+|\\s+$', '', 'g') FROM h "
+        "UNION ALL SELECT page_id, 'nested', rank, "
+        f"translate({element_text_sql('t')}, '()', '') FROM e")
+    q["listing_by_url"] = (f"WITH l AS ({pages_links()}), "
+                           "d AS (SELECT page_id AS detail_page_id, 'https://shop.example/' || split_part(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), ' ', 1) AS key FROM pages), "
+                           f"i AS (SELECT page_id AS detail_page_id, {element_text_sql('inner_html')} AS product_id FROM ({pages_ids()}) WHERE rank = 1) "
+                           "SELECT l.page_id, l.rank, l.href, d.detail_page_id, i.product_id FROM l JOIN d ON d.key = 'https://shop.example' || l.href "
+                           "JOIN i ON i.detail_page_id = d.detail_page_id")
     q["multi_vendor"] = (base(6) + ",\n" + direct_ctes(g) +
                          " SELECT vendor, lpos AS left_pos, match_pos, match_k, round(score, 6) AS score FROM res")
     q["listing_ids"] = (f"SELECT page_id, 'id' AS kind, rank, {element_text_sql('inner_html')} AS value FROM ({pages_ids()}) "

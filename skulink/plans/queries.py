@@ -7,6 +7,7 @@ joined strings; doubles are rounded to 6 places for comparison.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def q_last_in_band(spark, sf):
 
 # -- text for the encoder, pooling, vectors (X9..X16, A9) -------------------------
 def q_stopword_filter(spark, sf):
-    docs = fx.table(spark, sf, "documents").where(F.col("lang") == "en")
+    docs = fx.table(spark, sf, "documents")
     toks = tx.remove_stop_words(tx.tokenize("text"))
     return docs.select("doc_id", F.array_join(toks, " ").alias("filtered"),
                        F.size(toks).alias("n_tokens"))
@@ -300,17 +301,16 @@ def q_right_exclusion(spark, sf):
 
 
 def q_resume_skip(spark, sf):
-    """A resumed run: the log says rounds >= 0.50 are done, with their matches."""
-    L, R = _lr(spark, sf)
+    """A resumed run of two vendors: only Alpha's rounds >= 0.50 are done."""
+    L, R = fx.fixture_left(spark, sf), fx.fixture_right(spark, sf, n_vendors=2)
     first = cz.attach_rows(cz.match_none(L, R, band="direct"), R)
-    earlier = first.where(F.col("match_k") >= RESUME_K)
-    log = rs.log_entries(earlier).unionByName(
-        spark.range(RESUME_K, 81).select(F.lit("threshold").alias("kind"),
-                                          tx.threshold_label(F.col("id")).alias("key")))
-    todo = rs.skip_done_left(L, log)
-    m = cz.attach_rows(cz.match_none(todo, R, band="direct"), R)
-    rnd = cz.round_output(m).join(rs.done_thresholds(log), "threshold", "left_anti")
-    return rnd.select("left_pos", "threshold", "right_product_id", r6("score").alias("score"))
+    earlier = first.where((F.col("match_k") >= RESUME_K) & (F.col("vendor") == "Alpha"))
+    log = materialize(rs.log_entries(earlier).unionByName(
+        spark.range(RESUME_K, 81).select(F.lit("Alpha").alias("vendor"), F.lit("threshold").alias("kind"),
+                                          tx.threshold_label(F.col("id")).alias("key"))))
+    m = cz.attach_rows(cz.match_none(L, R, band="direct", done=log), R)
+    rnd = cz.round_output(m).join(rs.done_thresholds(log), ["vendor", "threshold"], "left_anti")
+    return rnd.select("vendor", "left_pos", "threshold", "right_product_id", r6("score").alias("score"))
 
 
 def q_multi_vendor(spark, sf):
@@ -342,7 +342,8 @@ def q_csv_roundtrip(spark, sf):
     R = fx.fixture_right(spark, sf)
     path = scratch_path(spark, "catalogue")
     ct.write_catalogue(R, path, "Alpha")
-    back = ct.read_catalogue(spark, path, "Alpha", "Alpha")
+    # descriptions are whole documents: cells with line breaks
+    back = ct.read_catalogue(spark, path, "Alpha", "Alpha", multi_line=True)
     return back.select("pos", "product_id", "product_name", "product_desc")
 
 
@@ -352,11 +353,100 @@ def q_round_files_merge(spark, sf):
     rnd = cz.round_output(_banded_rows(spark, sf))
     path = scratch_path(spark, "rounds")
     ct.write_rounds(rnd, path, "Base")
-    back = ct.read_rounds(spark, path, "Base")
+    back = ct.read_rounds(spark, path, "Base", multi_line=True)
     c = consolidate_by_left(back.drop("source_file"))
     return c.select("left_product_id", "threshold", "right_product_id", r6("score").alias("score"))
 
 
+def _two_vendor_rows(spark, sf):
+    L, R = fx.fixture_left(spark, sf), fx.fixture_right(spark, sf, n_vendors=2)
+    return cz.attach_rows(cz.match_none(L, R, band="direct"), R)
+
+
+def q_final_sink(spark, sf):
+    """Written per vendor and read back."""
+    from skulink.session import scratch_path
+    from skulink.sources import catalogue as ct
+    path = scratch_path(spark, "final")
+    ct.write_final(_two_vendor_rows(spark, sf), path, "Base")
+    back = spark.read.parquet(path)
+    return back.select(F.col("vendor").cast("string").alias("vendor"),
+                       F.col("Base_product_id").alias("left_product_id"),
+                       F.col("Vendor_product_id").alias("right_product_id"),
+                       r6("Vendor_Match_Score").alias("score"))
+
+
+def q_round_file_count(spark, sf):
+    """Round tables of two vendors, counted from the files."""
+    from skulink.session import scratch_path
+    from skulink.sources import catalogue as ct
+    path = scratch_path(spark, "rounds")
+    ct.write_rounds(cz.round_output(_two_vendor_rows(spark, sf)), path, "Base", fmt="parquet")
+    return ct.count_files(ct.read_rounds(spark, path, "Base", fmt="parquet"))
+
+
+# -- text helpers and the encoder contract (X12, X17, E1) ---------------------------
+def q_score_text(spark, sf):
+    cat = fx.fixture_catalogue(spark, sf)
+    return cat.select("pos", tx.parse_score_text("product_price").alias("value"))
+
+
+def q_truncated_tokens(spark, sf):
+    toks = tx.tokenize("text")
+    return fx.table(spark, sf, "documents").select(
+        "doc_id", F.array_join(tx.truncate_tokens(toks), " ").alias("kept"),
+        F.size(toks).alias("n_tokens"))
+
+
+def letter_encoder():
+    """A caller's own encoder: one vector of letter counts per token (Arrow batches)."""
+    @F.pandas_udf("array<array<double>>")
+    def encode(texts: pd.Series) -> pd.Series:
+        return pd.Series([[[float(w.count(c)) for c in "aeiost"] for w in t.split(" ")] if t else []
+                          for t in texts])
+    return encode
+
+
+def q_encoder_udf(spark, sf):
+    """Product names through a pandas UDF encoder, each distinct text once."""
+    from skulink.operators.embed import embed_texts
+    cat = fx.fixture_catalogue(spark, sf).select("pos", "product_name")
+    vec = embed_texts(cat, "product_name", encoder=letter_encoder())
+    return (vec.select("pos", F.posexplode("vec").alias("dim", "value"))
+            .select("pos", "dim", r6("value").alias("value")))
+
+
+def q_assisted_by_name(spark, sf):
+    """I7 with the product's name as the search text."""
+    L, R = _lr(spark, sf)
+    return _band_only(cz.match_none(L, R, band="assisted", hit_key="product_name",
+                                    hits=fx.fixture_hits(spark, sf, by="product_name")))
+
+
+# -- listing rules (F5, X18, X19, P6) ----------------------------------------------
+def q_listing_rules(spark, sf):
+    """The rules' options: text an element must hold, a delimiter, nesting and parentheses."""
+    p = fx.table(spark, sf, "pages")
+    rules = {"contains": pg.ListingRule("li", contains='"/th'),
+             "delimiter": pg.ListingRule("title", delimiter=" "),
+             "nested": pg.ListingRule("li", strip_parens=True,
+                                      within=pg.ListingRule("ul", within=pg.ListingRule("nav")))}
+    out = None
+    for name, rule in rules.items():
+        part = pg.extract_listing_ids(p, rule).select(
+            "page_id", F.lit(name).alias("rule"), "rank", F.col("product_id").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_listing_by_url(spark, sf):
+    """J8 + P6: links completed by a base URL meet the detail pages' own URL."""
+    p = fx.table(spark, sf, "pages")
+    h1 = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
+    shop = p.withColumn("url", F.concat(F.lit("https://shop.example/"), F.split(h1, " ", 2)[0]))
+    return pg.two_hop_ids(shop, FIXTURE_RULE, base_url="https://shop.example", key="url")
+
+
 QUERIES = {
     "clean_name": q_clean_name,
     "word_set": q_word_set,
@@ -395,4 +485,12 @@ QUERIES = {
     "multi_vendor": q_multi_vendor,
     "csv_roundtrip": q_csv_roundtrip,
     "round_files_merge": q_round_files_merge,
+    "final_sink": q_final_sink,
+    "round_file_count": q_round_file_count,
+    "score_text": q_score_text,
+    "truncated_tokens": q_truncated_tokens,
+    "encoder_udf": q_encoder_udf,
+    "assisted_by_name": q_assisted_by_name,
+    "listing_rules": q_listing_rules,
+    "listing_by_url": q_listing_by_url,
 }

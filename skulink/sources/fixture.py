@@ -16,7 +16,6 @@ from skulink.functions.text import WORD_SPLIT
 # Fixture labels (ours): the base catalogue and up to six vendors.
 BASE_LABEL = "Base"
 VENDORS = ["Alpha", "Beta", "Gamma", "Delta", "Epsilon", "Zeta"]
-N_NAME_DOCS = 60
 URL_BASE = "https://shop.example/p/"
 IMAGE_BASE = "https://img.example/p/"
 
@@ -29,29 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # doc_id is the key of ``documents``; the filter bounds this side to 60
-    # rows, so it is broadcast with a proven size.
-    docs = table(spark, sf_dir, "documents").where(
-        (F.col("doc_id") >= 0) & (F.col("doc_id") < N_NAME_DOCS))
-    return F.broadcast(docs.select(
-        "doc_id",
-        F.filter(F.split("text", WORD_SPLIT), lambda w: w != "").alias("w")))
-
-
 def fixture_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts as catalogue rows (left and right are split by ``pos``)."""
+    """All parts as catalogue rows (left and right are split by ``pos``).
+
+    Parts 2m and 2m + 1 (one of the base, one of the vendors) take overlapping
+    words of document m modulo the number of documents into their names, and
+    part k has document 3k as description, whole, so every document is used as
+    the tables grow; both are equi-joins on ``doc_id``.
+    """
     p = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     k = F.col("p_partkey")
-    words = _doc_words(spark, sf_dir)   # one broadcast, used for names and descriptions
-    nw = words.select(F.col("doc_id").alias("n_doc"), F.col("w").alias("nw"))
-    dw = words.select(F.col("doc_id").alias("d_doc"), F.col("w").alias("dw"))
-    p = (p.join(nw, nw.n_doc == k % N_NAME_DOCS)
-          .join(dw, dw.d_doc == (k * 3) % N_NAME_DOCS))
-    name_words = F.array_join(
-        F.slice("nw", (F.lit(1) + k % 3).cast("int"),
-                (F.lit(4) + F.expr("(p_partkey div 2) % 5") - k % 3).cast("int")), " ")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_docs = F.lit(max(1, docs.count()))          # answered by the Parquet footers
+    nd = docs.select(F.col("doc_id").alias("n_doc"), F.filter(
+        F.split("text", WORD_SPLIT), lambda w: w != "").alias("nw"))
+    dd = docs.select(F.col("doc_id").alias("d_doc"), F.col("text").alias("d_text"))
+    p = (p.join(nd, nd.n_doc == F.expr("p_partkey div 2") % n_docs, "left")
+          .join(dd, dd.d_doc == (k * 3) % n_docs, "left"))
+    # four to eight words from anywhere in the document
+    name_words = F.array_join(F.slice(
+        F.coalesce("nw", F.array().cast("array<string>")),
+        (F.lit(1) + (F.expr("p_partkey div 2") * 31) % F.greatest(F.lit(1), F.size("nw") - 12)
+         + k % 3).cast("int"), (F.lit(4) + k % 5).cast("int")), " ")
     measure = (F.when(k % 4 == 0, F.concat(F.col("p_size"), F.lit(" mL")))
                 .when(k % 4 == 1, F.concat(F.col("p_size"), F.lit(".5 mm")))
                 .when(k % 4 == 2, F.concat(F.lit("No "), F.col("p_size")))
@@ -60,7 +59,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(k % 7 < 5, F.col("p_name")),
                        F.when(k % 3 == 0, F.lower("p_type")),
                        measure, name_words)
-    desc = F.when(k % 11 != 0, F.array_join(F.slice("dw", 1, 12), " "))
+    desc = F.when(k % 11 != 0, F.col("d_text"))
     pid = F.concat(F.lit("P"), k.cast("string"))
     return p.select(
         k.alias("pos"),
@@ -90,17 +89,25 @@ def fixture_right(spark: SparkSession, sf_dir: str, n_vendors: int = 1) -> DataF
     return right.withColumn("vendor", vendor)
 
 
-def fixture_hits(spark: SparkSession, sf_dir: str, vendor: str = VENDORS[0]) -> DataFrame:
-    """Search hits per left product id: three ranked right ids, none when id % 3 = 1."""
+def fixture_hits(spark: SparkSession, sf_dir: str, vendor: str = VENDORS[0],
+                 by: str = "product_id") -> DataFrame:
+    """Search hits per left product: three ranked right ids, none when key % 3 = 1.
+
+    The ids run over the whole vendor catalogue.  ``by`` is the query text:
+    the product's id or its name.
+    """
     p = table(spark, sf_dir, "part").select("p_partkey")
     k = F.col("p_partkey")
+    n_right = F.lit(max(1, p.where(k % 2 == 1).count()))
     p = p.where((k % 2 == 0) & (k % 3 != 1))
     rank = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("rank")
-    p = p.select(k, rank)
-    right_key = F.lit(2) * ((k * 7 + F.col("rank") * 13) % 90) + 1
-    return p.select(
-        F.lit(vendor).alias("vendor"),
+    right_key = F.lit(2) * ((k * 7 + F.col("rank") * 13) % n_right) + 1
+    hits = p.select(k, rank).select(
+        k.alias("_k"), F.lit(vendor).alias("vendor"),
         F.concat(F.lit("P"), k.cast("string")).alias("query_key"),
         F.col("rank").cast("int").alias("rank"),
-        F.concat(F.lit("P"), right_key.cast("string")).alias("product_id"),
-    )
+        F.concat(F.lit("P"), right_key.cast("string")).alias("product_id"))
+    if by == "product_name":
+        names = fixture_left(spark, sf_dir).select(F.col("pos").alias("_k"), "product_name")
+        hits = hits.drop("query_key").join(names, "_k").withColumnRenamed("product_name", "query_key")
+    return hits.select("vendor", "query_key", "rank", "product_id")

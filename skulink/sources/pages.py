@@ -1,19 +1,23 @@
 """Product ids out of crawled listing pages.
 
 The live site search is replaced by a table of crawled pages
-``(page_id, url, html)``.  Extraction is regex over the HTML text, all
-built-in SQL functions, one pass per page (no parser per row).
+``(page_id, url, html)``.  Elements are found by a tag-balanced scan in
+built-in functions: all tags of the element's name with the text between
+them, a running depth over the tags, and a cut at the tag where the depth
+falls back.  Tag and attribute names match in any case, attribute values in
+either quote or none; an element may be asked for inside another one.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skulink.functions.text import EDGE_SPACE_RE, strip_parens, text_after
+from skulink.functions.vectors import let
 
 # Character references decoded in element text (the common five).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
@@ -23,22 +27,87 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&am
 class ListingRule:
     """Where a listing shows a product id and how to cut it out.
 
-    ``tag``/``css_class``: the element (class matched as one of the
-    element's classes); ``contains``: keep only elements whose markup holds
-    this text (F5); ``delimiter``: keep the text after its first occurrence
-    (X18); ``strip_parens``: drop parentheses (X19).
+    ``tag``: the element's name; ``css_class``: one of its classes (None: any);
+    ``attrs``: attributes it must have, with a value or just be there (None);
+    ``within``: a rule of the element that must enclose it; ``contains``: keep
+    only elements whose markup holds this text (F5); ``delimiter``: keep the
+    text after its first occurrence (X18); ``strip_parens``: drop parentheses
+    (X19).
     """
     tag: str
-    css_class: str
+    css_class: str | None = None
     contains: str | None = None
     delimiter: str | None = None
     strip_parens: bool = False
-
-
-def element_pattern(tag: str, css_class: str) -> str:
-    t, c = re.escape(tag), re.escape(css_class)
-    return (r"(?s)<" + t + r"\b[^>]*\bclass=\"(?:[^\"]*\s)?" + c + r"(?:\s[^\"]*)?\"[^>]*>(.*?)</"
-            + t + r">")
+    attrs: dict[str, str | None] = field(default_factory=dict)
+    within: "ListingRule | None" = None
+
+
+def attribute_pattern(name: str, value: str | None = None, one_of: bool = False) -> str:
+    """Regex for a start tag with the attribute (``one_of``: a word of its value)."""
+    n = r"(?is)^<[^>]*?\s" + re.escape(name)
+    if value is None:
+        return n + r"(?=[\s=/>])"
+    v = re.escape(value)
+    if one_of:
+        quoted = (r'"(?:[^"]*\s)?' + v + r'(?:\s[^"]*)?"' + r"|'(?:[^']*\s)?" + v + r"(?:\s[^']*)?'")
+    else:
+        quoted = f'"{v}"' + f"|'{v}'"
+    return n + r"\s*=\s*(?:" + quoted + "|" + v + r"(?=[\s/>]))"
+
+
+def starts(tag: Column, rule: ListingRule) -> Column:
+    """Whether a tag is a start tag that the rule asks for."""
+    ok = ~tag.startswith("</")
+    if rule.css_class is not None:
+        ok = ok & tag.rlike(attribute_pattern("class", rule.css_class, one_of=True))
+    for name, value in rule.attrs.items():
+        ok = ok & tag.rlike(attribute_pattern(name, value))
+    return ok
+
+
+def elements(markup: Column, rule: ListingRule) -> Column:
+    """Elements of a markup in order: array of struct m (with tags), t (inner markup)."""
+    if rule.within is not None:
+        import dataclasses
+        inner = dataclasses.replace(rule, within=None)
+        return F.flatten(F.transform(elements(markup, rule.within),
+                                     lambda e: elements(e["t"], inner)))
+    tag_re = F.lit(r"(?is)</?" + re.escape(rule.tag) + r"(?=[\s/>])[^>]*>")
+
+    def of_tags(tags, pieces):
+        # +1 at a start tag, -1 at an end tag, 0 at an empty one
+        step = F.transform(tags, lambda t: F.when(t.startswith("</"), -1).when(
+            t.endswith("/>"), 0).otherwise(1))
+        depth = F.aggregate(
+            step, F.struct(F.lit(0).alias("d"), F.array().cast("array<int>").alias("a")),
+            lambda s, x: F.struct((s["d"] + x).alias("d"),
+                                  F.concat(s["a"], F.array(s["d"] + x)).alias("a")),
+            lambda s: s["a"])
+        return let(depth, lambda d: cut(tags, pieces, d))
+
+    def cut(tags, pieces, d):
+        n = F.size(tags)
+        at = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                      lambda i: (i < n) & starts(F.get(tags, i), rule))
+
+        def element(i):
+            # the first later tag that brings the depth back below the start tag's
+            ends = F.filter(F.sequence(i, n - 1), lambda j: F.get(d, j) == F.get(d, i) - 1)
+            end = F.when(F.get(tags, i).endswith("/>"), i).otherwise(F.array_min(ends))
+            return let(end, lambda j: F.when(
+                j > i, F.array_join(F.flatten(F.transform(F.sequence(i + 1, j), lambda k: F.array(
+                    F.get(pieces, k), F.when(k < j, F.get(tags, k)).otherwise("")))), "")
+            ).when(j == i, F.lit("")))
+
+        found = F.transform(at, lambda i: F.struct(F.get(tags, i).alias("s"), element(i).alias("t")))
+        # a start tag that is never closed is no element
+        return F.transform(F.filter(found, lambda e: e["t"].isNotNull()), lambda e: F.struct(
+            F.concat(e["s"], e["t"], F.lit(f"</{rule.tag}>")).alias("m"), e["t"].alias("t")))
+
+    html = F.coalesce(markup, F.lit(""))
+    return let(F.regexp_extract_all(html, tag_re, F.lit(0)),
+               lambda tags: let(F.split(html, tag_re, -1), lambda pieces: of_tags(tags, pieces)))
 
 
 def element_text(inner) -> Column:
@@ -51,11 +120,7 @@ def element_text(inner) -> Column:
 
 def extract_listing_ids(pages: DataFrame, rule: ListingRule) -> DataFrame:
     """``page_id, rank, product_id`` for every matching element, in page order."""
-    pat = element_pattern(rule.tag, rule.css_class)
-    full = F.regexp_extract_all("html", F.lit(pat), 0)
-    inner = F.regexp_extract_all("html", F.lit(pat), 1)
-    els = F.arrays_zip(full.alias("m"), inner.alias("t"))
-    x = pages.select("page_id", F.posexplode(els).alias("i", "e"))
+    x = pages.select("page_id", F.posexplode(elements(F.col("html"), rule)).alias("i", "e"))
     if rule.contains is not None:
         x = x.where(F.col("e.m").contains(rule.contains))
     v = element_text(F.col("e.t"))
@@ -67,10 +132,21 @@ def extract_listing_ids(pages: DataFrame, rule: ListingRule) -> DataFrame:
     return x.select("page_id", (F.col("i") + 1).alias("rank"), v.alias("product_id"))
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """``page_id, rank, href`` of every ``<a href>`` in page order."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"<a\s[^>]*?href=\"([^\"]*)\""), 1)
-    return pages.select("page_id", F.posexplode(hrefs).alias("i", "href")).select(
+HREF_RE = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+
+
+def hrefs(markup: Column) -> Column:
+    """The href of every ``<a>`` in a markup, in order."""
+    quoted = F.regexp_extract_all(markup, F.lit(HREF_RE), F.lit(0))
+    return F.transform(quoted, lambda m: F.regexp_extract(
+        F.regexp_extract(m, r"(?is)href\s*=\s*([\"'].*)$", 1), r"(?s)^.(.*).$", 1))
+
+
+def extract_links(pages: DataFrame, within: ListingRule | None = None) -> DataFrame:
+    """``page_id, rank, href`` of every ``<a href>`` in page order (of an element's only)."""
+    found = (hrefs(F.col("html")) if within is None else
+             F.flatten(F.transform(elements(F.col("html"), within), lambda e: hrefs(e["t"]))))
+    return pages.select("page_id", F.posexplode(found).alias("i", "href")).select(
         "page_id", (F.col("i") + 1).alias("rank"), "href")
 
 
@@ -81,15 +157,22 @@ def heading_key(pages: DataFrame) -> DataFrame:
                         F.concat(F.lit("/"), F.split(h1, " ", 2)[0]).alias("key"))
 
 
-def two_hop_ids(pages: DataFrame, rule: ListingRule, base_url: str = "") -> DataFrame:
-    """J8 + P6: listing link -> detail page -> product id on that page.
+def url_key(pages: DataFrame) -> DataFrame:
+    """Detail-page key: the page's own URL."""
+    return pages.select(F.col("page_id").alias("detail_page_id"), F.col("url").alias("key"))
+
+
+def two_hop_ids(pages: DataFrame, rule: ListingRule, base_url: str = "", key: str = "heading",
+                links_in: ListingRule | None = None) -> DataFrame:
+    """J8 + P6: listing link -> detail page -> first product id on that page.
 
-    ``base_url`` + href is matched against the detail pages' key.  Both
-    sides are equi-joined (shuffle hash/sort-merge; AQE broadcasts a small
-    side from runtime sizes).
+    ``base_url`` + href is matched against the detail pages' key: their URL
+    (``key="url"``) or a path from their heading.  ``links_in`` keeps the
+    links of a listing element only.  Both sides are equi-joined (shuffle
+    hash/sort-merge; AQE broadcasts a small side from runtime sizes).
     """
-    links = extract_links(pages).withColumn("key", F.concat(F.lit(base_url), F.col("href")))
-    details = heading_key(pages)
+    links = extract_links(pages, links_in).withColumn("key", F.concat(F.lit(base_url), F.col("href")))
+    details = {"heading": heading_key, "url": url_key}[key](pages)
     ids = extract_listing_ids(pages, rule).where(F.col("rank") == 1).select(
         F.col("page_id").alias("detail_page_id"), "product_id")
     return (links.join(details, "key").join(ids, "detail_page_id")

@@ -8,8 +8,9 @@ runs the closed-form cascade (policy ``none``: a left row's result depends
 only on the vendor catalogue, so batches are independent).  Left products
 already present in the output are skipped (the matched-id set, S11).
 
-Each batch writes into its own ``batch_id=<n>`` folder with overwrite, so
-a batch replayed after a failure replaces its own output (idempotent).
+Each batch writes into its own ``batch_id=<n>`` folder with overwrite and
+skips only what earlier batches (smaller numbers) have matched with the same
+vendor, so a batch replayed after a failure gives and replaces its own output.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skulink.plans.cascade import attach_rows, match_none
+from skulink.sources.resume import folder_names
 
 LEFT_SCHEMA = T.StructType([
     T.StructField("pos", T.LongType()),
@@ -30,25 +32,28 @@ LEFT_SCHEMA = T.StructType([
 ])
 
 
-def _done_ids(spark: SparkSession, out_path: str) -> DataFrame | None:
-    try:
-        return (spark.read.parquet(out_path).where(F.col("match_k").isNotNull())
-                .select(F.col("left_product_id").alias("product_id")).distinct())
-    except Exception as e:  # nothing written yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+def _batch_path(out_path: str, batch_id: int) -> str:
+    return f"{out_path.rstrip('/')}/batch_id={batch_id}"
+
+
+def done_before(spark: SparkSession, out_path: str, batch_id: int) -> DataFrame | None:
+    """Log rows (vendor, kind, key) of the ids that earlier batches matched."""
+    numbers = [int(n.split("=")[1]) for n in folder_names(spark, out_path)
+               if n.startswith("batch_id=")]
+    earlier = [_batch_path(out_path, b) for b in sorted(numbers) if b < batch_id]
+    if not earlier:
+        return None
+    return (spark.read.parquet(*earlier).where(F.col("match_k").isNotNull())
+            .select("vendor", F.lit("id").alias("kind"), F.col("left_product_id").alias("key"))
+            .distinct())
 
 
 def match_batch(batch: DataFrame, right: DataFrame, out_path: str, batch_id: int,
                 **match_kwargs) -> None:
     """One micro-batch: skip done products, match, write this batch's folder."""
-    spark = batch.sparkSession
-    done = _done_ids(spark, out_path)
-    if done is not None:
-        batch = batch.join(done, "product_id", "left_anti")
-    out = attach_rows(match_none(batch, right, **match_kwargs), right)
-    (out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
+    done = done_before(batch.sparkSession, out_path, batch_id)
+    out = attach_rows(match_none(batch, right, done=done, **match_kwargs), right)
+    out.write.mode("overwrite").parquet(_batch_path(out_path, batch_id))
 
 
 def match_stream(spark: SparkSession, left_dir: str, right: DataFrame, out_path: str,

@@ -6,7 +6,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
+from skulink.operators.candidates import JoinConfig, Keys, SetScorer, left_sets, right_sets
 
 BAND = list(range(40, 29, -1))
 
@@ -58,7 +58,7 @@ def test_scorer_matches_brute_force(spark, seed, hot_limit):
     left = spark.createDataFrame([(i, w) for i, w in enumerate(lws)], "pos long, words array<string>")
     right = spark.createDataFrame([("V", i, w) for i, w in rrows],
                                   "vendor string, pos long, words array<string>")
-    cfg = JoinConfig(hot_limit=hot_limit, salt_limit=4, n_salt=3)
+    cfg = JoinConfig(hot_limit=hot_limit, salt_limit=4)
     sc = SetScorer(left_sets(left), right_sets(right), cfg)
     if hot_limit < 10:
         assert sc.n_hot > 0
@@ -71,6 +71,55 @@ def test_scorer_matches_brute_force(spark, seed, hot_limit):
     assert got_pairs == pairs
 
 
+def test_very_long_name_and_a_word_in_every_name(spark):
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(40)]
+    every = "brand"
+    lws = [sorted({every, *rng.sample(vocab, rng.randint(0, 4))}) for _ in range(60)]
+    rws = [sorted({every, *rng.sample(vocab, rng.randint(0, 4))}) for _ in range(80)]
+    lws.append(sorted(f"long{i}" for i in range(2000)) + ["zz"])
+    rws.append(sorted(f"long{i}" for i in range(1, 2000)))
+    rrows = list(enumerate(rws))
+    left = spark.createDataFrame(list(enumerate(lws)), "pos long, words array<string>")
+    right = spark.createDataFrame([("V", i, w) for i, w in rrows],
+                                  "vendor string, pos long, words array<string>")
+    best, band, _ = _brute({tuple(w) for w in lws}, rrows)
+    assert Keys.fit(1000, 10 ** 6).dtype == "long" and Keys.fit(10 ** 6, 10 ** 9).dtype != "long"
+    for cfg, keys in ((JoinConfig(), None), (JoinConfig(hot_limit=20, salt_limit=10), Keys())):
+        sc = SetScorer(left_sets(left), right_sets(right), cfg)
+        sc.keys = keys or sc.keys            # decimals, as much longer names would take
+        got = {r.lkey: (Fraction(r.inter, r.uni), r.best_pos) for r in sc.best().collect()}
+        assert got == {k: (Fraction(i, u), p) for k, (i, u, p) in best.items()}
+        assert {(r.lkey, r.k): (r.first_pos, r.last_pos) for r in sc.band(BAND).collect()} == band
+
+
+def test_token_join_runs_once_with_hot_words(spark):
+    rng = random.Random(3)
+    sets = _random_sets(rng, 40, [f"w{i}" for i in range(9)], ["H1", "H2"])
+    left = spark.createDataFrame(list(enumerate(sets)), "pos long, words array<string>")
+    right = spark.createDataFrame([("V", i, w) for i, w in enumerate(sets)],
+                                  "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(left), right_sets(right), JoinConfig(hot_limit=3))
+    assert sc.n_hot
+    for df in (sc.best(), sc.band(BAND), sc.pairs_at_least(30)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # the token join is behind the written pair table
+        assert "rwords" not in plan and "CartesianProduct" not in plan
+
+
+def test_candidate_joins_are_equi_joins(spark):
+    sets = [["a", "b"], ["b", "c"], ["a"]]
+    left = spark.createDataFrame(list(enumerate(sets)), "pos long, words array<string>")
+    right = spark.createDataFrame([("V", i, w) for i, w in enumerate(sets)],
+                                  "vendor string, pos long, words array<string>")
+    cold = SetScorer(left_sets(left), right_sets(right))
+    hot = SetScorer(left_sets(left), right_sets(right), JoinConfig(hot_limit=1))
+    for df in (cold.cold_pairs(), cold._cold_join(), cold.prefix_pairs(30), hot.group_pairs()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan, plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_duplicate_right_sets_keep_ordinals(spark):
     left = spark.createDataFrame([(0, ["a", "b"])], "pos long, words array<string>")
     right = spark.createDataFrame([("V", 5, ["a", "b"]), ("V", 9, ["b", "a"]), ("V", 7, ["a"])],

@@ -34,7 +34,7 @@ def test_clean_matches_python(spark):
     names = ["Red Beaker 250 mL Pyrex", "No 5 blue-green 2.5mm wire", "x 12 y 3.5 MM z",
              "SILVER silverware", "Ölflasche 100 ml rot", "", "  spaced   out  "]
     for n in names:
-        assert _one(spark, tx.clean_name, n) == model.clean_text(n), n
+        assert _one(spark, tx.clean_name, n) == model.standard_name(n), n
 
 
 def test_measures_and_colors(spark):
@@ -70,11 +70,35 @@ def test_small_text_helpers(spark):
 def test_tokenize_and_stop_words(spark):
     s = "I don't think it's THE best, is it?"
     toks = _one(spark, lambda c: tx.remove_stop_words(tx.tokenize(c)), s)
-    assert toks == model.tokens(s)
-    assert "n't" in toks and "best" in toks and "the" not in toks
+    assert toks == ["n't", "think", "'s", "best", ",", "?"]
     assert _one(spark, lambda c: tx.tokenize(c), None) == []
 
 
+def test_tokens_literal(spark):
+    cases = {
+        "State-of-the-art 1.5 mL, 1,000 units": ["state-of-the-art", "1.5", "ml", ",", "1,000", "units"],
+        'He said "no" ("yes")...': ["he", "said", "``", "no", "''", "(", "``", "yes", "''", ")", "..."],
+        "I cannot, won't; Cannots": ["i", "can", "not", ",", "wo", "n't", ";", "cannots"],
+        "it's we'll -x- a_b": ["it", "'s", "we", "'ll", "-", "x", "-", "a_b"],
+        "3. 4, v2.0": ["3", ".", "4", ",", "v2", ".", "0"],
+        "": [], " \t\n": [],
+    }
+    for text, want in cases.items():
+        assert _one(spark, lambda c: tx.tokenize(c), text) == want, text
+        assert model.tokens(text) == want, text
+
+
+def test_token_limit_is_a_parameter(spark):
+    text = " ".join(f"t{i}" for i in range(300))
+    got = lambda n: _one(spark, lambda c: tx.truncate_tokens(tx.tokenize(c), *n), text)
+    assert len(got([])) == 126 and got([]) == [f"t{i}" for i in range(126)]
+    assert got([7]) == [f"t{i}" for i in range(7)]
+    from skulink.operators.embed import sentence_vector
+    short = _one(spark, lambda c: sentence_vector(c, max_tokens=5), text)
+    five = _one(spark, sentence_vector, "t0 t1 t2 t3 t4")
+    assert short == five != _one(spark, sentence_vector, text)
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0]],)], "tv array<array<double>>")
     r = df.select(vx.pool_tokens("tv", "mean").alias("m"), vx.pool_tokens("tv", "max").alias("x"),
