@@ -412,14 +412,14 @@ class SetScorer:
         agg = F.min("v") if asc else F.max("v")
         return allv.groupBy("vendor", "lkey", "k").agg(agg.alias(out))
 
-    def restrict(self, active_lsets: DataFrame, pool_rsets: DataFrame,
+    def restrict(self, active_keys: DataFrame, pool_pos: DataFrame,
                  band_ks: list[int] | None = None) -> "SetScorer":
         """A scorer over a shrunken problem sharing this one's pair table.
 
-        For the exclusion loop: the left sets still active and the right
-        sets still in the pool (``right_sets`` of the remaining rows, whose
-        ordinals may have changed).  The token join is not run again: the
-        checkpointed cold pairs are filtered and re-stamped with the pool's
+        For the exclusion loop: ``active_keys`` (vendor, lkey) of the left sets
+        still active and ``pool_pos`` (vendor, rkey, min_pos, max_pos) of the
+        right sets still in the pool.  The token join is not run again: the
+        written cold pairs are filtered and re-stamped with the pool's
         ordinals; the hot-token classification is kept (any fixed split
         into hot and cold tokens is exact).
         """
@@ -427,16 +427,15 @@ class SetScorer:
         new = object.__new__(SetScorer)
         new.cfg, new.hot, new.n_hot, new.keys = self.cfg, self.hot, self.n_hot, self.keys
         new.band_ks = list(self.band_ks if band_ks is None else band_ks)
-        new.lsets = active_lsets
-        hot_cols = self.rsets.select("vendor", "rkey", "hot_r", "hkey_r")
-        new.rsets = pool_rsets.join(hot_cols, ["vendor", "rkey"])
-        pos = pool_rsets.select("vendor", "rkey", "min_pos", "max_pos")
-        new._cold = (base.drop("min_pos", "max_pos").join(pos, ["vendor", "rkey"])
-                     .join(active_lsets.select("lkey"), "lkey", "left_semi"))
+        lkeys = active_keys.select("lkey").distinct()
+        new.lsets = self.lsets.join(lkeys, "lkey", "left_semi")
+        new.rsets = self.rsets.drop("min_pos", "max_pos", "n_rows").join(pool_pos, ["vendor", "rkey"])
+        new._cold = (base.drop("min_pos", "max_pos").join(pool_pos, ["vendor", "rkey"])
+                     .join(active_keys.select("vendor", "lkey").distinct(), ["vendor", "lkey"],
+                           "left_semi"))
         new._join = None
         new._summary = {}
-        new._lgroups = (self.left_groups().join(active_lsets.select("lkey"), "lkey", "left_semi")
-                        if self.n_hot else None)
+        new._lgroups = (self.left_groups().join(lkeys, "lkey", "left_semi") if self.n_hot else None)
         new._gpairs = None
         new._single_use = True   # one consumer per round: no checkpoint of the summary
         return new
