@@ -7,6 +7,7 @@ from skulink.llm.bpe import op5_bpe
 from skulink.llm.decontam import op9_decontaminate
 from skulink.llm.masked_lm import op2_masked_lm
 from skulink.llm.ngramjoin import op4_ngram_join
+from skulink.llm.oracle import LLM_ORACLE  # noqa: F401
 from skulink.llm.pii import op1_pii
 from skulink.llm.quality import op3_quality
 from skulink.llm.shard import op10_shard
@@ -18,4 +19,3 @@ LLM_QUERIES = {f.__name__: f for f in (
     op1_pii, op2_masked_lm, op3_quality, op4_ngram_join, op5_bpe, op6_toxicity, op7_url_filter,
     op8_tokens, op9_decontaminate, op10_shard)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
-LLM_ORACLE: dict[str, str] = {}
