@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from skulink.llm.decontam import WINDOW
 from skulink.llm.ngramjoin import PERCENT, SHINGLE
+from skulink.llm import urlgraph
 from skulink.llm.quality import ALPHA, DELTA, GRID, RULES
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -98,4 +99,48 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
-LLM_ORACLE = {f.__name__: f() for f in (op3_quality, op4_ngram_join, op9_decontaminate)}
+def op7_url_filter() -> str:
+    """Rules, then the two ranks unrolled round by round."""
+    href = urlgraph.HREF.replace("'", "''")
+    host = lambda u: f"translate(regexp_extract({after(u)}, '^([^/?#]*)', 1), '{urlgraph.UPPER}', '{urlgraph.LOWER}')"
+    after = lambda u: f"CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END"
+    fits = [(v, h, p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')")
+            for v, h, p in sorted(urlgraph.RULES, key=lambda r: -len(r[1] + r[2]))]
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{h}{p}'" for _, h, p, c in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for v, _, _, c in fits) + " END"
+    labels = "string_split(host, '.')"
+    ctes = [f"""pg AS (SELECT page_id, {host("coalesce(url, '')")} AS host,
+    regexp_extract({after("coalesce(url, '')")}, '^[^/?#]*([^?#]*)', 1) AS path, coalesce(html, '') AS html FROM pages),
+v AS (SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict FROM pg),
+lk AS (SELECT host, unnest(regexp_extract_all(html, '{href}', 1)) AS u FROM pg),
+li AS (SELECT host AS src, {host("CASE WHEN starts_with(u, '//') THEN 'http:' || u ELSE u END")} AS dst FROM lk),
+l AS (SELECT src, dst, count(*)::DOUBLE AS w FROM li WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+hosts AS (SELECT DISTINCT host FROM (SELECT host FROM pg UNION ALL SELECT dst FROM l) WHERE host <> ''),
+up AS (SELECT DISTINCT array_to_string({labels}[i:], '.') AS a, array_to_string({labels}[i + 1:], '.') AS b
+  FROM (SELECT host, unnest(range(1, len({labels}) - 1)) AS i FROM hosts)),
+e AS (SELECT src, dst, sum(w) AS w FROM (SELECT * FROM l UNION ALL SELECT a, b, {urlgraph.SITE_WEIGHT} FROM up
+  UNION ALL SELECT b, a, {urlgraph.SITE_WEIGHT} FROM up) GROUP BY ALL),
+st AS (SELECT 'good' AS kind, src AS host, dst AS nxt, w / sum(w) OVER (PARTITION BY src) AS p FROM e
+  UNION ALL SELECT 'bad', dst, src, w / sum(w) OVER (PARTITION BY dst) FROM e),
+per AS (SELECT host, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b
+  FROM v WHERE host <> '' GROUP BY ALL),
+sd AS (SELECT 'good' AS kind, host, a / greatest(1, (SELECT sum(a) FROM per)) AS seed FROM per
+  UNION ALL SELECT 'bad', host, b / greatest(1, (SELECT sum(b) FROM per)) FROM per),
+nd AS (SELECT DISTINCT host FROM (SELECT src AS host FROM e UNION ALL SELECT host FROM per)),
+r0 AS (SELECT k.kind, nd.host, coalesce(sd.seed, 0.0) AS seed, coalesce(sd.seed, 0.0) AS rank
+  FROM nd CROSS JOIN (SELECT unnest(['good', 'bad']) AS kind) k LEFT JOIN sd ON sd.host = nd.host AND sd.kind = k.kind)"""]
+    d = urlgraph.DAMPING
+    for i in range(urlgraph.ROUNDS):
+        ctes.append(f"""r{i + 1} AS (SELECT r.kind, r.host, r.seed, {1 - d!r} * r.seed + {d} * coalesce(g.got, 0.0) AS rank
+  FROM r{i} r LEFT JOIN (SELECT st.kind, st.nxt AS host, sum(st.p * x.rank) AS got FROM st JOIN r{i} x
+    ON x.kind = st.kind AND x.host = st.host GROUP BY ALL) g ON g.kind = r.kind AND g.host = r.host)""")
+    return ("WITH " + ",\n".join(ctes) + f""",
+f AS (SELECT host, max(rank) FILTER (kind = 'good') AS trust, max(rank) FILTER (kind = 'bad') AS distrust
+  FROM r{urlgraph.ROUNDS} GROUP BY ALL)
+SELECT page_id, v.host, path, rule, coalesce(verdict, CASE WHEN coalesce(distrust, 0.0)
+  > {urlgraph.RATIO} * coalesce(trust, 0.0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM v LEFT JOIN f ON f.host = v.host""")
+
+
+LLM_ORACLE = {f.__name__: f() for f in (op3_quality, op4_ngram_join, op7_url_filter,
+                                             op9_decontaminate)}
