@@ -53,10 +53,3 @@ def embed_texts(df: DataFrame, text_col: str, out_col: str = "vec",
     vecs = distinct.select("_text", sentence_vector(F.col("_text"), encoder, pooling,
                                                     stop_words).alias(out_col))
     return (df.withColumn("_text", key).join(vecs, "_text", "left").drop("_text"))
-
-
-def text_vectors(texts: DataFrame, encoder: Encoder | None = None, pooling: str = "mean",
-                 stop_words=None) -> DataFrame:
-    """Distinct ``text`` -> ``vec`` table to join against pairs."""
-    return (texts.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
-            .select("text", sentence_vector(F.col("text"), encoder, pooling, stop_words).alias("vec")))

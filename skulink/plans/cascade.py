@@ -24,9 +24,9 @@ from skulink.functions.text import (NO_MATCH_NAME, agreement, color_set, measure
                                     name_words, null_to_empty, threshold_label)
 from skulink.functions.vectors import cosine
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
-from skulink.operators.embed import Encoder, text_vectors
+from skulink.operators.embed import Encoder, sentence_vector
 from skulink.operators.lookup import first_by_key
-from skulink.session import materialize
+from skulink.session import cut, materialize
 from skulink.sources.resume import skip_done_left
 
 SCALE = 100
@@ -169,23 +169,34 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
 def _pair_cosines(pairs: DataFrame, encoder, pooling, stop_words) -> DataFrame:
     """X15 + X16: mean of title and description cosine for each pair row.
 
-    ``pairs`` holds ``l_name, l_desc, r_name, r_desc``; every distinct text
-    is embedded once and joined back.
+    ``pairs`` holds ``l_name, l_desc, r_name, r_desc``.  Texts are told apart
+    by their SHA-256; every distinct text is embedded once, the vectors are
+    written, and pairs meet them by digest, so whole descriptions are shuffled
+    once and never serve as join keys.  The empty text, which a third of all
+    rows may share, is not joined at all: its vector is a constant.
     """
-    pairs = materialize(pairs)
-    texts = (pairs.select(F.col("l_name").alias("text"))
-             .unionByName(pairs.select(F.col("l_desc").alias("text")))
-             .unionByName(pairs.select(F.col("r_name").alias("text")))
-             .unionByName(pairs.select(F.col("r_desc").alias("text"))))
-    vec = text_vectors(texts, encoder, pooling, stop_words)
-    out = pairs
-    for c in ("l_name", "l_desc", "r_name", "r_desc"):
-        v = vec.select(F.col("text").alias(f"_{c}"), F.col("vec").alias(f"v_{c}"))
-        out = out.join(v, null_to_empty(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    texts = ("l_name", "l_desc", "r_name", "r_desc")
+    tid = lambda c: F.when(null_to_empty(c) != "", F.sha2(F.col(c), 256))
+    keyed = cut(pairs.select("*", *[tid(c).alias(f"id_{c}") for c in texts]), "pairs")
+    seen = None
+    for c in texts:
+        part = keyed.where(F.col(f"id_{c}").isNotNull()).select(
+            F.col(f"id_{c}").alias("id"), F.col(c).alias("text"))
+        seen = part if seen is None else seen.unionByName(part)
+    vec = cut(seen.groupBy("id").agg(F.first("text").alias("text"))
+              .select("id", sentence_vector(F.col("text"), encoder, pooling, stop_words).alias("vec")),
+              "vectors")
+    empty = pairs.sparkSession.range(1).select(
+        sentence_vector(F.lit(""), encoder, pooling, stop_words).alias("v")).first()["v"]
+    blank = F.array(*[F.lit(float(x)) for x in empty or []]).cast(vec.schema["vec"].dataType)
+    out = keyed
+    for c in texts:
+        v = vec.select(F.col("id").alias(f"id_{c}"), F.col("vec").alias(f"v_{c}"))
+        out = out.join(v, f"id_{c}", "left").withColumn(f"v_{c}", F.coalesce(f"v_{c}", blank))
     return (out.withColumn("title_sim", cosine("v_l_name", "v_r_name"))
                .withColumn("desc_sim", cosine("v_l_desc", "v_r_desc"))
                .withColumn("sim", (F.col("title_sim") + F.col("desc_sim")) / 2)
-               .drop("v_l_name", "v_l_desc", "v_r_name", "v_r_desc"))
+               .drop(*[f"v_{c}" for c in texts], *[f"id_{c}" for c in texts]))
 
 
 def _direct_band(cands: DataFrame, right: DataFrame, encoder, pooling, stop_words) -> DataFrame:
