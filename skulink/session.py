@@ -69,10 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession, path: str | None = None) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location (never local tmp)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    """A fresh folder under the shared checkpoint location (never local tmp).
+
+    The application's scratch folder is removed when the application ends.
+    """
     # the checkpoint dir is this application's own sub-folder of the setting
-    return f"{base}/skulink-scratch/{name}-{uuid.uuid4().hex}"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skulink-scratch"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, eager: bool = True):
