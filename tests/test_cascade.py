@@ -7,6 +7,7 @@ import model
 from conftest import SF0001, catalogue
 from skulink.plans import cascade as cz
 from skulink.plans.exclusion import match_excluding
+from skulink.session import cut
 from skulink.sources import fixture as fx
 
 
@@ -29,7 +30,8 @@ def _same(got, want):
 
 @pytest.fixture(scope="module")
 def fixture_rows(spark):
-    L, R = fx.fixture_left(spark, SF0001), fx.fixture_right(spark, SF0001)
+    # built once: every test reads the written tables
+    L, R = cut(fx.fixture_left(spark, SF0001)), cut(fx.fixture_right(spark, SF0001))
     return L, R, _rows(L), _rows(R)
 
 
@@ -135,8 +137,8 @@ def test_assisted_exclusion_matches_model(spark, fixture_rows, policy):
     hd = {}
     for h in sorted(hits.collect(), key=lambda r: r["rank"]):
         hd.setdefault(h.query_key, []).append(h.product_id)
-    want = model.run(lrows, rrows, step=2, mode="assisted", policy=policy, hits=hd)
-    got = match_excluding(L, R, policy, grid=cz.Grid(step=0.02), band="assisted", hits=hits,
+    want = model.run(lrows, rrows, step=5, mode="assisted", policy=policy, hits=hd)
+    got = match_excluding(L, R, policy, grid=cz.Grid(step=0.05), band="assisted", hits=hits,
                           hit_key="product_id")
     _same(_spark_result(got), want)
 
