@@ -41,6 +41,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skulink.llm.common import most_frequent
+from skulink.session import cut
+
 TOKENIZER = "word_bpe_49k.json"
 LEXICON = 120_000         # frequent pieces in the automaton
 LONGEST = 48              # bytes of the longest piece that may enter it
@@ -365,10 +368,9 @@ class Codec:
         self.path = path or default_path()
         bpe = WordBpe(self.path)
         # a top-k report: the bound is the operator's parameter
-        top = (piece_counts(docs, self.path, text_col)
-               .where((F.octet_length("piece") <= LONGEST) & ~F.col("piece").isin(*bpe.special))
-               .orderBy(F.desc("n"), "piece").limit(lexicon).collect())
-        entries = {r["piece"].encode(): bpe.merge(r["piece"]) for r in top}
+        counts = cut(piece_counts(docs, self.path, text_col).where(
+            (F.octet_length("piece") <= LONGEST) & ~F.col("piece").isin(*bpe.special)), "bpe-counts")
+        entries = {p.encode(): bpe.merge(p) for p, _ in most_frequent(counts, "piece", lexicon)}
         self.name = uuid.uuid4().hex
         self.block = docs.sparkSession.sparkContext.broadcast(compile_lexicon(entries))
 
