@@ -257,15 +257,16 @@ def with_roots(sets: DataFrame, links: DataFrame) -> DataFrame:
 
 def rest(star: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """(u, v) links between a hub's members in different components."""
-    member = (star.select(F.col("b").alias("hub"), F.col("a").alias("node"))
+    member = cut(star.select(F.col("b").alias("hub"), F.col("a").alias("node"))
               .join(roots, "node")
               .join(roots.select(F.col("node").alias("hub"), F.col("root").alias("home")), "hub")
-              .select("hub", "node", "n", "root", (F.col("root") != F.col("home")).alias("out")))
+              .select("hub", "node", "n", "root", (F.col("root") != F.col("home")).alias("out")),
+                 "members")
     # how many chunks each side of a hub's family takes; the hub itself has met everybody
-    size = member.groupBy("hub").agg(
+    size = cut(member.groupBy("hub").agg(
         F.ceil(F.sum("n") / CHUNK).alias("all_chunks"),
         F.ceil(F.sum(F.when(F.col("out"), F.col("n"))) / CHUNK).alias("out_chunks")).where(
-        "out_chunks > 0")
+        "out_chunks > 0"), "families")
     member = member.join(size, "hub")
     chunk = lambda total: F.pmod(F.xxhash64("node"), F.col(total)).alias
     every = lambda total: F.explode(F.sequence(F.lit(0), F.col(total) - 1)).alias
