@@ -41,14 +41,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skulink.llm.common import most_frequent
+from skulink.llm.common import held, most_frequent, release
 from skulink.session import cut
 
 TOKENIZER = "word_bpe_49k.json"
 LEXICON = 120_000         # frequent pieces in the automaton
 LONGEST = 48              # bytes of the longest piece that may enter it
-COUNTER_ROWS = 400_000    # pieces a counting task holds before it writes them out
-CACHE_ROWS = 400_000      # encoded pieces a worker remembers
+COUNTER_ROWS = 100_000    # pieces a counting task holds before it writes them out
+CACHE_ROWS = 60_000      # encoded pieces a worker remembers
 # white space as Unicode defines it; str.split() also splits at \x1c-\x1f
 SEPARATORS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 EXTRA = re.compile("[\x1c-\x1f]")
@@ -283,18 +283,13 @@ class Lexicon:
 class Encoder:
     """One per Python worker: lexicon first, exact merge for the rest, a bounded memory."""
 
-    _made: dict = {}
-
     def __init__(self, path: str, block: bytes):
         self.bpe, self.lexicon = WordBpe(path), Lexicon(block)
         self.known: dict[str, tuple[int, bytes, bytes, tuple]] = {}
 
     @classmethod
     def of(cls, name: str, path: str, block) -> "Encoder":
-        if name not in cls._made:
-            cls._made.clear()
-            cls._made[name] = cls(path, block.value)
-        return cls._made[name]
+        return held(name, lambda: cls(path, block.value))
 
     def entry(self, ids: list[int]) -> tuple[int, bytes, bytes, tuple]:
         """(count, ids as text, tokens as text, ids) of a piece."""
@@ -320,7 +315,7 @@ class Encoder:
         for t in texts:
             block.append(self.bpe.pieces(t) if t else [])
             size += len(block[-1])
-            if size > 500_000:
+            if size > 200_000:
                 yield from self.encode_block(block)
                 block, size = [], 0
         yield from self.encode_block(block)
@@ -343,6 +338,7 @@ class Encoder:
 def piece_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """(piece, n) over all documents: counted per task, then summed."""
     def count(batches):
+        release()
         bpe = WordBpe(path)
         seen: Counter = Counter()
         for pdf in batches:
@@ -351,7 +347,8 @@ def piece_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFram
                     seen.update(bpe.pieces(text))
                     if len(seen) > COUNTER_ROWS:
                         yield pd.DataFrame({"piece": list(seen), "n": list(seen.values())})
-                        seen = Counter()
+                        seen.clear()
+                        bpe.split_chunks.clear()
         yield pd.DataFrame({"piece": pd.Series(list(seen), dtype=object),
                             "n": pd.Series(list(seen.values()), dtype="int64")})
 

@@ -2,10 +2,43 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_HELD: dict = {}
+
+
+def release() -> None:
+    """Drop what :func:`held` keeps and hand free memory back to the system.
+
+    A Python worker serves one stage after another beside the executor's JVM;
+    pages that allocators keep for later would add up from stage to stage.
+    """
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def held(key, make):
+    """``make()``, kept by this Python worker until another key is asked for.
+
+    Workers outlive their tasks.  One slot for all operators keeps a model or a
+    memory of words from lying beside the next stage's.
+    """
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

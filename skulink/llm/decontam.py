@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skulink.llm.common import fresh
+from skulink.llm.common import fresh, held
 
 WINDOW = 13
 #: (window, item) rows per automaton: about 13 nodes each, some hundred MB at most
@@ -55,8 +55,6 @@ def normal_words(raw: bytes) -> list[bytes]:
 class Automaton:
     """Windows of one block, compiled; built once per Python worker and block."""
 
-    _cache: dict = {}
-
     def __init__(self, rows: list[tuple[str, str]]):
         windows: dict[bytes, set[str]] = {}
         for window, item in rows:
@@ -73,10 +71,7 @@ class Automaton:
     @classmethod
     def of(cls, shared) -> "Automaton":
         name, rows = shared
-        if name not in cls._cache:
-            cls._cache.clear()
-            cls._cache[name] = cls(rows.value)
-        return cls._cache[name]
+        return held(name, lambda: cls(rows.value))
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged runs [first, last] of hit words, and the items with a window here."""

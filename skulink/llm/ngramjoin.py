@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skulink.llm.common import fresh
+from skulink.llm.common import fresh, held
 from skulink.session import cut
 
 SHINGLE = 3          # words
@@ -59,7 +59,7 @@ PERCENT = 90         # Jaccard similarity, in percent
 PARTS = 3            # second-level parts; signatures leave one out
 BAND = 1.25          # ratio of a size band's ends
 CHUNK = 1_000_000    # shingles of the members that meet in one task, per side
-WORDS_KEPT = 500_000  # word hashes a worker remembers
+WORDS_KEPT = 200_000  # word hashes a worker remembers
 
 C1, C2, C3 = (np.uint64(c) for c in
               (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -75,9 +75,6 @@ class WordHashes(dict):
         return h
 
 
-WORD_HASHES = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bit mixer (a bijection of 64-bit integers)."""
     x = (x ^ (x >> np.uint64(30))) * C2
@@ -91,7 +88,7 @@ def shingles(raw: bytes | None, size: int = SHINGLE) -> np.ndarray:
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(held("word hashes", WordHashes).__getitem__, words), np.uint64, n)
     size = min(size, n)
     acc = np.full(n - size + 1, size, np.uint64)
     for i in range(size):

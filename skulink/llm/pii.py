@@ -424,11 +424,15 @@ def redacted(text: str | None, spans) -> str | None:
     return "".join(parts) + text[pos:]
 
 
-def redactor():
-    """Column function: (text, spans) -> text without the spans."""
-    @F.pandas_udf("string")
-    def redact(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([redacted(t, s) for t, s in zip(texts, spans)], dtype=object)
+def redactor(shared):
+    """Column function: text -> struct(n, text): number of spans, text without them."""
+    @F.pandas_udf("n long, text string")
+    def redact(texts: pd.Series) -> pd.DataFrame:
+        m, out = shared.value, []
+        for t in texts:
+            spans = [dict(zip(("kind", "start", "end", "p"), s)) for s in m.spans(t)] if t else []
+            out.append((len(spans), redacted(t, spans)))
+        return pd.DataFrame(out, columns=["n", "text"])
     return redact
 
 
@@ -456,12 +460,12 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all spans are redacted; other texts stay unchanged."""
-    spans = fresh(docs, "_spans")
-    text = redactor()(F.col("text").cast("string"), F.col(spans))
-    new = {"text": text}
+    out = fresh(docs, "_redacted")
+    shared = docs.sparkSession.sparkContext.broadcast(model())
+    new = {"text": F.col(f"{out}.text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(
-            F.size(spans) > 0, F.char_length(text).cast(docs.schema["n_chars"].dataType)
+            F.col(f"{out}.n") > 0, F.char_length(f"{out}.text").cast(docs.schema["n_chars"].dataType)
         ).otherwise(F.col("n_chars"))
-    return with_spans(docs, out_col=spans).select(
+    return docs.withColumn(out, redactor(shared)(F.col("text").cast("string"))).select(
         *[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -34,11 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skulink.llm.bpe import chunks_of
+from skulink.llm.common import held
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"           # word mark
 UNKNOWN_PENALTY = 10.0    # fixed value of the unigram tokenizer
-CACHE_ROWS = 500_000
+CACHE_ROWS = 200_000
 
 
 def default_path() -> str:
@@ -58,8 +59,6 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 class Counter:
     """Piece counts of words; one per Python worker."""
 
-    _made: dict = {}
-
     def __init__(self, vocab: list[tuple[str, float]]):
         self.auto = ahocorasick.Automaton()
         for piece, score in vocab[1:]:
@@ -70,9 +69,7 @@ class Counter:
 
     @classmethod
     def of(cls, path: str) -> "Counter":
-        if path not in cls._made:
-            cls._made[path] = cls(vocabulary(path))
-        return cls._made[path]
+        return held(("counter", path), lambda: cls(vocabulary(path)))
 
     def count(self, word: str) -> int:
         """Pieces of the best segmentation of ``word`` (word mark included)."""

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skulink.llm.common import fresh
+from skulink.llm.common import fresh, held, release
 from skulink.session import cut
 
 SAMPLE = 10_000       # labelled documents the models are fitted on (expected number)
@@ -45,8 +45,8 @@ FOLDS = 3
 STEPS = 150           # optimiser steps per model
 RATE = 30.0           # a feature in every 30th word has the full value 1
 SHORT = 20            # texts of fewer words are taken to have so many
-COUNTER_ROWS = 200_000
-WORDS_KEPT = 400_000
+COUNTER_ROWS = 60_000
+WORDS_KEPT = 100_000
 
 #: category -> SQL over the label columns, in chain order; the last one decides
 CHAIN = {"low_quality": "quality = 0",
@@ -65,18 +65,13 @@ def word_features(word: str) -> list[str]:
 class Features:
     """Text -> (feature numbers, values); remembers the features of words."""
 
-    _made: dict = {}
-
     def __init__(self, names: list[str]):
         self.index = {f: i for i, f in enumerate(names)}
         self.known: dict[str, tuple[int, ...]] = {}
 
     @classmethod
     def of(cls, name: str, shared) -> "Features":
-        if name not in cls._made:
-            cls._made.clear()
-            cls._made[name] = cls(shared.value)
-        return cls._made[name]
+        return held(name, lambda: cls(shared.value))
 
     def word(self, w: str) -> tuple[int, ...]:
         got = self.known.get(w)
@@ -120,6 +115,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 def strongest(rows: DataFrame, categories: list[str], total: int) -> list[str]:
     """Features whose presence goes with a category, by chi-square of the excess."""
     def count(batches):
+        release()
         n: dict[str, list[int]] = {}
         flush = lambda: pd.DataFrame(
             [(f, *v) for f, v in n.items()], columns=["f", "n", *categories])
