@@ -170,6 +170,25 @@ def test_masked_lm_learns_context(spark):
     assert masked_lm.scored(docs.limit(0)).count() == 0
 
 
+def test_masked_lm_trains_on_every_position(spark):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, masked_lm.PAD, n) for n in (1, 0, 2, 7, 7, 3 * masked_lm.BLOCK + 5, 40)]
+    got = list(masked_lm.blocks(texts))
+    seqs = [masked_lm.padded_ids(t) for t in texts]
+    at = [np.arange(len(t)) + masked_lm.WINDOW for t in texts]
+    assert np.array_equal(np.concatenate([t for _, t in got]), np.concatenate(texts))
+    assert np.array_equal(np.concatenate([c for c, _ in got], axis=1), np.concatenate(
+        [masked_lm.context(s, a) for s, a in zip(seqs, at)], axis=1))
+    assert max(len(t) for _, t in got) < 2 * masked_lm.BLOCK and masked_lm.ROUNDS >= 2
+    # texts of two words only: their second word follows from the first
+    pairs = ["red apple", "blue sky", "green tree", "old house"]
+    docs = documents(spark, [(i, pairs[i % 4]) for i in range(4000)])
+    odd = documents(spark, [(0, "red apple"), (1, "red sky")])
+    got = {x["doc_id"]: x["lm"]["score"] for x in masked_lm.scored(
+        odd, model=masked_lm.MaskedLm(docs)).collect()}
+    assert got[0] > got[1] + 1
+
+
 # ---------------------------------------------------------------- op7
 
 def test_url_parts_and_rules(spark):
