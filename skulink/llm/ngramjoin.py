@@ -56,6 +56,7 @@ from skulink.session import cut
 
 SHINGLE = 3          # words
 PERCENT = 90         # Jaccard similarity, in percent
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80   # of the pipeline's near duplicates
 PARTS = 3            # second-level parts; signatures leave one out
 BAND = 1.25          # ratio of a size band's ends
 CHUNK = 1_000_000    # shingles of the members that meet in one task, per side
@@ -355,7 +356,7 @@ def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest id stays."""
-    rows, uid = classes(docs), fresh(docs, "_uid")
+    rows, uid = classes(docs, size=STAGE_SHINGLE, percent=STAGE_PERCENT), fresh(docs, "_uid")
     # one row per class by an aggregate, not a window: a class may be a third of all rows
     keep = rows.where(F.col("root").isNotNull()).groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("uid"))).alias("k")).select(

@@ -88,6 +88,24 @@ def test_ngram_query(spark, sf_rows):
     assert got == brute_classes(sf_rows)
 
 
+def test_stage_drops_copies_between_the_thresholds(spark):
+    words = [f"w{i}" for i in range(300)]
+    subst = list(words)
+    for i in range(25, 300, 50):               # 6 apart: 266 / 326 on five words, 280 / 316 on three
+        subst[i] = f"x{i}"
+    longer = words + [f"y{i}" for i in range(45)]
+    other = list(words)
+    for i in range(5, 300, 30):                # 10 apart: below 0.8 on five words
+        other[i] = f"z{i}"
+    rows = [(i, " ".join(w)) for i, w in enumerate((words, subst, longer, other))] + families()
+    docs = documents(spark, rows)
+    plain = {r["doc_id"]: r["component_id"] for r in ngramjoin.joined(docs.where("doc_id < 4")).collect()}
+    assert plain == {0: 0, 1: 1, 2: 2, 3: 3}   # op4's own parameters
+    got = sorted(r["doc_id"] for r in ngramjoin.stage(spark, docs, SF).collect())
+    assert got == sorted({c for _, _, c in brute_classes(rows, 5, 80)}) and {0, 3} <= set(got)
+    assert not {1, 2} & set(got)
+
+
 def test_components_of_a_long_path(spark):
     from pyspark.sql import functions as F
     path = spark.range(40).select(F.format_string("%04d", F.col("id") + 1).cast("binary").alias("u"),
