@@ -147,7 +147,7 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
-def described(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+def described(docs: DataFrame, size: int) -> DataFrame:
     """uid, id, n_shingles, key (null for empty sets) per row."""
     @F.pandas_udf("n long, key binary")
     def describe(texts: pd.Series) -> pd.DataFrame:
@@ -157,12 +157,11 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
             out.append((len(s), digest(s) if len(s) else None))
         return pd.DataFrame(out, columns=["n", "key"])
 
-    return (docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
-                        describe(F.col(text_col).cast("binary")).alias("d"))
+    return (docs.select("uid", "id", describe("raw").alias("d"))
             .select("uid", "id", F.col("d.n").alias("n_shingles"), F.col("d.key").alias("key")))
 
 
-def signed(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
+def signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(sig, node) rows; a task signs a set once however often it occurs there."""
     def sign(batches):
         seen: set[bytes] = set()
@@ -188,12 +187,10 @@ def signed(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in (sigs, nodes)], ["sig", "node"])
 
-    return docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(
-        sign, "sig long, node long")
+    return docs.select("raw").mapInArrow(sign, "sig long, node long")
 
 
-def shingle_sets(docs: DataFrame, text_col: str, size: int, rows: DataFrame,
-                 nodes: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, size: int, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, key, n, s) of the sets in ``nodes``: one text per set is read again."""
     @F.pandas_udf("array<long>")
     def sets(texts: pd.Series) -> pd.Series:
@@ -202,9 +199,7 @@ def shingle_sets(docs: DataFrame, text_col: str, size: int, rows: DataFrame,
     node = F.expr("conv(hex(substring(key, 1, 8)), 16, -10)").cast("long")
     reps = (rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("uid").alias("uid"))
             .withColumn("node", node).join(nodes, "node", "left_semi"))
-    texts = docs.select(F.monotonically_increasing_id().alias("uid"),
-                        F.col(text_col).cast("binary").alias("raw"))
-    return (texts.join(reps, "uid").select("node", "key", sets("raw").alias("s"))
+    return (docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("s"))
             .withColumn("n", F.size("s")))
 
 
@@ -315,18 +310,25 @@ def linked_pairs(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.Da
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """uid, id, n_shingles, root: rows with equal root are one class (null: alone).
+    """uid, id, n_shingles, root: rows with equal root are one class (null: alone)."""
+    return numbered_classes(cut(docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
+        F.col(text_col).cast("binary").alias("raw")), "rows"), size, percent)
 
-    ``docs`` is read several times and must be a table (a scan), so that row
-    numbers stay the same.
+
+def numbered_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """:func:`classes` of a written table of uid, id and raw (the text's bytes).
+
+    It is read several times.  Row numbers are read from it and never made
+    anew: they follow the file splits, which may differ from scan to scan.
     """
-    rows = cut(described(docs, id_col, text_col, size), "sets")
+    rows = cut(described(docs, size), "sets")
     by_sig = Window.partitionBy("sig")
-    group = cut(signed(docs, text_col, size, percent)
+    group = cut(signed(docs, size, percent)
                 .withColumn("lo", F.min("node").over(by_sig))
                 .withColumn("hi", F.max("node").over(by_sig))
                 .where("lo < hi").select("sig", "node").distinct(), "groups")
-    sets = cut(shingle_sets(docs, text_col, size, rows, group.select("node").distinct()), "shingles")
+    sets = cut(shingle_sets(docs, size, rows, group.select("node").distinct()), "shingles")
     star = cut(group.withColumn("hub", F.min("node").over(by_sig)).where("node <> hub")
                .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
     links = components(verified(star, sets, percent))
@@ -356,11 +358,14 @@ def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest id stays."""
-    rows, uid = classes(docs, size=STAGE_SHINGLE, percent=STAGE_PERCENT), fresh(docs, "_uid")
+    uid = fresh(docs, "_uid")
+    table = cut(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    rows = numbered_classes(table.select(
+        F.col(uid).alias("uid"), F.col("doc_id").alias("id"),
+        F.col("text").cast("binary").alias("raw")), STAGE_SHINGLE, STAGE_PERCENT)
     # one row per class by an aggregate, not a window: a class may be a third of all rows
     keep = rows.where(F.col("root").isNotNull()).groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("uid"))).alias("k")).select(
         "root", F.col("k.uid").alias("first"))
     drop = rows.join(keep, "root").where("uid <> first").select(F.col("uid").alias(uid))
-    return (docs.withColumn(uid, F.monotonically_increasing_id())
-            .join(drop, uid, "left_anti").select(*docs.columns))
+    return table.join(drop, uid, "left_anti").select(*docs.columns)

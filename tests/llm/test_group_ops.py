@@ -106,6 +106,33 @@ def test_stage_drops_copies_between_the_thresholds(spark):
     assert not {1, 2} & set(got)
 
 
+def test_row_numbers_survive_other_file_splits(spark, tmp_path, monkeypatch):
+    r = random.Random(21)
+    rows = [(i, prose(r, 60)) for i in range(60)]
+    rows += [(100 + i, edited(r, rows[i][1], 1)) for i in range(0, 60, 2)]
+    documents(spark, rows).repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    splits = "spark.sql.files.minPartitionNum"
+    signed = ngramjoin.signed
+
+    def other_splits(*args):
+        spark.conf.set(splits, "64")           # as if executors had joined between two jobs
+        return signed(*args)
+
+    monkeypatch.setattr(ngramjoin, "signed", other_splits)
+    try:
+        spark.conf.set(splits, "1")
+        one = docs.rdd.getNumPartitions()
+        got = sorted((tuple(x) for x in ngramjoin.joined(docs).collect()), key=str)
+        assert got == brute_classes(rows)
+        spark.conf.set(splits, "1")
+        kept = sorted(x["doc_id"] for x in ngramjoin.stage(spark, docs, SF).collect())
+        assert kept == sorted({c for _, _, c in brute_classes(rows, 5, 80)})
+        assert spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions() > one
+    finally:
+        spark.conf.unset(splits)
+
+
 def test_components_of_a_long_path(spark):
     from pyspark.sql import functions as F
     path = spark.range(40).select(F.format_string("%04d", F.col("id") + 1).cast("binary").alias("u"),
