@@ -11,8 +11,10 @@ Edges are hyperlinks between different hosts, weighted by their number, and
 site edges in both directions between a host and its parent domain (down to
 two labels), so subdomains share their site's fate.  Links and pages are
 aggregated to host pairs before anything is shuffled; the ranks are two
-columns per host, iterated as joins over the edge table, and every second
-round is written out, which keeps plans short and survives lost executors.
+columns per host, iterated as joins over the edge table, and every few
+rounds are written out, which keeps plans short and survives lost executors.
+Rounds go on until a round reaches no new host, moves less than ``TOLERANCE``
+of rank in all and changes no host's rank by more than that share of it.
 A node without outgoing edges keeps its mass to itself (it is not dealt
 anew).
 
@@ -32,7 +34,9 @@ from skulink.session import cut
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 10
+ROUNDS = 10        # that the SQL check unrolls; the operator goes on until ranks settle
+TOLERANCE = 1e-6   # change of a round at which ranks are settled
+TOGETHER = 5       # rounds between two written states
 RATIO = 2.0
 SITE_WEIGHT = 1.0
 
@@ -91,8 +95,21 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     return links.unionByName(both).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust from ``seeds`` (host, good, bad: shares that sum to 1)."""
+def settled(state: DataFrame, tolerance: float) -> bool:
+    """Whether the last round reached no new host and moved no rank worth naming."""
+    moved = F.abs(F.col("rank") - F.col("before"))
+    got = state.agg(F.count(F.when((F.col("rank") > 0) & (F.col("before") == 0), 1)).alias("new"),
+                    F.sum(moved).alias("all"),
+                    F.max(F.when(F.col("rank") > 0, moved / F.col("rank"))).alias("share")).first()
+    return not got["new"] and max(got["all"] or 0.0, got["share"] or 0.0) <= tolerance
+
+
+def propagated(edges: DataFrame, seeds: DataFrame, rounds: int | None = None,
+               tolerance: float = TOLERANCE) -> DataFrame:
+    """host, trust, distrust from ``seeds`` (host, good, bad: shares that sum to 1).
+
+    Iterates until the ranks are settled, or exactly ``rounds`` rounds if given.
+    """
     out = edges.groupBy("src").agg(F.sum("w").alias("t"))
     into = edges.groupBy("dst").agg(F.sum("w").alias("t"))
     # trust follows links, distrust goes against them
@@ -108,16 +125,21 @@ def propagated(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> Data
                  F.lit("good"), F.coalesce("good", F.lit(0.0)),
                  F.lit("bad"), F.coalesce("bad", F.lit(0.0)))).alias("kind", "seed")))
     state = cut(nodes.withColumn("rank", F.col("seed")), "url-ranks")
-    for i in range(rounds):
-        got = (steps.join(state.select("kind", "host", "rank"), ["kind", "host"])
-               .groupBy("kind", F.col("to").alias("host"))
-               .agg(F.sum(F.col("p") * F.col("rank")).alias("got")))
-        state = (state.join(got, ["kind", "host"], "left")
-                 .select("kind", "host", "seed",
-                         ((1 - DAMPING) * F.col("seed")
-                          + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank")))
-        if i % 2:
-            state = cut(state, "url-ranks")
+    done = 0
+    while rounds is None or done < rounds:
+        n = TOGETHER if rounds is None else min(TOGETHER, rounds - done)
+        for _ in range(n):
+            got = (steps.join(state.select("kind", "host", "rank"), ["kind", "host"])
+                   .groupBy("kind", F.col("to").alias("host"))
+                   .agg(F.sum(F.col("p") * F.col("rank")).alias("got")))
+            state = (state.join(got, ["kind", "host"], "left")
+                     .select("kind", "host", "seed", F.col("rank").alias("before"),
+                             ((1 - DAMPING) * F.col("seed")
+                              + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank")))
+        state = cut(state, "url-ranks")
+        done += n
+        if rounds is None and settled(state, tolerance):
+            break
     return state.groupBy("host").agg(
         F.max(F.when(F.col("kind") == "good", F.col("rank"))).alias("trust"),
         F.max(F.when(F.col("kind") == "bad", F.col("rank"))).alias("distrust"))
@@ -135,7 +157,7 @@ def host_seeds(pages: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-           html_col: str = "html", rules=RULES, rounds: int = ROUNDS) -> DataFrame:
+           html_col: str = "html", rules=RULES, rounds: int | None = None) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, trust, distrust."""
     url = F.col(url_col).cast("string")
     with_host = (pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"),

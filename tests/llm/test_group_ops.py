@@ -278,6 +278,33 @@ def test_ranks_equal_a_dense_iteration(spark):
         assert np.allclose([got[h][k] for h in hosts], rank)
 
 
+def test_ranks_settle_on_a_long_chain(spark):
+    r = random.Random(13)
+    hosts = [f"h{i:02d}.org" for i in range(24)]
+    # h00 -> h01 -> ... -> h17 (the only blocked seed), a dense part behind it
+    edges = {(hosts[i], hosts[i + 1]): 1.0 for i in range(17)}
+    edges |= {(a, b): float(r.randint(1, 5)) for a in hosts[17:] for b in hosts[17:] if a != b}
+    seeds = [(h, float(h == hosts[20]), float(h == hosts[17])) for h in hosts]
+    got = urlgraph.propagated(
+        spark.createDataFrame([(*k, w) for k, w in edges.items()], "src string, dst string, w double"),
+        spark.createDataFrame(seeds, "host string, good double, bad double"))
+    got = {x["host"]: (x["trust"], x["distrust"]) for x in got.collect()}
+    w = np.zeros((24, 24))
+    for (a, b), x in edges.items():
+        w[hosts.index(a), hosts.index(b)] = x
+    for k, m in enumerate((w, w.T)):
+        p = m / np.maximum(m.sum(1, keepdims=True), 1e-300)
+        want = np.linalg.solve(np.eye(24) - 0.85 * p.T, 0.15 * np.array([x[k + 1] for x in seeds]))
+        assert np.allclose([got[h][k] for h in hosts], want, rtol=1e-4, atol=0)
+    assert got[hosts[0]][1] > 0 == got[hosts[0]][0]
+    # pages: a host far up the chain is blocked
+    page = lambda i: f'<a href="http://{hosts[i + 1]}/">x</a>' if i < 17 else None
+    pages = spark.createDataFrame([(i, f"http://{hosts[i]}/", page(i)) for i in range(18)],
+                                  "page_id long, url string, html string")
+    out = urlgraph.judged(pages, rules=(("block", hosts[17], "/"),)).collect()
+    assert {x["verdict"] for x in out} == {"block"} and len(out) == 18
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline(spark, tmp_path):
