@@ -64,6 +64,8 @@ GENERATORS = {
         r"(?:\x20?(?:\[dot\]|\(dot\)|\{dot\}|\x20dot)\x20?[A-Za-z0-9-]{1,63}|\.[A-Za-z0-9-]{1,63}){1,4}", re.I),
     "ipv6": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![0-9A-Fa-f:])"),
 }
+#: ends of spelled-out addresses that sentences rarely have
+MAIL_END = re.compile(r"(?:\.|dot[\])}]?\x20?)(?:com|org|net|edu|gov|io|de|uk)$", re.I)
 CUES = {
     "secret_cue": ("token", "key", "secret", "passw", "auth", "bearer", "credential"),
     "phone_cue": ("phone", "tel", "call", "fax", "mobile", "ring"),
@@ -129,13 +131,15 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     digits = DIGIT.search(text) is not None
     for kind, pattern in GENERATORS.items():
+        # only what every match of the pattern holds may rule it out
         if kind == "email_like":
             low = text.lower()
-            if not ("at]" in low or "at)" in low or "at}" in low or " dot " in low):
+            if not any(at in low for at in ("[at] ", "(at) ", "{at} ", " at ")):
                 continue
-        elif not digits:
-            continue
-        elif kind == "ipv6" and text.count(":") < 3:
+        elif kind == "ipv6":
+            if text.count(":") < 3:
+                continue
+        elif kind != "secret" and not digits:
             continue
         out += [(kind, *m.span()) for m in pattern.finditer(text)]
     return out
@@ -164,7 +168,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
             float(len(d) >= 12 and luhn(d)), float(kind == "account" and iban_ok(s)),
             float(bool(re.match(r"(?:19|20)[0-9]{2}\D", s))), s.count("."), s.count(":"),
             s.count("-"), s.count("/"), float("(" in s), float(s[0] in "0("),
-            float("dot" in s.lower()), float("[" in s or "{" in s), float("::" in s),
+            float("dot" in s.lower()), float(bool(MAIL_END.search(s))), float("[" in s or "{" in s), float("::" in s),
             float(before[-1:] in ("\"", "'")), float(after[:1] in ("\"", "'")),
             float(bool(re.search(r"[=:]\s*[\"']?$", before))),
             *[float(any(c in near for c in cues)) for cues in CUES.values()]]
@@ -210,11 +214,22 @@ def examples(seed: int, n: int = 6000) -> list[tuple[str, str, int, int, bool]]:
                            "2001:db8:" + pick(hexa, 4) + "::" + pick(hexa, 2)))
     spelled = lambda: r.choice((
         f"{word()}.{word()} [at] {word()} [dot] com", f"{word()} (at) {word()}.org",
-        f"{word()} at {word()} dot com", f"{word()}{dig(2)} [at] {word()}.net"))
+        f"{word()} at {word()} dot com", f"{word()}{dig(2)} [at] {word()}.net",
+        f"{word()} at {word()} [dot] {r.choice(('com', 'org', 'net'))}"))
+    letters = lambda: r.choice((
+        lambda: pick(alnum[:52], r.randint(20, 44)), lambda: pick(alnum[26:52], r.randint(20, 40))))()
+    v6_letters = lambda: r.choice((":".join(pick("abcdef", 4) for _ in range(8)),
+                                   "fe" + pick("abcdef", 2) + "::" + ":".join(pick("abcdef", 4) for _ in range(4))))
     #: (kind, personal, value, contexts)
     kinds = [
         ("secret", True, secret, ('token = "{}"', "api_key: {}", "password={}", "Bearer {}", "{}",
                                   "secret '{}'", 'key = "{}"')),
+        ("secret", True, letters, ('token = "{}"', "api_key: {}", "password={}", "Bearer {}", "secret '{}'")),
+        ("secret", False, lambda: r.choice(("-", "_", "/")).join(word() for _ in range(5)) + word() * 2,
+         ("{}", "see {}", "file {}", "the {}")),
+        ("secret", False, lambda: pick("etaoinsrhl", r.randint(16, 30)), ("{}", "the {}", "see {}")),
+        ("secret", False, lambda: "".join(word().capitalize() for _ in range(5)), ("{}", "the {}", "class {}")),
+        ("secret", False, lambda: r.choice("=-_") * r.randint(16, 60), ("{}", "key {}")),
         ("secret", False, lambda: "-".join(word() for _ in range(5)) + "-" + dig(4), ("{}", "see {}")),
         ("secret", False, lambda: pick("etaoinsrhl", r.randint(16, 30)) + dig(r.choice((1, 2, 4))),
          ("{}", "the {}")),
@@ -238,6 +253,14 @@ def examples(seed: int, n: int = 6000) -> list[tuple[str, str, int, int, bool]]:
         ("email_like", True, spelled, ("mail {}", "contact {}", "write to {}", "{}", "reach me: {}")),
         ("email_like", False, lambda: f"{word()} at {word()} dot {word()}",
          ("look {}", "meet {}", "page {}")),
+        ("email_like", True, lambda: f"{word()} at {word()}.{r.choice(('com', 'org', 'net'))}",
+         ("mail {}", "contact {}", "write to {}", "reach me: {}")),
+        ("email_like", False, lambda: f"{word()} at {word()}.{r.choice(('com', 'org', 'net', word()))}",
+         ("look {}", "meet {}", "page {}", "{}")),
+        ("email_like", False, lambda: f"{word()} at {word()}.{word()}", ("{}", "the {}", "contact {}")),
+        ("ipv6", True, v6_letters, ("host {}", "{}", "address {}", "server {}")),
+        ("ipv6", False, lambda: ":".join(pick("abcdef", r.randint(0, 2)) for _ in range(r.randint(4, 8))),
+         ("{}", "ratio {}", "the {}")),
         ("ipv6", True, v6, ("host {}", "{}", "address {}", "server {}")),
         ("ipv6", False, lambda: ":".join(dig(2) for _ in range(r.choice((4, 5)))),
          ("time {}", "ratio {}", "{}", "score {}")),

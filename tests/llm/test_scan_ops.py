@@ -63,6 +63,30 @@ def test_pii_model_on_unseen_examples():
     assert y[picked].mean() > 0.97 and picked[y == 1].mean() > 0.93
 
 
+def test_pii_gates_lose_no_candidate():
+    r = random.Random(31)
+    bits = ["joe", " at ", "[at] ", "(AT) ", " dot ", "[dot]", ".com", "example", " ", "dead:", "::", "beef",
+            "QwErTyUiOpAsDfGh", "12", "123-45-6789", "DE44", "5001 0517 5407", "-", "\u0130", "."]
+    for _ in range(20_000):
+        t = "".join(r.choice(bits) for _ in range(r.randint(1, 12)))
+        assert pii.candidates(t) == [(k, *m.span()) for k, p in pii.GENERATORS.items()
+                                     for m in p.finditer(t)]
+
+
+def test_pii_forms_without_digits():
+    found = lambda t: [(k, t[a:b]) for k, a, b, _ in pii.model().spans(t)]
+    for text, want in (("please mail joe at example [dot] com today", ("email_like", "joe at example [dot] com")),
+                       ("please contact joe at example.com today", ("email_like", "joe at example.com")),
+                       ("server dead:beef:cafe:babe:dead:beef:cafe:babe is up",
+                        ("ipv6", "dead:beef:cafe:babe:dead:beef:cafe:babe")),
+                       ('the token = "QwErTyUiOpAsDfGhJkLzXcVbNm" is set',
+                        ("secret", "QwErTyUiOpAsDfGhJkLzXcVbNm"))):
+        assert found(text) == [want]
+    for text in ("the internationalization of counterrevolutionaries", "they arrived at home.then we left",
+                 "a state-of-the-art-of-writing text", "and so on ::::: end", "=" * 40):
+        assert found(text) == []
+
+
 def test_pii_redaction_and_edges(spark):
     text = 'mail a.b@c.org or +1 (523) 555-1055, token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" end'
     docs = with_clashes(edge_documents(spark).unionByName(documents(spark, [(200, text)])))
