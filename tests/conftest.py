@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF0001 = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,22 +14,3 @@ def spark():
     s = get_spark("local[4]", app_name="skulink-tests", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-CAT_COLS = ["pos", "vendor", "product_category", "product_sub_category", "product_id",
-            "product_name", "product_quantity", "product_price", "product_url", "image_url",
-            "product_desc"]
-
-
-def catalogue(spark, rows, vendor="Alpha"):
-    """Literal catalogue rows: (pos, name[, desc[, id]])."""
-    data = []
-    for r in rows:
-        pos, name = r[0], r[1]
-        desc = r[2] if len(r) > 2 else ""
-        pid = r[3] if len(r) > 3 else f"P{pos}"
-        data.append((pos, vendor, "cat", "sub", pid, name, "1", "1.00", f"u{pos}", f"i{pos}", desc))
-    schema = ("pos long, vendor string, product_category string, product_sub_category string, "
-              "product_id string, product_name string, product_quantity string, "
-              "product_price string, product_url string, image_url string, product_desc string")
-    return spark.createDataFrame(data, schema)

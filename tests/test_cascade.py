@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import model
-from conftest import SF0001, catalogue
+from helpers import SF0001, catalogue
 from skulink.plans import cascade as cz
 from skulink.plans.exclusion import match_excluding
 from skulink.session import cut

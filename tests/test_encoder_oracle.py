@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF0001, catalogue
+from helpers import SF0001, catalogue
 from skulink.operators.embed import embed_texts
 from skulink.plans import cascade as cz
 

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, catalogue
+from helpers import SF0001, catalogue
 from skulink.operators.consolidate import consolidate_by_left, consolidate_by_pair
 from skulink.plans import cascade as cz
 from skulink.sources import catalogue as ct

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF0001
+from helpers import SF0001
 from skulink.plans.queries import QUERIES
 
 # the same plans as a query that stays in the list
