@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from skulink.llm.decontam import WINDOW
 from skulink.llm.ngramjoin import PERCENT, SHINGLE
-from skulink.llm import urlgraph
+from skulink.llm import chatformat, merkle, urlgraph
 from skulink.llm.quality import ALPHA, DELTA, GRID, RULES
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -142,5 +142,115 @@ SELECT page_id, v.host, path, rule, coalesce(verdict, CASE WHEN coalesce(distrus
 FROM v LEFT JOIN f ON f.host = v.host""")
 
 
-LLM_ORACLE = {f.__name__: f() for f in (op3_quality, op4_ngram_join, op7_url_filter,
-                                             op9_decontaminate)}
+# CRC-32 of an ASCII string: the table of 256 remainders, then byte by byte
+CRC_TABLE = """crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def crc32(text: str) -> str:
+    """For queries that also read ``crc``."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), "
+            "lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def op11_chat_format() -> str:
+    esc = lambda c: f"regexp_replace({c}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+    start, sep, part, end = (len(m) for m in chatformat.MARKS)
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, r, '{chatformat.PROBE}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM c),
+f AS (SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY i) = role, false) AS joined FROM o)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length({esc('text')}) + CASE WHEN joined THEN {part} ELSE length({esc('role')}) + {start + sep + end} END)::BIGINT
+    AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+
+def op12_merkle() -> str:
+    part = lambda c: f"coalesce(octet_length(encode(({c})::VARCHAR))::VARCHAR || ':' || ({c})::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    k = merkle.FANOUT
+
+    def tree(name, of, node):
+        run = f"PARTITION BY k, level, pos // {k} ORDER BY pos ROWS BETWEEN"
+        return f"""{name}(k, level, pos, h, n) AS (SELECT k, 0, pos, {node}, n FROM {of} UNION ALL
+  SELECT k, any_value(level) + 1, pos // {k}, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + {k - 1}) // {k})
+  FROM {name} WHERE n > 1 GROUP BY k, pos // {k}),
+{name}_step AS (SELECT k, level, pos,
+    coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name} WHERE n > 1)"""
+
+    def walk(name, tree_name, of):
+        return f"""{name}(id, k, level, pos, cur, proof) AS ({of} UNION ALL
+  SELECT f.id, f.k, f.level + 1, f.pos // {k}, sha256(s.l || f.cur || s.r), f.proof || s.l || s.r
+  FROM {name} f JOIN {tree_name}_step s ON s.k = f.k AND s.level = f.level AND s.pos = f.pos),
+{name}_end AS (SELECT f.* FROM {name} f JOIN {tree_name} t ON t.k = f.k AND t.level = f.level AND t.n = 1)"""
+
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT doc_id, coalesce('=' || source, '') AS k, {leaf('text')} AS leaf,
+    CASE WHEN {crc32('doc_id::VARCHAR')} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS now
+  FROM documents CROSS JOIN crc),
+r AS (SELECT *, row_number() OVER (ORDER BY k, doc_id NULLS FIRST, leaf) AS id,
+    row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY k) AS n FROM d),
+{tree('lv', 'r', 'leaf')},
+sub AS (SELECT k AS source_key, h AS subroot FROM lv WHERE n = 1),
+tr AS (SELECT *, '' AS k, row_number() OVER (ORDER BY source_key) - 1 AS pos, count(*) OVER () AS n FROM sub),
+{tree('tl', 'tr', 'subroot')},
+{walk('f', 'lv', "SELECT id, k, 0, pos, coalesce(now, leaf), '' FROM r")},
+{walk('g', 'tl', "SELECT f.id, '', 0, tr.pos, f.cur, f.proof FROM f_end f JOIN tr ON tr.source_key = f.k")}
+SELECT r.doc_id, r.leaf, sub.subroot, top.h AS root, sha256(g.proof) AS proof_sha256, g.cur AS folded_root,
+  g.cur = top.h AS verified
+FROM r JOIN sub ON sub.source_key = r.k JOIN g_end g ON g.id = r.id CROSS JOIN (SELECT h FROM tl WHERE n = 1) top"""
+
+
+def op13_repair() -> str:
+    """Damage and faults by windows, then the cheapest edits row by row over the four last initials."""
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    inserts = """ins(s, t, c, a, x) AS (VALUES ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''),
+  ('a', 'a', 0, '', ''), ('', 'u', 3, 'I', chr(10) || 'user:'), ('s', 'u', 3, 'I', chr(10) || 'user:'),
+  ('a', 'u', 3, 'I', chr(10) || 'user:'), ('u', 'a', 3, 'I', chr(10) || 'assistant:'),
+  ('', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  ('s', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'))"""
+    return f"""
+WITH RECURSIVE {CRC_TABLE}, {inserts},
+edit(e, s, t, c) AS (SELECT 'D', s, s, 4 FROM (VALUES (''), ('s'), ('u'), ('a')) v(s)
+  UNION ALL VALUES ('K', '', 's', 0), ('K', '', 'u', 0), ('K', 's', 'u', 0), ('K', 'u', 'a', 0), ('K', 'a', 'u', 0),
+  ('R', '', 'u', 3), ('R', 's', 'u', 3), ('R', 'u', 'a', 3), ('R', 'a', 'u', 3)),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS hit FROM conversations CROSS JOIN crc),
+b AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN ''
+    WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN hit = 3 THEN [1, 2] ELSE [1] END) AS copy FROM h WHERE hit <> 0),
+w AS (SELECT conv_id, turn, role, text, role[1] AS x, right(rtrim(text, {space}), 1) AS final,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM b),
+q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au'), false) AS odd FROM w),
+z AS (SELECT *, CASE WHEN final = '' THEN 'b' WHEN again THEN 'd' WHEN final IN ('.', '!', '?') THEN '-' ELSE 't' END AS f
+  FROM q),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+m AS (SELECT ids.conv_id, count(z.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+    count(*) FILTER (odd) AS illegal FROM ids LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM ids.conv_id GROUP BY 1),
+p(conv_id, i, s, best) AS (SELECT conv_id, 0::BIGINT, '', {{'c': 0, 'a': '', 'x': ''}} FROM ids UNION ALL
+  SELECT p.conv_id, p.i + 1, edit.t, min({{'c': p.best.c + ins.c + edit.c + CASE WHEN edit.e <> 'D' AND z.f = 't' THEN 3 ELSE 0 END,
+    'a': p.best.a || ins.a || edit.e, 'x': p.best.x || ins.x || CASE edit.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || z.role || ':' || z.text
+    ELSE chr(10) || CASE edit.t WHEN 'u' THEN 'user:' ELSE 'assistant:' END || z.text END}})
+  FROM p JOIN z ON z.conv_id IS NOT DISTINCT FROM p.conv_id AND z.i = p.i + 1 JOIN ins ON ins.s = p.s JOIN edit ON edit.s = ins.t
+  WHERE (edit.e = 'D' OR z.f IN ('-', 't')) AND (edit.e <> 'K' OR z.x = edit.t) GROUP BY p.conv_id, p.i, edit.t),
+e AS (SELECT p.conv_id, min({{'c': p.best.c + ins.c, 'a': p.best.a || ins.a, 'x': p.best.x || ins.x}}) AS best
+  FROM p JOIN m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.n = p.i JOIN ins ON ins.s = p.s AND ins.t IN ('', 'a')
+  GROUP BY p.conv_id)
+SELECT m.conv_id, gaps, blank, duplicate, truncated, illegal, e.best.c::BIGINT AS cost, e.best.a AS audit,
+  sha256(substr(e.best.x, 2)) AS repaired_sha256
+FROM m JOIN e ON e.conv_id IS NOT DISTINCT FROM m.conv_id"""
+
+
+LLM_ORACLE = {f.__name__: f() for f in (op3_quality, op4_ngram_join, op7_url_filter, op9_decontaminate,
+                                             op11_chat_format, op12_merkle, op13_repair)}
