@@ -1,27 +1,33 @@
 """Scoring join between a base catalogue and vendor catalogues.
 
-Never a cross join.  The plan:
-
-1. Collapse both sides to distinct word sets (A4).  A right set keeps the
-   lowest and highest row ordinal (``min_pos``/``max_pos``), which is all
-   the tie rules need.
-2. Per vendor, a token is *hot* when more than ``hot_limit`` right sets
-   hold it.  Tokens that are not hot are *cold*.
-3. Cold path: an inverted-index equi-join on cold tokens.  Each cold
-   token joins at most ``hot_limit`` right sets, so the pairs it emits are
-   bounded per left set; a token whose pair output (left sets x right
-   sets) is large is split over several join tasks (salting).  A pair
-   sharing several cold tokens is kept once (at its smallest shared cold
-   token, no shuffle) and scored exactly with ``array_intersect``.
-   Thresholded pair lists use the prefix filter instead when no token is
-   hot.
-4. Hot path: pairs that share only hot tokens are never listed one by
-   one.  Right sets are grouped by (hot words, size), left sets likewise;
-   group pairs give the score ``h / (n_l + n_r - h)`` of every member pair
-   without a cold overlap.  Members with a cold overlap are already exact
-   on the cold path and are removed by rank arithmetic where needed.  For
-   the best match only the smallest set of each hot signature can win, so
-   left groups pair with right signatures there.
+Never a cross join.  Both sides collapse to distinct word sets (A4); a right
+set keeps its lowest and highest row ordinal, which is all the tie rules need.
+Every set's words are ranked once, rarest first (by the number of right sets
+holding them, ties by text), and written with the set.
+
+* **Pairs from a score up** (:meth:`SetScorer.pairs_at_least`, the band): a
+  set of size n that is to reach score t indexes only its rarest
+  ``n - ceil(t*n) + 1`` words (prefix filter); sizes alone and the position of
+  the shared word bound the score before two sets are compared.  A pair is kept at
+  its first common word.  Words whose pair count is large are spread over a
+  grid of join tasks, a slice of left sets against a slice of right sets.
+* **Best pair** (:meth:`SetScorer.best`), in stages: left sets that reach a score in
+  the first prefix join are settled there, since all pairs of that score and more
+  were seen.  The rest takes a lower prefix join, and only what is left below it
+  looks at pairs of any score, in two ways:
+
+  - words held by more than ``hot_limit`` right sets are *hot*.  For a left set
+    and a set S of its hot words let ``m(S)`` be the size of the smallest right
+    set holding all of S.  The best of ``|S| / (n + m(S) - |S|)`` over all S is
+    the best score reachable through hot words: each term is
+    reached by a real right set, and the true best pair's own common words give its
+    score.  So right sets are reduced to one row per subset of hot words, and left
+    sets meet them by an equi-join on the subset: no list of pairs at all.
+  - all other words are joined pairwise, with the left set's prefix and position
+    bounds taken from the score that the hot words already gave it.
+
+  A set with more than ``max_subset_words`` hot words keeps the most frequent of
+  them for subsets and the others for the pairwise join.
 
 Scores are compared as integers: ``inter/uni >= k/100`` iff
 ``100*inter >= k*uni``.
@@ -31,13 +37,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skulink.functions.text import set_key
-from skulink.functions.vectors import let
-from skulink.operators.skew import bounded_broadcast
-from skulink.session import cut, materialize
+from skulink.session import cut
 
 
 def _empty_str_array():
@@ -46,9 +50,12 @@ def _empty_str_array():
 
 @dataclass(frozen=True)
 class JoinConfig:
-    hot_limit: int = 5000        # right sets per (vendor, token) before a token is hot
-    salt_limit: int = 100_000    # pairs one token may emit per join task before it is split
-    max_broadcast_rows: int = 200_000
+    hot_limit: int = 300          # right sets that hold a word before it is hot
+    salt_limit: int = 100_000     # pairs one word may emit per join task before it is split
+    max_grid: int = 128           # a word is split into at most max_grid ** 2 join tasks
+    max_subset_words: int = 10    # hot words of a set whose subsets are enumerated
+    first_k: int = 41             # best match: score (hundredths) of the first stage
+    max_vendors: int = 10_000
 
 
 def _key_words(key: str):
@@ -125,190 +132,231 @@ class Keys:
                 (fkey % w).cast("long").alias("uni"))
 
 
+def ranked_sets(lsets: DataFrame, rsets: DataFrame, cfg: JoinConfig = JoinConfig()):
+    """Both sides with their words ranked rarest first: (left, right), written once.
+
+    Adds ``toks`` (words by right frequency, then text), ``grid`` (per word, the
+    side length of its task grid) and ``n_hot`` (hot words, the last ones of ``toks``).
+    """
+    lx = lsets.select("lkey", F.explode("lwords").alias("t"))
+    rx = rsets.select("vendor", "rkey", F.explode("rwords").alias("t"))
+    # one aggregation counts a word on both sides
+    df = (lx.select("t", F.lit(1).alias("l"), F.lit(0).alias("r"))
+          .unionByName(rx.select("t", F.lit(0).alias("l"), F.lit(1).alias("r")))
+          .groupBy("t").agg(F.sum("l").alias("dl"), F.sum("r").alias("dr")))
+    side = F.ceil(F.sqrt(F.col("dl") * F.col("dr") / F.lit(float(cfg.salt_limit))))
+    df = cut(df.select("t", F.col("dr").alias("d"), F.least(
+        F.greatest(side, F.lit(1)), F.lit(cfg.max_grid)).cast("int").alias("g")), "word-counts")
+
+    def ranked(sets, exploded, keys):
+        words = (exploded.join(df, "t").groupBy(*keys)
+                 .agg(F.sort_array(F.collect_list(F.struct("d", "t", "g"))).alias("w")))
+        out = sets.join(words, keys, "left").withColumns({
+            "toks": F.coalesce("w.t", _empty_str_array()),
+            "grid": F.coalesce("w.g", F.array().cast("array<int>")),
+            "n_hot": F.coalesce(F.size(F.filter("w.d", lambda d: d > cfg.hot_limit)), F.lit(0))})
+        return cut(out.drop("w", "lwords", "rwords"), "ranked-sets")
+
+    return ranked(lsets, lx, ["lkey"]), ranked(rsets, rx, ["vendor", "rkey"])
+
+
+def prefix_length(n: Column, k, scale: int = 100) -> Column:
+    """Rarest words of a set of size n of which one must be shared to reach k/scale."""
+    need = F.floor((k * n + (scale - 1)) / F.lit(scale)).cast("int")
+    return n - F.greatest(need, F.lit(1)) + 1
+
+
+def postings(sets: DataFrame, key: str, size: str, first: Column, other: str) -> DataFrame:
+    """One row per word among the ``first`` rarest and per slice of the other side.
+
+    ``at`` is the word's rank in the set, ``s_<key>`` the set's own slice and
+    ``s_<other>`` the slice of the other side that it is to meet.
+    """
+    zipped = F.arrays_zip(F.slice("toks", F.lit(1), first).alias("t"),
+                          F.slice("grid", F.lit(1), first).alias("g"))
+    out = sets.where((F.col(size) > 0) & (first > 0)).select("*", F.posexplode(zipped).alias("at", "w"))
+    return out.select(*[c for c in sets.columns if c != "grid"], "at", F.col("w.t").alias("token"),
+                      F.pmod(F.xxhash64(key), F.col("w.g")).cast("int").alias(f"s_{key}"),
+                      F.explode(F.sequence(F.lit(0), F.col("w.g") - 1)).alias(f"s_{other}"))
+
+
+def meet(lp: DataFrame, rp: DataFrame, reaches) -> DataFrame:
+    """Left and right postings joined on the word; pairs verified and kept at their first common word.
+
+    ``reaches(inter, uni)`` tests a score; it is first asked with the most that sizes and
+    ranks leave possible, so few candidates have their words compared.  With a vendor
+    on the left side only that vendor's right sets are met.
+    """
+    keys = ["token", "s_lkey", "s_rkey"] + (["vendor"] if "vendor" in lp.columns else [])
+    rp = rp.withColumnsRenamed({"toks": "rtoks", "at": "rat"}).drop("n_hot")
+    j = lp.drop("n_hot").join(rp, keys)
+    most = F.least(F.col("nl") - F.col("at"), F.col("nr") - F.col("rat"))
+    j = j.where(reaches(most, F.col("nl") + F.col("nr") - most))
+    # the common words in left order: their number, and whether this word is the first
+    j = j.withColumn("inter", F.transform(
+        F.array(F.array_intersect("toks", "rtoks")),
+        lambda x: F.when(F.get(x, F.lit(0)) == F.col("token"), F.size(x)))[0])
+    uni = F.col("nl") + F.col("nr") - F.col("inter")
+    j = j.where(F.col("inter").isNotNull() & reaches(F.col("inter"), uni))
+    return j.withColumn("uni", uni).drop("toks", "rtoks", "at", "rat", *keys[:3])
+
+
+def at_least(k, scale: int = 100):
+    """Test ``inter/uni >= k/scale`` in integers."""
+    return lambda inter, uni: F.lit(scale) * inter >= k * uni
+
+
+PAIR = ["vendor", "lkey", "rkey", "inter", "uni", "nl", "nr", "min_pos", "max_pos"]
+
+
+def prefix_join(left: DataFrame, right: DataFrame, min_k: int, scale: int = 100) -> DataFrame:
+    """All ranked pairs scoring ``min_k/scale`` or more (any shared word for 0)."""
+    lp = postings(left, "lkey", "nl", prefix_length(F.col("nl"), min_k, scale), "rkey")
+    rp = postings(right, "rkey", "nr", prefix_length(F.col("nr"), min_k, scale), "lkey")
+    return meet(lp, rp, at_least(min_k, scale)).select(*PAIR)
+
+
+def subsets_of(words: Column) -> Column:
+    """Every non-empty subset of an array, joined by spaces (words hold none)."""
+    bit = lambda m, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1
+    masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size(words)) - 1)
+    return F.when(F.size(words) > 0, F.transform(masks, lambda m: F.struct(
+        F.array_join(F.filter(words, lambda _, i: bit(m, i)), " ").alias("s"),
+        F.bit_count(m).cast("int").alias("h"))))
+
+
 class SetScorer:
-    """Shared intermediate tables of one left-vs-right scoring job."""
+    """The staged scoring job of one left side against one right side.
+
+    ``settled_k``: the caller has no use for band rows of left sets whose best score
+    reaches it, so the band joins leave them out.
+    """
 
     def __init__(self, lsets: DataFrame, rsets: DataFrame, cfg: JoinConfig = JoinConfig(),
-                 band_ks: list[int] | None = None):
-        self.cfg = cfg
-        self.band_ks = list(band_ks or [])
-        self.lsets = lsets
-        rp = rsets.select("vendor", "rkey", F.explode("rwords").alias("token"))
-        hot = (rp.groupBy("vendor", "token").count()
-               .where(F.col("count") > cfg.hot_limit).select("vendor", "token"))
-        hot_b, self.n_hot = bounded_broadcast(hot, cfg.max_broadcast_rows)
-        self.hot = hot_b
-        if self.n_hot:
-            rhot = (rp.join(hot_b, ["vendor", "token"])
-                    .groupBy("vendor", "rkey")
-                    .agg(F.array_sort(F.collect_list("token")).alias("hot_r")))
-            rsets = (rsets.join(rhot, ["vendor", "rkey"], "left")
-                     .withColumn("hot_r", F.coalesce("hot_r", _empty_str_array())))
-        else:
-            rsets = rsets.withColumn("hot_r", _empty_str_array())
-        self.rsets = rsets.withColumn("hkey_r", F.array_join("hot_r", " "))
-        # the packed keys are as wide as the longest names and the ordinals ask for
-        size = rsets.agg(F.max("nr").alias("n"), F.max("max_pos").alias("p")).first()
-        self.keys = Keys.fit((lsets.agg(F.max("nl")).first()[0] or 0) + (size["n"] or 0),
-                             size["p"] or 0)
-        self._cold = None
-        self._join = None
-        self._summary: dict = {}
-        self._lgroups = None
-        self._gpairs = None
-
-    # -- cold path ---------------------------------------------------------
-    def cold_pairs(self) -> DataFrame:
-        """Every (vendor, left set, right set) sharing a cold token, scored."""
-        if self._cold is not None:
-            return self._cold
-        cfg = self.cfg
-        lp = self.lsets.select("lkey", "lwords", "nl", F.explode("lwords").alias("token"))
-        rp = self.rsets.select("vendor", "rkey", "rwords", "nr", "min_pos", "max_pos",
-                               "hot_r", "hkey_r", F.explode("rwords").alias("token"))
-        rp = rp.where(~F.array_contains("hot_r", F.col("token")))
-        # A token emits df_left x df_right pairs; split tokens whose pair count
-        # exceeds ``salt_limit`` into buckets: left postings are spread by a
-        # hash of the set key, right postings are copied into every bucket.
-        # (AQE cannot see this skew: the join inputs are small, only the
-        # output explodes.)
-        dl = lp.groupBy("token").agg(F.count(F.lit(1)).alias("dl"))
-        dr = rp.groupBy("token").agg(F.count(F.lit(1)).alias("dr"))
-        cost = F.col("dl") * F.col("dr")
-        heavy = (dl.join(dr, "token").where(cost > cfg.salt_limit)
-                 # no more buckets than left sets, and none is capped otherwise
-                 .select("token", F.least(F.col("dl"), F.ceil(cost / F.lit(cfg.salt_limit)))
-                         .cast("int").alias("ns")))
-        heavy_b, n_heavy = bounded_broadcast(heavy, cfg.max_broadcast_rows)
-        if n_heavy:
-            lp = (lp.join(heavy_b, "token", "left")
-                  .withColumn("salt", F.pmod(F.xxhash64("lkey"), F.coalesce("ns", F.lit(1))).cast("int"))
-                  .drop("ns"))
-            rp = (rp.join(heavy_b, "token", "left")
-                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("ns", F.lit(1)) - 1)))
-                  .drop("ns"))
-            keys = ["token", "salt"]
-        else:
-            keys = ["token"]
-        j = lp.join(rp, keys)
-        cold_shared = F.array_intersect("lwords", F.array_except("rwords", "hot_r"))
-        self._join = j.where(F.col("token") == F.array_min(cold_shared))
-        self._cold = self._score(self._join)
-        if self.n_hot:
-            # best match, both band directions and hot-only pairs all read it:
-            # written once, the token join runs once
-            self._cold = cut(self._cold, "cold-pairs")
-        return self._cold
-
-    def _cold_join(self) -> DataFrame:
-        self.cold_pairs()
-        return self._join
-
-    @staticmethod
-    def _score(j: DataFrame) -> DataFrame:
-        inter = F.size(F.array_intersect("lwords", "rwords"))
-        return (j.select("vendor", "lkey", "rkey", "nl", "nr", "min_pos", "max_pos", "hkey_r",
-                         inter.alias("inter"),
-                         F.size(F.array_intersect("lwords", "hot_r")).alias("h"))
-                .withColumn("uni", F.col("nl") + F.col("nr") - F.col("inter")))
-
-    # -- hot path ----------------------------------------------------------
-    def left_groups(self) -> DataFrame:
-        """(vendor, lkey) -> hot signature ``hkey_l`` for sets holding hot tokens."""
-        if self._lgroups is None:
-            lp = self.lsets.select("lkey", "nl", F.explode("lwords").alias("token"))
-            self._lgroups = (lp.join(self.hot, "token")
-                             .groupBy("vendor", "lkey", "nl")
-                             .agg(F.array_sort(F.collect_list("token")).alias("hot_l"))
-                             .withColumn("hkey_l", F.array_join("hot_l", " ")))
-        return self._lgroups
-
-    def group_pairs(self) -> DataFrame:
-        """Left group x right group pairs sharing a hot token, with ``h``."""
-        if self._gpairs is None:
-            lg = (self.left_groups().select("vendor", "hkey_l", "hot_l", "nl").distinct()
-                  .select("vendor", "hkey_l", "nl", F.explode("hot_l").alias("token")))
-            rg = (self.rsets.where(F.size("hot_r") > 0)
-                  .groupBy("vendor", "hkey_r", "nr")
-                  .agg(F.first("hot_r").alias("hot_r"), F.min("min_pos").alias("g_min_pos"),
-                       F.max("max_pos").alias("g_max_pos")))
-            rgx = rg.select("vendor", "hkey_r", "nr", "g_min_pos", "g_max_pos",
-                            F.explode("hot_r").alias("token"))
-            self._gpairs = (lg.join(rgx, ["vendor", "token"])
-                            .groupBy("vendor", "hkey_l", "nl", "hkey_r", "nr")
-                            .agg(F.count(F.lit(1)).alias("h"),
-                                 F.first("g_min_pos").alias("g_min_pos"),
-                                 F.first("g_max_pos").alias("g_max_pos"))
-                            .withColumn("uni", F.col("nl") + F.col("nr") - F.col("h")))
-        return self._gpairs
-
-    def _signature_pairs(self) -> DataFrame:
-        """Hot-only candidates for the best match, one per right *signature*.
-
-        For a left group and a right hot signature the shared count ``h`` is
-        fixed, so ``h / (n_l + n_r - h)`` is highest for the smallest right
-        set; equal sizes are one group, whose highest ordinal breaks ties.
-        So each signature keeps only its smallest size (packed key: size,
-        then highest ordinal), and left groups pair with signatures instead
-        of (signature, size) groups.
-        """
-        rs = self.rsets.where(F.size("hot_r") > 0)
+                 band_ks: list[int] | None = None, settled_k: int | None = None, ranked=None,
+                 like: "SetScorer | None" = None):
+        self.cfg, self.band_ks, self.settled_k = cfg, list(band_ks or []), settled_k
+        self.left, self.right = ranked or ranked_sets(lsets, rsets, cfg)
+        self._stages: dict = {}
+        if like is not None:     # the same job with fewer rows: its bounds still hold
+            self.vendors, self.keys, self.n_hot, self.many_hot = (
+                like.vendors, like.keys, like.n_hot, like.many_hot)
+            return
+        r = self.right.agg(F.max("nr"), F.max("max_pos"), F.max("n_hot"),
+                           F.approx_count_distinct("vendor")).first()
+        n, hot = self.left.agg(F.max("nl"), F.max("n_hot")).first()
+        if (r[3] or 0) > cfg.max_vendors:
+            raise ValueError(f"about {r[3]} vendors exceed the limit of {cfg.max_vendors}")
+        self.vendors = sorted(v[0] for v in self.right.select("vendor").distinct().collect())
+        # packed keys are as wide as the longest names and the ordinals ask for
+        self.keys = Keys.fit((n or 0) + (r[0] or 0), r[1] or 0)
+        self.n_hot = min(hot or 0, r[2] or 0)
+        self.many_hot = max(hot or 0, r[2] or 0) > cfg.max_subset_words
+
+    # -- stages ------------------------------------------------------------
+    def _stage_ks(self) -> list[int]:
+        """Scores of the prefix joins, high to low; all left sets take part in the first."""
+        low = min(self.band_ks) if self.band_ks else None
+        if low is None:
+            return [max(self.settled_k or self.cfg.first_k, 1)]
+        if self.settled_k and self.settled_k > low:
+            return [self.settled_k, max(low, 1)]
+        return [max(low, 1)]
+
+    def _best_of(self, pairs: DataFrame) -> DataFrame:
+        pk = self.keys.pos_key(F.col("inter"), F.col("uni"), F.col("max_pos"))
+        fk = self.keys.frac_key(F.col("inter"), F.col("uni"))
+        return pairs.groupBy("vendor", "lkey").agg(F.max(pk).alias("pk"), F.max(fk).alias("fk"))
+
+    def _unsettled(self, settled: DataFrame) -> DataFrame:
+        """(vendor, left set) rows that are not in ``settled``."""
+        rows = self.left.withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in self.vendors])))
+        return rows.join(settled.select("vendor", "lkey"), ["vendor", "lkey"], "left_anti")
+
+    def stage(self, i: int):
+        """(pairs, best) of the i-th prefix join; pairs are written, best covers all stages so far."""
+        if i not in self._stages:
+            k = self._stage_ks()[i]
+            if i == 0:
+                pairs = cut(prefix_join(self.left, self.right, k), "pairs")
+                self._stages[i] = pairs, cut(self._best_of(pairs), "best")
+            else:
+                _, before = self.stage(i - 1)
+                pairs = cut(prefix_join(self._unsettled(before), self.right, k), "pairs")
+                self._stages[i] = pairs, before.unionByName(cut(self._best_of(pairs), "best"))
+        return self._stages[i]
+
+    # -- below the last prefix join -----------------------------------------
+    def _subset_words(self) -> Column:
+        """The hottest hot words of a set, in rank order."""
+        n = F.least("n_hot", F.lit(self.cfg.max_subset_words))
+        return F.slice("toks", F.size("toks") - n + 1, n)
+
+    def hot_best(self, rows: DataFrame) -> DataFrame:
+        """(vendor, lkey, pk, fk): best score through hot words, by subset."""
+        key = F.array_join(self._subset_words(), " ")
+        hot = self.right.where(F.col("n_hot") > 0)
+        # smallest size first, then the highest ordinal, in one long
         packed = F.shiftleft(F.col("nr").cast("long"), POS_BITS).bitwiseOR(
             F.lit(MAX_POS) - F.col("max_pos").cast("long"))
-        sig = (rs.groupBy("vendor", "hkey_r")
-               .agg(F.min(packed).alias("_k"))
-               .select("vendor", "hkey_r",
-                       F.shiftright("_k", POS_BITS).cast("int").alias("nr"),
-                       (F.lit(MAX_POS) - F.col("_k").bitwiseAND(F.lit(MAX_POS))).alias("g_max_pos"),
-                       _key_words("hkey_r").alias("hot_r")))
-        lg = (self.left_groups().select("vendor", "hkey_l", "hot_l", "nl").distinct()
-              .select("vendor", "hkey_l", "nl", F.explode("hot_l").alias("token")))
-        sx = sig.select("vendor", "hkey_r", "nr", "g_max_pos", F.explode("hot_r").alias("token"))
-        return (lg.join(sx, ["vendor", "token"])
-                .groupBy("vendor", "hkey_l", "nl", "hkey_r")
-                .agg(F.count(F.lit(1)).alias("h"), F.first("nr").alias("nr"),
-                     F.first("g_max_pos").alias("g_max_pos"))
-                .withColumn("uni", F.col("nl") + F.col("nr") - F.col("h")))
-
-    # -- results -----------------------------------------------------------
-    def cold_summary(self, band_ks: list[int] | None = None, scale: int = 100) -> DataFrame:
-        """One aggregation over the cold pairs per (vendor, lkey).
-
-        ``b``: best pair as struct(score, pos, inter, uni); ``bands``: for each
-        band grid value with an exact-score pair, struct(k, first_pos,
-        last_pos).  Conditional aggregates instead of filters keep the pair
-        scoring out of the join condition (a pushed-down filter would
-        re-evaluate the set intersection at every reference), and one
-        shuffle with partial aggregation serves both the best match and the
-        band.  The result is checkpointed once and shared by both.
+        groups = hot.groupBy("vendor", key.alias("u")).agg(F.min(packed).alias("m"))
+        right = (groups.select("vendor", "m", F.explode(subsets_of(_key_words("u"))).alias("x"))
+                 .groupBy("vendor", F.col("x.s").alias("s")).agg(F.min("m").alias("m")))
+        lefts = rows.where(F.col("n_hot") > 0).select("vendor", "lkey", "nl", key.alias("u"))
+        asked = (lefts.select("vendor", "u", "nl").distinct()
+                 .select("vendor", "u", "nl", F.explode(subsets_of(_key_words("u"))).alias("x"))
+                 .select("vendor", "u", "nl", F.col("x.s").alias("s"), F.col("x.h").alias("h")))
+        got = asked.join(right, ["vendor", "s"])
+        uni = F.col("nl") + F.shiftright("m", POS_BITS).cast("int") - F.col("h")
+        pos = F.lit(MAX_POS) - F.col("m").bitwiseAND(F.lit(MAX_POS))
+        best = got.groupBy("vendor", "u", "nl").agg(
+            F.max(self.keys.pos_key(F.col("h"), uni, pos)).alias("pk"),
+            F.max(self.keys.frac_key(F.col("h"), uni)).alias("fk"))
+        return lefts.join(best, ["vendor", "u", "nl"]).select("vendor", "lkey", "pk", "fk")
+
+    def rest_pairs(self, rows: DataFrame) -> DataFrame:
+        """Pairs with a common word that is not a subset word, scoring the row's bound or more.
+
+        ``rows`` carries the bound as ``inter0/uni0``.
         """
-        ks = tuple(self.band_ks if band_ks is None else band_ks)
-        if (ks, scale) in self._summary:
-            return self._summary[(ks, scale)]
-        c = self.cold_pairs()
-        pk = self.keys.pos_key(F.col("inter"), F.col("uni"), F.col("max_pos"))
-        fk = self.keys.frac_key(F.col("inter"), F.col("uni"))
-        if not ks:
-            out = c.groupBy("vendor", "lkey").agg(F.max(pk).alias("pk"), F.max(fk).alias("fk"))
-        else:
-            # k is null for pairs off the band grid: at most len(ks)+1 groups
-            # per left set, then a second, small aggregation per left set
-            c = c.withColumn("k", _exact_k(F.col("inter"), F.col("uni"), scale, list(ks)))
-            g = c.groupBy("vendor", "lkey", "k").agg(
-                F.max(pk).alias("pk"), F.max(fk).alias("fk"),
-                F.min("min_pos").alias("first_pos"), F.max("max_pos").alias("last_pos"))
-            band = F.when(F.col("k").isNotNull(), F.struct("k", "first_pos", "last_pos"))
-            out = g.groupBy("vendor", "lkey").agg(
-                F.max("pk").alias("pk"), F.max("fk").alias("fk"),
-                F.collect_list(band).alias("bands"))
-        # one row per left set: small next to the pair table, and read by both
-        # the best match and the band; a reliable checkpoint keeps the pair
-        # join from running once per consumer (and survives executor loss)
-        if not getattr(self, "_single_use", False):
-            out = materialize(out)
-        self._summary[(ks, scale)] = out
-        return out
+        cold = lambda sets: F.size("toks") - F.least("n_hot", F.lit(self.cfg.max_subset_words))
+        n, i0, u0 = F.col("nl"), F.col("inter0"), F.col("uni0")
+        need = F.floor((i0 * n + u0 - 1) / u0).cast("int")
+        first = n - F.greatest(need, F.lit(1)) + 1
+        reaches = lambda inter, uni: inter * u0 >= i0 * uni
+        lp = postings(rows, "lkey", "nl", F.least(first, cold(rows)), "rkey")
+        whole = F.size("toks")
+        # without long hot lists a rare word is rare on both sides
+        rp = postings(self.right, "rkey", "nr", whole if self.many_hot else cold(self.right), "lkey")
+        out = meet(lp, rp, reaches)
+        if self.many_hot:
+            # subset word on the left, but not among the right set's subset words
+            own = cold(rows)
+            lp = postings(rows, "lkey", "nl", first, "rkey").where(F.col("at") >= own)
+            rp = postings(self.right, "rkey", "nr", cold(self.right), "lkey")
+            out = out.unionByName(meet(lp, rp, reaches))
+        return out.select(*PAIR)
+
+    def rescored(self, rows: DataFrame) -> DataFrame:
+        """Best pairs of some (vendor, left set) rows alone: vendor, lkey, inter, uni, best_pos."""
+        return self._unpacked(self._any_score(rows))
+
+    def _any_score(self, rows: DataFrame) -> DataFrame:
+        """(vendor, lkey, pk, fk) of ``rows`` over pairs of any score."""
+        if not self.n_hot:
+            return self._best_of(self.rest_pairs(rows.withColumns({"inter0": F.lit(0), "uni0": F.lit(1)})))
+        hot = cut(self.hot_best(rows), "hot-best")
+        _, inter, uni = self.keys.decode(F.col("pk"), F.col("fk"))
+        bound = hot.select("vendor", "lkey", inter.alias("inter0"), uni.alias("uni0"))
+        rows = rows.join(bound, ["vendor", "lkey"], "left").fillna({"inter0": 0, "uni0": 1})
+        return hot.unionByName(self._best_of(self.rest_pairs(rows)))
+
+    def _unpacked(self, best: DataFrame) -> DataFrame:
+        out = best.groupBy("vendor", "lkey").agg(F.max("pk").alias("pk"), F.max("fk").alias("fk"))
+        pos, inter, uni = self.keys.decode(F.col("pk"), F.col("fk"))
+        return out.select("vendor", "lkey", inter, uni, pos)
 
+    # -- results -----------------------------------------------------------
     def best(self) -> DataFrame:
         """A1 per (vendor, lkey): highest score, then highest right ordinal.
 
@@ -317,21 +365,11 @@ class SetScorer:
         same score, e.g. 3/9 for 2/6).  Left sets sharing no word with any
         right set are absent (their best score is 0).
         """
-        cold_best = self.cold_summary().select("vendor", "lkey", "pk", "fk")
-        if not self.n_hot:
-            best = cold_best
-        else:
-            g = self._signature_pairs()
-            gbest = g.groupBy("vendor", "hkey_l", "nl").agg(
-                F.max(self.keys.pos_key(F.col("h"), F.col("uni"), F.col("g_max_pos"))).alias("gpk"),
-                F.max(self.keys.frac_key(F.col("h"), F.col("uni"))).alias("gfk"))
-            hot_best = (self.left_groups().join(gbest, ["vendor", "hkey_l", "nl"])
-                        .select("vendor", "lkey", "gpk", "gfk"))
-            best = (cold_best.join(hot_best, ["vendor", "lkey"], "full")
-                    .select("vendor", "lkey", F.greatest("pk", "gpk").alias("pk"),
-                            F.greatest("fk", "gfk").alias("fk")))
-        pos, inter, uni = self.keys.decode(F.col("pk"), F.col("fk"))
-        return best.select("vendor", "lkey", inter, uni, pos)
+        if "best" not in self._stages:
+            _, settled = self.stage(len(self._stage_ks()) - 1)
+            rows = cut(self._unsettled(settled), "unsettled")
+            self._stages["best"] = cut(self._unpacked(settled.unionByName(self._any_score(rows))), "best")
+        return self._stages["best"]
 
     def band(self, band_ks: list[int], scale: int = 100) -> DataFrame:
         """F2 + A2 + A3 per (vendor, lkey, k) for the band grid values.
@@ -339,182 +377,18 @@ class SetScorer:
         ``first_pos`` = lowest ordinal and ``last_pos`` = highest ordinal of
         a right row whose score is exactly ``k/scale``.
         """
-        a = (self.cold_summary(band_ks, scale)
-             .select("vendor", "lkey", F.explode("bands").alias("x"))
-             .select("vendor", "lkey", F.col("x.k").alias("k"),
-                     F.col("x.first_pos").alias("first_pos"),
-                     F.col("x.last_pos").alias("last_pos")))
-        if not self.n_hot:
-            return a
-        lo = self._band_hot(band_ks, scale, "min")
-        hi = self._band_hot(band_ks, scale, "max")
-        b = lo.join(hi, ["vendor", "lkey", "k"], "full")
-        return (a.join(b, ["vendor", "lkey", "k"], "full")
-                .select("vendor", "lkey", "k",
-                        F.least("first_pos", "b_first").alias("first_pos"),
-                        F.greatest("last_pos", "b_last").alias("last_pos")))
-
-    def _band_hot(self, band_ks, scale, direction: str) -> DataFrame:
-        """Exact-score rows reached only through hot tokens, one direction.
-
-        For left set ``l`` and grid value ``k`` the answer is the extreme
-        ordinal over right sets whose group value is exactly ``k`` and which
-        share no cold token with ``l`` (those are *exceptions*: their true
-        score is higher).  With ``x`` exception groups only the first
-        ``x + 1`` groups in order can hold the answer; inside an exception
-        group with ``e`` exception members only the first ``e + 1`` members
-        can.  Both lists are cut with row_number limits, so no group is
-        ever collected whole.
-        """
-        asc = direction == "min"
-        gpos, spos = ("g_min_pos", "min_pos") if asc else ("g_max_pos", "max_pos")
-        out = "b_first" if asc else "b_last"
-        g = self.group_pairs().withColumn("k", _exact_k(F.col("h"), F.col("uni"), scale, band_ks))
-        g = g.where(F.col("k").isNotNull())
-        gorder = F.col(gpos).asc() if asc else F.col(gpos).desc()
-        # exceptions: cold pairs whose hot-only value is exactly k
-        c = self.cold_pairs().where(F.col("h") > 0)
-        c = c.withColumn("k", _exact_k(F.col("h"), F.col("nl") + F.col("nr") - F.col("h"),
-                                       scale, band_ks)).where(F.col("k").isNotNull())
-        exc_groups = (c.groupBy("vendor", "lkey", "k", "hkey_r", "nr")
-                      .agg(F.count(F.lit(1)).alias("e")))
-        x = exc_groups.groupBy("vendor", "lkey", "k").agg(F.count(F.lit(1)).alias("x"))
-        x_cap = (x.agg(F.max("x")).first()[0] or 0) + 1
-        wg = Window.partitionBy("vendor", "hkey_l", "nl", "k").orderBy(gorder, "hkey_r", "nr")
-        granked = (g.withColumn("grank", F.row_number().over(wg))
-                   .where(F.col("grank") <= x_cap))
-        lk = (self.left_groups().select("vendor", "lkey", "hkey_l", "nl")
-              .join(g.select("vendor", "hkey_l", "nl", "k").distinct(), ["vendor", "hkey_l", "nl"])
-              .join(x, ["vendor", "lkey", "k"], "left")
-              .withColumn("grank", F.explode(F.sequence(F.lit(1), F.coalesce("x", F.lit(0)) + 1))))
-        cand = lk.join(granked, ["vendor", "hkey_l", "nl", "k", "grank"])
-        cand = cand.join(exc_groups, ["vendor", "lkey", "k", "hkey_r", "nr"], "left")
-        plain = cand.where(F.col("e").isNull()).select("vendor", "lkey", "k", F.col(gpos).alias("v"))
-        pieces = [plain]
-        e_cap = exc_groups.agg(F.max("e")).first()[0]
-        if e_cap:
-            worder = F.col(spos).asc() if asc else F.col(spos).desc()
-            wm = Window.partitionBy("vendor", "hkey_r", "nr").orderBy(worder, "rkey")
-            members = (self.rsets.where(F.size("hot_r") > 0)
-                       .select("vendor", "hkey_r", "nr", "rkey", spos)
-                       .withColumn("mrank", F.row_number().over(wm))
-                       .where(F.col("mrank") <= e_cap + 1))
-            eg = (cand.where(F.col("e").isNotNull())
-                  .select("vendor", "lkey", "k", "hkey_r", "nr", "e")
-                  .withColumn("mrank", F.explode(F.sequence(F.lit(1), F.col("e") + 1))))
-            em = eg.join(members, ["vendor", "hkey_r", "nr", "mrank"])
-            em = em.join(c.select("vendor", "lkey", "rkey").distinct(),
-                         ["vendor", "lkey", "rkey"], "left_anti")
-            pieces.append(em.select("vendor", "lkey", "k", F.col(spos).alias("v")))
-        allv = pieces[0]
-        for p in pieces[1:]:
-            allv = allv.unionByName(p)
-        agg = F.min("v") if asc else F.max("v")
-        return allv.groupBy("vendor", "lkey", "k").agg(agg.alias(out))
-
-    def restrict(self, active_keys: DataFrame, pool_pos: DataFrame,
-                 band_ks: list[int] | None = None) -> "SetScorer":
-        """A scorer over a shrunken problem sharing this one's pair table.
-
-        For the exclusion loop: ``active_keys`` (vendor, lkey) of the left sets
-        still active and ``pool_pos`` (vendor, rkey, min_pos, max_pos) of the
-        right sets still in the pool.  The token join is not run again: the
-        written cold pairs are filtered and re-stamped with the pool's
-        ordinals; the hot-token classification is kept (any fixed split
-        into hot and cold tokens is exact).
-        """
-        base = self.materialized_cold()
-        new = object.__new__(SetScorer)
-        new.cfg, new.hot, new.n_hot, new.keys = self.cfg, self.hot, self.n_hot, self.keys
-        new.band_ks = list(self.band_ks if band_ks is None else band_ks)
-        lkeys = active_keys.select("lkey").distinct()
-        new.lsets = self.lsets.join(lkeys, "lkey", "left_semi")
-        new.rsets = self.rsets.drop("min_pos", "max_pos", "n_rows").join(pool_pos, ["vendor", "rkey"])
-        new._cold = (base.drop("min_pos", "max_pos").join(pool_pos, ["vendor", "rkey"])
-                     .join(active_keys.select("vendor", "lkey").distinct(), ["vendor", "lkey"],
-                           "left_semi"))
-        new._join = None
-        new._summary = {}
-        new._lgroups = (self.left_groups().join(lkeys, "lkey", "left_semi") if self.n_hot else None)
-        new._gpairs = None
-        new._single_use = True   # one consumer per round: no checkpoint of the summary
-        return new
-
-    def materialized_cold(self) -> DataFrame:
-        """The cold pair table, checkpointed once (the exclusion loop reads it every round)."""
-        if getattr(self, "_cold_mat", None) is None:
-            cold = self.cold_pairs()
-            self._cold_mat = cold if self.n_hot else cut(cold, "cold-pairs")
-        return self._cold_mat
-
-    def prefix_pairs(self, min_k: int, scale: int = 100) -> DataFrame:
-        """Set pairs with ``inter/uni >= min_k/scale`` by prefix filtering.
-
-        Tokens are ordered by ascending document frequency (ties by text);
-        a set of size n only indexes its first ``n - ceil(t*n) + 1`` tokens,
-        and two sets reaching Jaccard t must share one of those (the prefix
-        filter of the set-similarity-join literature), so frequent tokens
-        rarely enter the join.  A size filter drops pairs whose sizes alone
-        rule the threshold out.  Candidates are kept once (smallest shared
-        prefix token) and verified exactly.
-        """
-        lp = self.lsets.select("lkey", F.explode("lwords").alias("token"))
-        rp = self.rsets.select("vendor", "rkey", F.explode("rwords").alias("token"))
-        df = (lp.select("token").unionByName(rp.select("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-
-        def prefixed(sets, key, words, n, extra):
-            p = (sets.select(*extra, key, F.explode(words).alias("token")).join(df, "token")
-                 .groupBy(*extra, key)
-                 .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o")))
-            size = F.size("o")
-            plen = size - ((F.lit(min_k) * size + scale - 1) / F.lit(scale)).cast("int") + 1
-            return p.select(*extra, key, F.transform(F.slice("o", 1, plen), lambda x: x["token"]).alias("pre"))
-
-        lpre = prefixed(self.lsets, "lkey", "lwords", "nl", [])
-        rpre = prefixed(self.rsets, "rkey", "rwords", "nr", ["vendor"])
-        lx = (lpre.join(self.lsets, "lkey")
-              .select("lkey", "lwords", "nl", "pre", F.explode("pre").alias("token")))
-        rx = (rpre.join(self.rsets, ["vendor", "rkey"])
-              .select("vendor", "rkey", "rwords", "nr", F.col("pre").alias("rpre"),
-                      F.explode("pre").alias("token")))
-        size_ok = ((F.lit(scale) * F.col("nr") >= F.lit(min_k) * F.col("nl"))
-                   & (F.lit(min_k) * F.col("nr") <= F.lit(scale) * F.col("nl")))
-        j = (lx.join(rx, "token").where(size_ok)
-             .where(F.col("token") == F.array_min(F.array_intersect("pre", "rpre"))))
-        ok = let(F.size(F.array_intersect("lwords", "rwords")),
-                 lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
-        inter = F.size(F.array_intersect("lwords", "rwords"))
-        return (j.where(ok).select("vendor", "lkey", "rkey", inter.alias("inter"), "nl", "nr")
-                .select("vendor", "lkey", "rkey", "inter",
-                        (F.col("nl") + F.col("nr") - F.col("inter")).alias("uni")))
+        if scale == 100 and set(band_ks) <= set(self.band_ks):
+            pairs, _ = self.stage(len(self._stage_ks()) - 1)
+        else:
+            pairs = prefix_join(self.left, self.right, max(min(band_ks, default=1), 1), scale)
+        k = _exact_k(F.col("inter"), F.col("uni"), scale, list(band_ks))
+        return (pairs.withColumn("k", k).where(F.col("k").isNotNull()).groupBy("vendor", "lkey", "k")
+                .agg(F.min("min_pos").alias("first_pos"), F.max("max_pos").alias("last_pos")))
 
     def pairs_at_least(self, min_k: int, scale: int = 100) -> DataFrame:
-        """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni.
-
-        Without hot tokens and with a positive floor this is the prefix-filtered
-        join; otherwise every pair sharing a cold token is verified and hot-only
-        pairs come from the group scores.
-        """
-        if not self.n_hot and min_k > 0 and not getattr(self, "_single_use", False):
-            return self.prefix_pairs(min_k, scale)
-        if self.n_hot:
-            out = self.cold_pairs().where(F.lit(scale) * F.col("inter") >= F.lit(min_k) * F.col("uni")) \
-                .select("vendor", "lkey", "rkey", "inter", "uni")
-        else:
-            # floor tested on the raw join rows with the intersection bound once,
-            # so the filter pushed into the join evaluates it once
-            ok = let(F.size(F.array_intersect("lwords", "rwords")),
-                     lambda i: F.lit(scale) * i >= F.lit(min_k) * (F.col("nl") + F.col("nr") - i))
-            return self._score(self._cold_join().where(ok)).select("vendor", "lkey", "rkey", "inter", "uni")
-        g = (self.group_pairs()
-             .where(F.lit(scale) * F.col("h") >= F.lit(min_k) * F.col("uni")))
-        hot = (self.left_groups().join(g, ["vendor", "hkey_l", "nl"])
-               .join(self.rsets.select("vendor", "hkey_r", "nr", "rkey"), ["vendor", "hkey_r", "nr"])
-               .select("vendor", "lkey", "rkey", F.col("h").alias("inter"), "uni")
-               .join(self.cold_pairs().select("vendor", "lkey", "rkey"),
-                     ["vendor", "lkey", "rkey"], "left_anti"))
-        return out.unionByName(hot)
+        """Set pairs with ``inter/uni >= min_k/scale``: vendor, lkey, rkey, inter, uni."""
+        return prefix_join(self.left, self.right, min_k, scale).select(
+            "vendor", "lkey", "rkey", "inter", "uni")
 
 
 def _exact_k(inter, uni, scale: int, ks: list[int]):

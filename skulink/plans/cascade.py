@@ -68,7 +68,9 @@ class Grid:
 
 def prepare_left(left: DataFrame, fold_case: bool = False) -> DataFrame:
     """Left rows with word set, set key and the description by id."""
-    left = left.drop("words", "desc_by_id").withColumn("words", name_words("product_name", fold_case))
+    # written before the self join, so the catalogue and its words are computed once
+    left = cut(left.drop("words", "desc_by_id").withColumn("words", name_words("product_name", fold_case)),
+               "left-words")
     desc = first_by_key(left, "product_id", "pos", "product_desc").withColumnRenamed(
         "product_desc", "desc_by_id")
     return left.join(desc, "product_id", "left")
@@ -122,7 +124,9 @@ def match_none(left: DataFrame, right: DataFrame, grid: Grid = Grid(), band: str
     right = materialize(prepare_right(right, fold_case))
     vendors = vendors_of(right)
     if scorer is None:
-        scorer = SetScorer(left_sets(left), right_sets(right), cfg, band_ks=band_ks)
+        above = [k for k in plain_ks if k > max(band_ks)] if band_ks else []
+        scorer = SetScorer(left_sets(left), right_sets(right), cfg, band_ks=band_ks,
+                           settled_k=min(above) if above else None)
     lv = per_vendor(left, vendors).withColumn("lkey", F.array_join(F.array_sort("words"), " "))
     if done is not None:
         lv = skip_done_left(lv, done)
@@ -232,19 +236,29 @@ def _assisted_band(cands: DataFrame, right: DataFrame, hits: DataFrame, encoder,
     catalogue and the match is the round's first exact-score row.  Without
     hits, the round's last exact-score row is taken at score ``k``.
     """
-    lrows = cands.select("vendor", "pos", "_qkey", "product_name", "desc_by_id").distinct()
+    sims = hit_sims(cands, right, hits, encoder, pooling, stop_words)
+    return _assisted_accept(cands, hits, sims).select("vendor", "pos", "k", "b_pos", "b_score")
+
+
+def hit_sims(rows: DataFrame, right: DataFrame, hits: DataFrame, encoder, pooling, stop_words) -> DataFrame:
+    """(vendor, pos, hit_sim): best mean cosine of a left row over its hits in the catalogue."""
+    lrows = rows.select("vendor", "pos", "_qkey", "product_name", "desc_by_id").distinct()
     found = hit_rows(hits, right).select("vendor", F.col("query_key").alias("_qkey"),
                                          F.col("product_name").alias("r_name"),
                                          F.col("product_desc").alias("r_desc"))
     pairs = (lrows.select("vendor", "pos", "_qkey", F.col("product_name").alias("l_name"),
                           F.col("desc_by_id").alias("l_desc"))
              .join(found, ["vendor", "_qkey"]))
-    s = (_pair_cosines(pairs, encoder, pooling, stop_words)
-         .groupBy("vendor", "pos").agg(F.max("sim").alias("hit_sim")))
+    return (_pair_cosines(pairs, encoder, pooling, stop_words)
+            .groupBy("vendor", "pos").agg(F.max("sim").alias("hit_sim")))
+
+
+def _assisted_accept(cands: DataFrame, hits: DataFrame, sims: DataFrame) -> DataFrame:
+    """Accepted rows of assisted band rounds: vendor, pos, k, b_pos, b_score, with_hits, last_pos."""
     has = hits.select("vendor", F.col("query_key").alias("_qkey")).distinct().withColumn(
         "has_hits", F.lit(True))
     c = (cands.join(has, ["vendor", "_qkey"], "left")
-              .join(s, ["vendor", "pos"], "left"))
+              .join(sims, ["vendor", "pos"], "left"))
     thr = F.col("k") / F.lit(float(SCALE))
     with_hits = F.col("has_hits").isNotNull()
     accept = F.when(with_hits, F.col("hit_sim").isNotNull() & (F.col("hit_sim") >= thr)) \
@@ -252,7 +266,8 @@ def _assisted_band(cands: DataFrame, right: DataFrame, hits: DataFrame, encoder,
     return (c.where(accept)
              .select("vendor", "pos", "k",
                      F.when(with_hits, F.col("first_pos")).otherwise(F.col("last_pos")).alias("b_pos"),
-                     F.when(with_hits, F.col("hit_sim")).otherwise(thr).alias("b_score")))
+                     F.when(with_hits, F.col("hit_sim")).otherwise(thr).alias("b_score"),
+                     with_hits.alias("with_hits"), "last_pos"))
 
 
 # ---------------------------------------------------------------------------

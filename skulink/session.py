@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,10 @@ DEFAULT_CONF = {
 }
 
 
+# tables written by cut(), so a loop can drop what it has replaced
+_PATHS: dict = {}
+
+
 def get_spark(master: str | None = None, app_name: str = "skulink",
               shuffle_partitions: int | None = None,
               extra: dict | None = None, checkpoint_dir: str | None = None) -> SparkSession:
@@ -95,13 +100,30 @@ def materialize(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def cut(df: DataFrame, name: str = "table") -> DataFrame:
+def cut(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Cut lineage at a reuse point with a Parquet table in the shared folder.
 
     Same purpose as :func:`materialize`, for results that are read more than
     once: the table is columnar and compressed, readers prune its columns,
-    and a lost executor re-reads it instead of recomputing the plan.
+    and a lost executor re-reads it instead of recomputing the plan.  With
+    ``partition_by`` readers that ask for one value open its folder only.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.write.partitionBy(partition_by) if partition_by else df.write
+    out.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(df)] = (weakref.ref(df), path)
+    return df
+
+
+def discard(*dfs: DataFrame | None) -> None:
+    """Delete tables written by :func:`cut` once nothing reads them any more.
+
+    Loops call it for the table that a new one replaced; anything else given is left alone.
+    """
+    for df in dfs:
+        ref, path = _PATHS.pop(id(df), (None, None))
+        if ref is not None and ref() is df:
+            spark = df.sparkSession
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -93,28 +93,14 @@ def test_very_long_name_and_a_word_in_every_name(spark):
         assert {(r.lkey, r.k): (r.first_pos, r.last_pos) for r in sc.band(BAND).collect()} == band
 
 
-def test_token_join_runs_once_with_hot_words(spark):
-    rng = random.Random(3)
-    sets = _random_sets(rng, 40, [f"w{i}" for i in range(9)], ["H1", "H2"])
-    left = spark.createDataFrame(list(enumerate(sets)), "pos long, words array<string>")
-    right = spark.createDataFrame([("V", i, w) for i, w in enumerate(sets)],
-                                  "vendor string, pos long, words array<string>")
-    sc = SetScorer(left_sets(left), right_sets(right), JoinConfig(hot_limit=3))
-    assert sc.n_hot
-    for df in (sc.best(), sc.band(BAND), sc.pairs_at_least(30)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        # the token join is behind the written pair table
-        assert "rwords" not in plan and "CartesianProduct" not in plan
-
-
 def test_candidate_joins_are_equi_joins(spark):
     sets = [["a", "b"], ["b", "c"], ["a"]]
     left = spark.createDataFrame(list(enumerate(sets)), "pos long, words array<string>")
     right = spark.createDataFrame([("V", i, w) for i, w in enumerate(sets)],
                                   "vendor string, pos long, words array<string>")
-    cold = SetScorer(left_sets(left), right_sets(right))
-    hot = SetScorer(left_sets(left), right_sets(right), JoinConfig(hot_limit=1))
-    for df in (cold.cold_pairs(), cold._cold_join(), cold.prefix_pairs(30), hot.group_pairs()):
+    sc = SetScorer(left_sets(left), right_sets(right), JoinConfig(hot_limit=1), band_ks=BAND)
+    rows = sc.left.withColumns({"vendor": F.lit("V"), "inter0": F.lit(0), "uni0": F.lit(1)})
+    for df in (sc.hot_best(rows), sc.rest_pairs(rows), sc.pairs_at_least(30), sc.pairs_at_least(0)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Join" in plan, plan
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -154,5 +140,5 @@ def test_prefix_filter_join_is_exact(spark, seed, min_k):
             i, u = len(set(lw) & set(rw)), len(set(lw) | set(rw))
             if i and 100 * i >= min_k * u:
                 want.add((" ".join(sorted(lw)), " ".join(sorted(rw)), i, u))
-    got = {(r.lkey, r.rkey, r.inter, r.uni) for r in sc.prefix_pairs(min_k).collect()}
+    got = {(r.lkey, r.rkey, r.inter, r.uni) for r in sc.pairs_at_least(min_k).collect()}
     assert got == want
