@@ -250,43 +250,64 @@ def rounds_cte(grid: Grid) -> str:
   LEFT JOIN cr r ON r.vendor = res.vendor AND r.pos = res.match_pos)"""
 
 
-def exclusion_sql(policy: str, grid: Grid) -> str:
-    """Round-by-round unrolled cascade with right-row exclusion (direct band)."""
-    band = set(grid.band_ks)
-    ctes = [base(), "a0 AS (SELECT pos AS lpos FROM cl)", "p0 AS (SELECT * FROM cr)"]
-    content = ["vendor"] + FIELDS + ["product_desc"]
+def exclusion_sql(policy: str, grid: Grid, assisted: bool = False, n_vendors: int = 1) -> str:
+    """Cascade with right-row exclusion, one group of CTEs per round over one written pair table."""
+    content = FIELDS + ["product_desc"]
+    band = grid.band_ks
+    same = "md5(concat_ws(chr(1), " + ", ".join(f"coalesce({c}, '')" for c in content) + "))"
+    exact = (f"uni > 0 AND (100 * inter) % uni = 0 AND 100 * inter >= {min(band)} * uni "
+             f"AND 100 * inter <= {max(band)} * uni")
+    ctes = [base(n_vendors), f"ct AS MATERIALIZED (SELECT vendor, pos AS rpos, {same} AS content FROM cr)",
+            "pm AS MATERIALIZED (SELECT * FROM pr)",
+            "a0 AS MATERIALIZED (SELECT DISTINCT vendor, lpos FROM pm)", "p0 AS MATERIALIZED (SELECT * FROM ct)"]
+    if assisted:
+        ctes += [HITS, """hr AS (SELECT h.vendor, h.query_key, r.product_name AS r_name, r.product_desc AS r_desc
+  FROM hits h JOIN (SELECT *, row_number() OVER (PARTITION BY vendor, product_id ORDER BY pos) AS rn FROM cr) r
+    ON r.vendor = h.vendor AND r.product_id = h.product_id AND r.rn = 1)""",
+                 f"""hp AS (SELECT e.vendor, e.lpos, l.product_name AS l_name, l.product_desc AS l_desc, hr.r_name, hr.r_desc
+  FROM (SELECT DISTINCT vendor, lpos FROM pm WHERE {exact}) e JOIN cl l ON l.pos = e.lpos
+  JOIN hr ON hr.vendor = e.vendor AND hr.query_key = l.product_id)""", embed_ctes("hp"),
+                 "hs AS MATERIALIZED (SELECT vendor, lpos, max(sim) AS hit_sim FROM ps GROUP BY ALL)",
+                 """hh AS MATERIALIZED (SELECT DISTINCT h.vendor, l.pos AS lpos FROM hits h
+  JOIN cl l ON l.product_id = h.query_key)"""]
+    else:
+        ctes += [f"""dp AS (SELECT x.vendor, x.lpos, x.rpos, l.product_name AS l_name, l.product_desc AS l_desc,
+  r.product_name AS r_name, r.product_desc AS r_desc FROM pm x JOIN cl l ON l.pos = x.lpos
+  JOIN cr r ON r.pos = x.rpos WHERE {exact})""", embed_ctes("dp"),
+                 "sm AS MATERIALIZED (SELECT vendor, lpos, rpos, sim FROM ps)"]
     accs = []
     for j, k in enumerate(grid.ks):
-        a, p = f"a{j}", f"p{j}"
-        pairs = f"""x{j} AS (SELECT r.vendor, l.lpos, r.pos AS rpos,
-      len(list_intersect(lw.w, r.w)) AS inter, len(lw.w) + len(r.w) - len(list_intersect(lw.w, r.w)) AS uni
-      FROM {a} l JOIN lw ON lw.pos = l.lpos CROSS JOIN (SELECT {p}.*, rw.w FROM {p} JOIN rw ON rw.pos = {p}.pos) r)"""
-        last = f"(SELECT max(pos) FROM {p})"
+        live = f"pm JOIN a{j} USING (vendor, lpos) JOIN p{j} USING (vendor, rpos)"
+        last = f"(SELECT max(rpos) FROM p{j} q WHERE q.vendor = y.vendor)"
         if k in band:
-            body = f"""c{j} AS (SELECT vendor, lpos, min(rpos) AS first_pos FROM x{j}
-      WHERE uni > 0 AND 100 * inter = {k} * uni GROUP BY ALL),
-dp{j} AS (SELECT c.vendor, c.lpos, c.first_pos, l.product_name AS l_name, l.product_desc AS l_desc,
-      r.product_name AS r_name, r.product_desc AS r_desc
-      FROM c{j} c JOIN cl l ON l.pos = c.lpos JOIN cr r ON r.pos = c.first_pos),
-{embed_ctes(f'dp{j}', str(j))},
-m{j} AS (SELECT vendor, lpos, first_pos AS match_pos, sim AS score, {k} AS match_k, first_pos AS rec_pos
-      FROM ps{j} WHERE sim >= {k} / 100.0)"""
+            ctes.append(f"""c{j} AS MATERIALIZED (SELECT vendor, lpos, min(rpos) AS first_pos, max(rpos) AS last_pos FROM {live}
+  WHERE uni > 0 AND 100 * inter = {k} * uni GROUP BY ALL)""")
+            if assisted:
+                y = f"""SELECT c.*, hh.lpos IS NOT NULL AS has_hits, hs.hit_sim FROM c{j} c LEFT JOIN hh USING (vendor, lpos)
+    LEFT JOIN hs USING (vendor, lpos)"""
+                rec = "match_pos" if policy == "matched" else f"CASE WHEN has_hits THEN match_pos ELSE {last} END"
+                body = f"""SELECT vendor, lpos, match_pos, score, {rec} AS rec_pos FROM (SELECT vendor, lpos, has_hits,
+    CASE WHEN has_hits THEN first_pos ELSE last_pos END AS match_pos, CASE WHEN has_hits THEN hit_sim ELSE {k} / 100.0 END AS score
+    FROM ({y}) WHERE NOT has_hits OR hit_sim >= {k} / 100.0) y"""
+            else:
+                body = f"""SELECT vendor, lpos, first_pos AS match_pos, sim AS score, first_pos AS rec_pos
+  FROM c{j} c JOIN sm USING (vendor, lpos) WHERE sm.rpos = c.first_pos AND sim >= {k} / 100.0"""
         else:
-            rec = "rpos" if policy == "matched" else last
-            body = f"""b{j} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vendor, lpos ORDER BY
-      CASE WHEN uni > 0 THEN inter::DOUBLE / uni ELSE 0.0 END DESC, rpos DESC) AS rn FROM x{j}) WHERE rn = 1),
-m{j} AS (SELECT vendor, lpos, rpos AS match_pos,
-      CASE WHEN uni > 0 THEN inter::DOUBLE / uni ELSE 0.0 END AS score, {k} AS match_k, {rec} AS rec_pos
-      FROM b{j} WHERE 100 * inter >= {k} * greatest(uni, 1))"""
-        eq = " AND ".join(f"q.{c} IS NOT DISTINCT FROM r.{c}" for c in content)
-        nxt = f"""a{j + 1} AS (SELECT lpos FROM {a} WHERE lpos NOT IN (SELECT lpos FROM m{j})),
-p{j + 1} AS (SELECT * FROM {p} q WHERE NOT EXISTS (
-      SELECT 1 FROM m{j} JOIN cr r ON r.pos = m{j}.rec_pos WHERE {eq}))"""
-        ctes += [pairs, body, nxt]
-        accs.append(f"SELECT vendor, lpos, match_pos, score, match_k FROM m{j}")
-    ctes.append("res AS (SELECT cl.pos AS lpos, m.match_pos, m.score, m.match_k FROM cl LEFT JOIN ("
-                + " UNION ALL ".join(accs) + ") m ON m.lpos = cl.pos)")
-    return ",\n".join(ctes) + "\n" + cascade_view()
+            rec = "match_pos" if policy == "matched" else last
+            body = f"""SELECT vendor, lpos, match_pos, score, {rec} AS rec_pos FROM (SELECT vendor, lpos, rpos AS match_pos,
+    CASE WHEN uni > 0 THEN inter::DOUBLE / uni ELSE 0.0 END AS score, row_number() OVER (PARTITION BY vendor, lpos ORDER BY
+      CASE WHEN uni > 0 THEN inter::DOUBLE / uni ELSE 0.0 END DESC, rpos DESC) AS rn FROM {live}
+    WHERE 100 * inter >= {k} * greatest(uni, 1)) y WHERE rn = 1"""
+        ctes.append(f"m{j} AS MATERIALIZED ({body})")
+        accs.append(f"SELECT vendor, lpos, match_pos, score, {k} AS match_k FROM m{j}")
+        if k != grid.ks[-1]:
+            ctes.append(f"""a{j + 1} AS MATERIALIZED (SELECT * FROM a{j} ANTI JOIN m{j} USING (vendor, lpos)),
+p{j + 1} AS MATERIALIZED (SELECT * FROM p{j} ANTI JOIN (SELECT ct.vendor, ct.content FROM m{j}
+  JOIN ct ON ct.vendor = m{j}.vendor AND ct.rpos = m{j}.rec_pos) g USING (vendor, content))""")
+    ctes.append("res AS (SELECT a0.vendor, a0.lpos, m.match_pos, m.score, m.match_k FROM a0 LEFT JOIN ("
+                + " UNION ALL ".join(accs) + ") m USING (vendor, lpos))")
+    view = cascade_view()
+    return ",\n".join(ctes) + "\n" + (view if n_vendors == 1 else view.replace("SELECT ", "SELECT vendor, ", 1))
 
 
 def pages_links() -> str:
@@ -313,7 +334,6 @@ FROM pages"""
 
 def build() -> dict[str, str]:
     g = Grid()
-    coarse = Grid(step=0.10)
     q: dict[str, str] = {}
     q["clean_name"] = f"WITH {CAT} SELECT pos, {clean_sql('product_name')} AS clean_name FROM cat"
     q["word_set"] = (f"WITH {CAT}, w AS (SELECT pos, {words_sql('product_name')} AS w FROM cat) "
@@ -377,8 +397,10 @@ def build() -> dict[str, str]:
                        "(PARTITION BY product_id ORDER BY pos) AS rn FROM cr) r ON r.product_id = h.product_id AND r.rn = 1")
     q["cascade_none"] = base() + ",\n" + none_ctes(g) + " " + cascade_view()
     q["cascade_none_banded"] = base() + ",\n" + direct_ctes(g) + " " + cascade_view()
-    q["cascade_matched"] = exclusion_sql("matched", coarse)
-    q["cascade_last_scanned"] = exclusion_sql("last_scanned", coarse)
+    q["cascade_matched"] = exclusion_sql("matched", g)
+    q["cascade_last_scanned"] = exclusion_sql("last_scanned", g)
+    q["assisted_excluding"] = exclusion_sql("matched", g, assisted=True)
+    q["multi_vendor_excluding"] = exclusion_sql("matched", g, n_vendors=6)
     q["round_output"] = (base() + ",\n" + direct_ctes(g) + ",\n" + rounds_cte(g) +
                          " SELECT left_pos, threshold, right_product_id, right_product_name, round(score, 6) AS score FROM rnd")
     q["consolidate_by_left"] = (base() + ",\n" + direct_ctes(g) + ",\n" + rounds_cte(g) +

@@ -29,7 +29,6 @@ FLOOR_K = 41          # minimum slice: accept a best match at 0.41 or more
 SENTINEL_K = 50       # the single round shown by sentinel_left_outer
 PAIR_FLOOR_K = 30     # jaccard_pairs lists pairs scoring 0.30 or more
 RESUME_K = 50         # resume_skip: an earlier run finished rounds >= 0.50
-COARSE = cz.Grid(step=0.10)
 FIXTURE_RULE = pg.ListingRule(tag="div", css_class="ad")
 
 
@@ -243,10 +242,13 @@ def q_hit_lookup(spark, sf):
                     F.col("product_name").alias("right_name")))
 
 
+def _label(k):
+    return F.when(F.col(k).isNotNull(), tx.threshold_label(F.col(k)))
+
+
 def _cascade_view(m):
     return m.select(F.col("pos").alias("left_pos"), "match_pos", "match_k",
-                    tx.threshold_label(F.col("match_k")).alias("threshold"),
-                    r6("score").alias("score"))
+                    _label("match_k").alias("threshold"), r6("score").alias("score"))
 
 
 def q_cascade_none(spark, sf):
@@ -261,12 +263,25 @@ def q_cascade_none_banded(spark, sf):
 
 def q_cascade_matched(spark, sf):
     L, R = _lr(spark, sf)
-    return _cascade_view(match_excluding(L, R, "matched", grid=COARSE, band="direct"))
+    return _cascade_view(match_excluding(L, R, "matched", band="direct"))
 
 
 def q_cascade_last_scanned(spark, sf):
     L, R = _lr(spark, sf)
-    return _cascade_view(match_excluding(L, R, "last_scanned", grid=COARSE, band="direct"))
+    return _cascade_view(match_excluding(L, R, "last_scanned", band="direct"))
+
+
+def q_assisted_excluding(spark, sf):
+    L, R = _lr(spark, sf)
+    return _cascade_view(match_excluding(L, R, "matched", band="assisted", hits=fx.fixture_hits(spark, sf),
+                                         hit_key="product_id"))
+
+
+def q_multi_vendor_excluding(spark, sf):
+    L, R = fx.fixture_left(spark, sf), fx.fixture_right(spark, sf, n_vendors=6)
+    m = match_excluding(L, R, "matched", band="direct")
+    return m.select("vendor", F.col("pos").alias("left_pos"), "match_pos", "match_k",
+                    _label("match_k").alias("threshold"), r6("score").alias("score"))
 
 
 def _banded_rows(spark, sf):
@@ -475,6 +490,8 @@ QUERIES = {
     "cascade_none_banded": q_cascade_none_banded,
     "cascade_matched": q_cascade_matched,
     "cascade_last_scanned": q_cascade_last_scanned,
+    "assisted_excluding": q_assisted_excluding,
+    "multi_vendor_excluding": q_multi_vendor_excluding,
     "round_output": q_round_output,
     "consolidate_by_left": q_consolidate_by_left,
     "consolidate_by_pair": q_consolidate_by_pair,
