@@ -203,6 +203,25 @@ def _pair_cosines(pairs: DataFrame, encoder, pooling, stop_words) -> DataFrame:
                .drop(*[f"v_{c}" for c in texts], *[f"id_{c}" for c in texts]))
 
 
+def row_vectors(rows: DataFrame, keys: list[str], encoder, pooling, stop_words) -> DataFrame:
+    """``keys`` with ``v_name`` and ``v_desc``: each distinct text of (name, desc) embedded once."""
+    tid = lambda c: F.when(null_to_empty(c) != "", F.sha2(F.col(c), 256))
+    keyed = cut(rows.select(*keys, "name", "desc", tid("name").alias("id_name"), tid("desc").alias("id_desc")),
+                "texts")
+    seen = keyed.select(F.col("id_name").alias("id"), F.col("name").alias("text")).unionByName(
+        keyed.select(F.col("id_desc").alias("id"), F.col("desc").alias("text"))).where(F.col("id").isNotNull())
+    vec = cut(seen.groupBy("id").agg(F.first("text").alias("text"))
+              .select("id", sentence_vector(F.col("text"), encoder, pooling, stop_words).alias("vec")), "vectors")
+    empty = rows.sparkSession.range(1).select(
+        sentence_vector(F.lit(""), encoder, pooling, stop_words).alias("v")).first()["v"]
+    blank = F.array(*[F.lit(float(x)) for x in empty or []]).cast(vec.schema["vec"].dataType)
+    out = keyed.drop("name", "desc")
+    for c in ("name", "desc"):
+        v = vec.select(F.col("id").alias(f"id_{c}"), F.col("vec").alias(f"v_{c}"))
+        out = out.join(v, f"id_{c}", "left").withColumn(f"v_{c}", F.coalesce(f"v_{c}", blank))
+    return cut(out.drop("id_name", "id_desc"), "row-vectors")
+
+
 def _direct_band(cands: DataFrame, right: DataFrame, encoder, pooling, stop_words) -> DataFrame:
     """Score the first exact-score row of each band round; accept at >= k."""
     r = right.select("vendor", F.col("pos").alias("first_pos"),
