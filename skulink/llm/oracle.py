@@ -100,7 +100,7 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
 def op7_url_filter() -> str:
-    """Rules, then the two ranks unrolled round by round."""
+    """Rules, then the two ranks iterated to the precision of doubles."""
     href = urlgraph.HREF.replace("'", "''")
     host = lambda u: f"translate(regexp_extract({after(u)}, '^([^/?#]*)', 1), '{urlgraph.UPPER}', '{urlgraph.LOWER}')"
     after = lambda u: f"CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END"
@@ -126,17 +126,16 @@ per AS (SELECT host, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (
   FROM v WHERE host <> '' GROUP BY ALL),
 sd AS (SELECT 'good' AS kind, host, a / greatest(1, (SELECT sum(a) FROM per)) AS seed FROM per
   UNION ALL SELECT 'bad', host, b / greatest(1, (SELECT sum(b) FROM per)) FROM per),
-nd AS (SELECT DISTINCT host FROM (SELECT src AS host FROM e UNION ALL SELECT host FROM per)),
-r0 AS (SELECT k.kind, nd.host, coalesce(sd.seed, 0.0) AS seed, coalesce(sd.seed, 0.0) AS rank
-  FROM nd CROSS JOIN (SELECT unnest(['good', 'bad']) AS kind) k LEFT JOIN sd ON sd.host = nd.host AND sd.kind = k.kind)"""]
-    d = urlgraph.DAMPING
-    for i in range(urlgraph.ROUNDS):
-        ctes.append(f"""r{i + 1} AS (SELECT r.kind, r.host, r.seed, {1 - d!r} * r.seed + {d} * coalesce(g.got, 0.0) AS rank
-  FROM r{i} r LEFT JOIN (SELECT st.kind, st.nxt AS host, sum(st.p * x.rank) AS got FROM st JOIN r{i} x
-    ON x.kind = st.kind AND x.host = st.host GROUP BY ALL) g ON g.kind = r.kind AND g.host = r.host)""")
-    return ("WITH " + ",\n".join(ctes) + f""",
+st0 AS (SELECT kind, host, {1 - urlgraph.DAMPING!r} * seed AS rank FROM sd WHERE seed > 0),
+r(i, kind, host, rank) AS (SELECT 1, kind, host, rank FROM st0 UNION ALL
+  SELECT any_value(i) + 1, kind, host, sum(rank) FROM (
+    SELECT r.i, r.kind, st.nxt AS host, {urlgraph.DAMPING} * st.p * r.rank AS rank
+    FROM r JOIN st ON st.kind = r.kind AND st.host = r.host
+    UNION ALL SELECT x.i, st0.kind, st0.host, st0.rank FROM st0 CROSS JOIN (SELECT max(i) AS i FROM r) x)
+  WHERE i < {urlgraph.MAX_ROUNDS} GROUP BY kind, host)"""]
+    return ("WITH RECURSIVE " + ",\n".join(ctes) + f""",
 f AS (SELECT host, max(rank) FILTER (kind = 'good') AS trust, max(rank) FILTER (kind = 'bad') AS distrust
-  FROM r{urlgraph.ROUNDS} GROUP BY ALL)
+  FROM r WHERE i = {urlgraph.MAX_ROUNDS} GROUP BY ALL)
 SELECT page_id, v.host, path, rule, coalesce(verdict, CASE WHEN coalesce(distrust, 0.0)
   > {urlgraph.RATIO} * coalesce(trust, 0.0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM v LEFT JOIN f ON f.host = v.host""")

@@ -13,14 +13,14 @@ two labels), so subdomains share their site's fate.  Links and pages are
 aggregated to host pairs before anything is shuffled; the ranks are two
 columns per host, iterated as joins over the edge table, and every few
 rounds are written out, which keeps plans short and survives lost executors.
-Rounds go on until a round reaches no new host, moves less than ``TOLERANCE``
-of rank in all and changes no host's rank by more than that share of it.
+Rounds go on until the rank mass still to come can change no host's verdict.
 A node without outgoing edges keeps its mass to itself (it is not dealt
 anew).
 
 Defined results: null URLs and URLs without ``://`` have an empty host and
 path, fit no rule and are allowed; null HTML has no links; repeated rows are
-pages of their own; an empty table gives no rows; other columns are ignored.
+pages of their own; very long HTML is searched whole; an empty table gives no rows;
+other columns are ignored, whatever their names; an exact tie is allowed.
 """
 
 from __future__ import annotations
@@ -28,15 +28,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skulink.session import cut
+from skulink.session import cut, discard
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 10        # that the SQL check unrolls; the operator goes on until ranks settle
-TOLERANCE = 1e-6   # change of a round at which ranks are settled
-TOGETHER = 5       # rounds between two written states
+TOGETHER = 10      # rounds between two written states
+MAX_ROUNDS = 170   # mass still to come below 1e-12: ranks are as exact as doubles, ties stay ties
 RATIO = 2.0
 SITE_WEIGHT = 1.0
 
@@ -95,20 +94,28 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     return links.unionByName(both).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def settled(state: DataFrame, tolerance: float) -> bool:
-    """Whether the last round reached no new host and moved no rank worth naming."""
-    moved = F.abs(F.col("rank") - F.col("before"))
-    got = state.agg(F.count(F.when((F.col("rank") > 0) & (F.col("before") == 0), 1)).alias("new"),
-                    F.sum(moved).alias("all"),
-                    F.max(F.when(F.col("rank") > 0, moved / F.col("rank"))).alias("share")).first()
-    return not got["new"] and max(got["all"] or 0.0, got["share"] or 0.0) <= tolerance
+def judged_by_rank(trust: Column, distrust: Column) -> Column:
+    return distrust > RATIO * trust
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, rounds: int | None = None,
-               tolerance: float = TOLERANCE) -> DataFrame:
+def undecided(ranks: DataFrame, open_mass: float, closed: bool) -> int:
+    """Hosts whose verdict the mass still to come could change.
+
+    A rank lies between what arrived and that plus ``open_mass``; one that is zero
+    stays zero once no new host is reached (``closed``).
+    """
+    most = lambda c: F.col(c) + F.when((F.col(c) > 0) | F.lit(not closed), open_mass).otherwise(0.0)
+    sure_block = judged_by_rank(most("trust"), F.col("distrust"))
+    sure_allow = ~judged_by_rank(F.col("trust"), most("distrust"))
+    return ranks.where(~(sure_block | sure_allow)).count()
+
+
+def propagated(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
     """host, trust, distrust from ``seeds`` (host, good, bad: shares that sum to 1).
 
-    Iterates until the ranks are settled, or exactly ``rounds`` rounds if given.
+    The ranks are sums over walks from the seeds; t rounds sum the walks of less than
+    t steps, so all walks still missing weigh ``DAMPING ** t`` together.  Goes on
+    until that mass can turn no host's verdict, or exactly ``rounds`` rounds if given.
     """
     out = edges.groupBy("src").agg(F.sum("w").alias("t"))
     into = edges.groupBy("dst").agg(F.sum("w").alias("t"))
@@ -119,30 +126,34 @@ def propagated(edges: DataFrame, seeds: DataFrame, rounds: int | None = None,
         .unionByName(edges.join(into, "dst").select(
             F.lit("bad").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"),
             (F.col("w") / F.col("t")).alias("p"))), "url-steps")
-    nodes = (steps.select("host").unionByName(seeds.select("host")).distinct()
-             .join(seeds, "host", "left")
-             .select("host", F.explode(F.create_map(
-                 F.lit("good"), F.coalesce("good", F.lit(0.0)),
-                 F.lit("bad"), F.coalesce("bad", F.lit(0.0)))).alias("kind", "seed")))
-    state = cut(nodes.withColumn("rank", F.col("seed")), "url-ranks")
-    done = 0
-    while rounds is None or done < rounds:
-        n = TOGETHER if rounds is None else min(TOGETHER, rounds - done)
-        for _ in range(n):
-            got = (steps.join(state.select("kind", "host", "rank"), ["kind", "host"])
-                   .groupBy("kind", F.col("to").alias("host"))
-                   .agg(F.sum(F.col("p") * F.col("rank")).alias("got")))
-            state = (state.join(got, ["kind", "host"], "left")
-                     .select("kind", "host", "seed", F.col("rank").alias("before"),
-                             ((1 - DAMPING) * F.col("seed")
-                              + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank")))
-        state = cut(state, "url-ranks")
-        done += n
-        if rounds is None and settled(state, tolerance):
-            break
-    return state.groupBy("host").agg(
-        F.max(F.when(F.col("kind") == "good", F.col("rank"))).alias("trust"),
-        F.max(F.when(F.col("kind") == "bad", F.col("rank"))).alias("distrust"))
+    start = cut(seeds.select("host", F.explode(F.create_map(
+        F.lit("good"), F.col("good"), F.lit("bad"), F.col("bad"))).alias("kind", "seed"))
+        .where("seed > 0").select("kind", "host", ((1 - DAMPING) * F.col("seed")).alias("rank")), "url-start")
+    state, done, reached = start, min(1, MAX_ROUNDS if rounds is None else rounds), -1
+    written = None
+    while True:
+        goal = min(done + TOGETHER, MAX_ROUNDS) if rounds is None else min(done + TOGETHER, rounds)
+        while done < goal:
+            # each round reads the last one once, so the plan grows by one join a round; the steps'
+            # shuffle is the same in all of them; a hash of the whole table is never asked for
+            moved = steps.join(state.hint("merge"), ["kind", "host"]).select(
+                "kind", F.col("to").alias("host"), (DAMPING * F.col("p") * F.col("rank")).alias("rank"))
+            state = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+            done += 1
+        last, state = written, cut(state, "url-ranks")
+        discard(last)
+        written = state
+        ranks = state.groupBy("host").agg(
+            F.max(F.when(F.col("kind") == "good", F.col("rank")).otherwise(0.0)).alias("trust"),
+            F.max(F.when(F.col("kind") == "bad", F.col("rank")).otherwise(0.0)).alias("distrust"))
+        if rounds is not None:
+            if done >= rounds:
+                return ranks
+            continue
+        now = state.count()                     # (kind, host) pairs that any walk has reached
+        if done >= MAX_ROUNDS or not undecided(ranks, DAMPING ** done, now == reached):
+            return ranks
+        reached = now
 
 
 def host_seeds(pages: DataFrame) -> DataFrame:
@@ -166,7 +177,7 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     edges = cut(host_edges(with_host, "html"), "url-edges")
     seeds = cut(host_seeds(with_host), "url-seeds")
     ranks = propagated(edges, seeds, rounds)
-    own = F.when(F.coalesce("distrust", F.lit(0.0)) > RATIO * F.coalesce("trust", F.lit(0.0)),
+    own = F.when(judged_by_rank(F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))),
                  "block").otherwise("allow")
     return (with_host.drop("html").join(ranks, "host", "left")
             .select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"),
