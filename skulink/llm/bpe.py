@@ -21,7 +21,7 @@ Piece counts cover all documents: counted per task, summed in Spark; the
 driver takes only the ``LEXICON`` most frequent.
 
 Defined results: null text encodes as empty (no tokens, empty decoded text);
-the two special strings in a text become their special ids; white space of
+repeated rows are encoded each; the two special strings in a text become their special ids; white space of
 any kind separates; an empty table gives no rows; other columns are ignored.
 """
 
@@ -48,7 +48,8 @@ TOKENIZER = "word_bpe_49k.json"
 LEXICON = 120_000         # frequent pieces in the automaton
 LONGEST = 48              # bytes of the longest piece that may enter it
 COUNTER_ROWS = 100_000    # pieces a counting task holds before it writes them out
-CACHE_ROWS = 60_000      # encoded pieces a worker remembers
+CACHE_ROWS = 150_000   # pieces a worker remembers per generation (two generations)
+BLOCK_PIECES = 300_000  # pieces of texts encoded together
 # white space as Unicode defines it; str.split() also splits at \x1c-\x1f
 SEPARATORS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 EXTRA = re.compile("[\x1c-\x1f]")
@@ -281,58 +282,69 @@ class Lexicon:
 
 
 class Encoder:
-    """One per Python worker: lexicon first, exact merge for the rest, a bounded memory."""
+    """One per Python worker: lexicon first, exact merge for the rest, a bounded memory.
+
+    Two tables give a piece's ids and tokens as text.  They are kept in two generations:
+    when the young one is full it becomes the old one, and what a block still needs moves
+    over, so pieces in use are never learnt twice in a row.
+    """
 
     def __init__(self, path: str, block: bytes):
         self.bpe, self.lexicon = WordBpe(path), Lexicon(block)
-        self.known: dict[str, tuple[int, bytes, bytes, tuple]] = {}
+        self.ids: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
+        self.old: tuple[dict, dict] = ({}, {})
+        self.empty: set[str] = set()         # pieces without tokens
 
     @classmethod
     def of(cls, name: str, path: str, block) -> "Encoder":
         return held(name, lambda: cls(path, block.value))
 
-    def entry(self, ids: list[int]) -> tuple[int, bytes, bytes, tuple]:
-        """(count, ids as text, tokens as text, ids) of a piece."""
-        names = self.bpe.names
-        return (len(ids), " ".join(map(str, ids)).encode(),
-                " ".join([names[i] for i in ids]).encode(), tuple(ids))
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.known) > CACHE_ROWS:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        found = self.lexicon.find([p.encode("utf-8", "replace") for p in new])
-        special = self.bpe.special
-        for p, i in zip(new, found):
+    def learn(self, pieces: list[str]) -> None:
+        found = self.lexicon.find([p.encode("utf-8", "replace") for p in pieces])
+        special, names = self.bpe.special, self.bpe.names
+        for p, i in zip(pieces, found):
             ids = (self.lexicon.ids(i) if i >= 0 else
                    [special[p]] if p in special else self.bpe.merge(p))
-            self.known[p] = self.entry(ids)
+            if not ids:
+                self.empty.add(p)
+            self.ids[p] = " ".join(map(str, ids)).encode()
+            self.tokens[p] = " ".join([names[i] for i in ids]).encode()
 
     def encode_all(self, texts):
-        """Entries of each text; new pieces of some texts are learnt together."""
+        """(ids, tokens) as text of each text; new pieces of some texts are learnt together."""
         block: list[list[str]] = []
         size = 0
         for t in texts:
             block.append(self.bpe.pieces(t) if t else [])
             size += len(block[-1])
-            if size > 200_000:
+            if size > BLOCK_PIECES:
                 yield from self.encode_block(block)
                 block, size = [], 0
         yield from self.encode_block(block)
 
     def encode_block(self, block: list[list[str]]):
+        if len(self.ids) > CACHE_ROWS:
+            self.old, self.ids, self.tokens = (self.ids, self.tokens), {}, {}
+            self.empty &= self.old[0].keys()
         new: set[str] = set()
         for pieces in block:
             new.update(pieces)
-        new.difference_update(self.known)
-        if len(self.known) > CACHE_ROWS:
-            new = {p for pieces in block for p in pieces}
+        new.difference_update(self.ids)
         if new:
-            self.learn(new)
-        known = self.known
+            ids, tokens = self.old
+            for p in new & ids.keys():
+                self.ids[p], self.tokens[p] = ids[p], tokens[p]
+            self.learn([p for p in new if p not in ids])
         for pieces in block:
-            out = [known[p] for p in pieces]
-            yield [e for e in out if e[0]]
+            if self.empty:
+                pieces = [p for p in pieces if p not in self.empty]
+            yield (b" ".join(map(self.ids.__getitem__, pieces)),
+                   b" ".join(map(self.tokens.__getitem__, pieces)))
+
+
+def id_list(text: bytes) -> np.ndarray:
+    return np.fromstring(text.decode(), np.int32, sep=" ") if text else np.empty(0, np.int32)
 
 
 def piece_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -378,7 +390,7 @@ class Codec:
         @F.pandas_udf("array<int>")
         def ids(texts: pd.Series) -> pd.Series:
             enc = Encoder.of(name, path, block)
-            return pd.Series([[i for e in es for i in e[3]] for es in enc.encode_all(texts)])
+            return pd.Series([id_list(ids) for ids, _ in enc.encode_all(texts)])
         return ids
 
     def decode(self):
@@ -392,24 +404,26 @@ class Codec:
                               " ".join(names[int(i)] for i in r if int(i) in names) for r in rows])
         return text
 
-    def digest(self):
-        """Column function: text -> struct(n_tokens, ids_sha256, decoded_sha256).
+    def digest(self, with_ids: bool = False):
+        """Column function: text -> struct(n_tokens, ids_sha256, decoded_sha256[, ids]).
 
         The digests are of the id list and of the decoded text that
-        ``encode`` and ``decode`` give, without moving either out of the task.
+        ``encode`` and ``decode`` give.
         """
         name, path, block = self.name, self.path, self.block
 
-        @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
         def digests(texts: pd.Series) -> pd.DataFrame:
             enc = Encoder.of(name, path, block)
             out = []
-            for e in enc.encode_all(texts):
-                out.append((sum(x[0] for x in e),
-                            hashlib.sha256(b" ".join([x[1] for x in e])).hexdigest(),
-                            hashlib.sha256(b" ".join([x[2] for x in e])).hexdigest()))
-            return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-        return digests
+            for ids, tokens in enc.encode_all(texts):
+                row = (ids.count(b" ") + 1 if ids else 0, hashlib.sha256(ids).hexdigest(),
+                       hashlib.sha256(tokens).hexdigest())
+                out.append((*row, id_list(ids)) if with_ids else row)
+            names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+            return pd.DataFrame(out, columns=names if with_ids else names[:3])
+
+        kind = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+        return F.pandas_udf(digests, kind + (", ids array<int>" if with_ids else ""))
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -426,5 +440,7 @@ def op5_bpe(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage (the last): encodes what the stages before it kept."""
-    return encoded(docs)
+    """Pipeline stage (the last): doc_id, token ids, their number and digests of what was kept."""
+    codec = Codec(docs)
+    return (docs.select("doc_id", codec.digest(with_ids=True)(F.col("text").cast("string")).alias("e"))
+            .select("doc_id", "e.ids", "e.n_tokens", "e.ids_sha256", "e.decoded_sha256"))
