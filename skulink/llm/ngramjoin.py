@@ -17,7 +17,9 @@ From signatures to classes without listing pairs of a group:
    per task and never meet each other again;
 2. signature groups with two or more sets are kept; in each, every member is
    paired with the group's smallest member, its hub (a star: as many pairs as
-   members), and the pairs are verified exactly on the shingle sets;
+   members).  A profile of each set (shingles per hash range, a byte each) bounds what
+   two sets can share; only pairs that it allows have their shingle sets moved
+   together and are verified exactly;
 3. verified links are contracted to components (large star / small star);
 4. members of a hub's groups that ended outside its component may still link
    with each other or with other members.  A hub's members are dealt into
@@ -52,7 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skulink.llm.common import fresh, held
-from skulink.session import cut
+from skulink.session import cut, discard
 
 SHINGLE = 3          # words
 PERCENT = 90         # Jaccard similarity, in percent
@@ -190,28 +192,67 @@ def signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("raw").mapInArrow(sign, "sig long, node long")
 
 
+def profile(s: np.ndarray) -> bytes | None:
+    """How many shingles fall into each of about n hash ranges, a byte each (null: more than 255)."""
+    bits = max(len(s), 1).bit_length() - 1
+    n = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(s), np.int64),
+                    minlength=1 << bits)
+    return n.astype(np.uint8).tobytes() if n.max() < 256 else None
+
+
+def most_common(a: bytes | None, b: bytes | None, na: int, nb: int) -> int:
+    """Upper bound of two sets' common shingles from their profiles."""
+    if a is None or b is None:
+        return min(na, nb)
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    while len(x) > len(y):
+        x = x.reshape(-1, 2).sum(axis=1)
+    while len(y) > len(x):
+        y = y.reshape(-1, 2).sum(axis=1)
+    return int(np.minimum(x, y).sum())
+
+
 def shingle_sets(docs: DataFrame, size: int, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, key, n, s) of the sets in ``nodes``: one text per set is read again."""
-    @F.pandas_udf("array<long>")
-    def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(raw, size).view(np.int64) for raw in texts])
+    """(node, key, n, s, h) of the sets in ``nodes``: one text per set is read again."""
+    @F.pandas_udf("s array<long>, h binary")
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        out = [shingles(raw, size) for raw in texts]
+        return pd.DataFrame({"s": [x.view(np.int64) for x in out], "h": [profile(x) for x in out]})
 
     node = F.expr("conv(hex(substring(key, 1, 8)), 16, -10)").cast("long")
     reps = (rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("uid").alias("uid"))
             .withColumn("node", node).join(nodes, "node", "left_semi"))
-    return (docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("s"))
-            .withColumn("n", F.size("s")))
+    return (docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("x"))
+            .select("node", "key", "x.s", "x.h", F.size("x.s").alias("n")))
+
+
+def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs whose sizes and profiles allow the similarity; no shingles are moved."""
+    @F.pandas_udf("long")
+    def bound(a: pd.Series, b: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+        return pd.Series([most_common(*x) for x in zip(a, b, na, nb)])
+
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("h").alias(f"h{x}"),
+                                 F.col("n").alias(f"n{x}"))
+    size = sets.select("node", "n")
+    fit = (pairs.join(size.withColumnsRenamed({"node": "a", "n": "na"}), "a")
+           .join(size.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
+           .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+    j = fit.join(side("a"), "a").join(side("b"), "b")
+    most = bound("ha", "hb", "na", "nb")
+    return j.withColumn("most", most).where(
+        100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(u, v) set keys, u > v, of the (a, b) pairs that are similar enough."""
+    pairs = cut(promising(pairs, sets, percent), "pairs")
     a = sets.select(F.col("node").alias("a"), F.col("key").alias("ka"),
                     F.col("s").alias("sa"), F.col("n").alias("na"))
     b = sets.select(F.col("node").alias("b"), F.col("key").alias("kb"),
                     F.col("s").alias("sb"), F.col("n").alias("nb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(a, "a").join(b, "b")
-            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
             .where(100 * both >= percent * (F.col("na") + F.col("nb") - both))
             .select(F.greatest("ka", "kb").alias("u"), F.least("ka", "kb").alias("v"))
             .where("u > v"))
@@ -238,7 +279,8 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(least, "u")
         small = (joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(joined.select("u", F.col("m").alias("v"))))
-        edges = cut(small.distinct(), "links")
+        old, edges = edges, cut(small.distinct(), "links")
+        discard(old)
 
 
 def with_roots(sets: DataFrame, links: DataFrame) -> DataFrame:
@@ -331,8 +373,10 @@ def numbered_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sets = cut(shingle_sets(docs, size, rows, group.select("node").distinct()), "shingles")
     star = cut(group.withColumn("hub", F.min("node").over(by_sig)).where("node <> hub")
                .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    discard(group)
     links = components(verified(star, sets, percent))
     found = cut(rest(star, sets, with_roots(sets, links), percent), "links")
+    discard(sets, star)
     if not found.isEmpty():
         links = components(links.unionByName(found))
     return (rows.join(links.withColumnRenamed("u", "key"), "key", "left")
