@@ -429,6 +429,8 @@ def build() -> dict[str, str]:
                         f"AND left_product_name NOT IN (SELECT product_name FROM {done}))")
     q["csv_roundtrip"] = (f"WITH {CAT} SELECT pos, product_id, product_name, coalesce(product_desc, '') AS product_desc "
                           "FROM cat WHERE pos % 2 = 1")
+    q["csv_many_files"] = (f"WITH {CAT} SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, product_id, product_name, "
+                           "coalesce(product_desc, '') AS product_desc FROM cat WHERE pos % 2 = 1")
     q["final_sink"] = (base(2) + ",\n" + direct_ctes(g) + " SELECT res.vendor, l.product_id AS left_product_id, "
                        "r.product_id AS right_product_id, round(res.score, 6) AS score FROM res JOIN cl l ON l.pos = res.lpos "
                        "JOIN cr r ON r.vendor = res.vendor AND r.pos = res.match_pos")

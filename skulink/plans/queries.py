@@ -362,6 +362,19 @@ def q_csv_roundtrip(spark, sf):
     return back.select("pos", "product_id", "product_name", "product_desc")
 
 
+def q_csv_many_files(spark, sf):
+    """Row ordinals over several split files whose cells hold line breaks."""
+    from skulink.session import scratch_path
+    from skulink.sources import catalogue as ct
+    R = fx.fixture_right(spark, sf)
+    path = scratch_path(spark, "catalogue")
+    rows = R.repartitionByRange(4, "pos").sortWithinPartitions("pos").select(
+        *[F.col(c).alias(f"Alpha_{c}") for c in ct.CATALOGUE_FIELDS])
+    ct.csv_options(rows.write).option("quoteAll", True).csv(path)
+    back = ct.read_catalogue(spark, path, "Alpha", "Alpha", pos_column=None)
+    return back.select("pos", "product_id", "product_name", "product_desc")
+
+
 def q_round_files_merge(spark, sf):
     from skulink.session import scratch_path
     from skulink.sources import catalogue as ct
@@ -501,6 +514,7 @@ QUERIES = {
     "listing_two_hop": q_listing_two_hop,
     "multi_vendor": q_multi_vendor,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_many_files": q_csv_many_files,
     "round_files_merge": q_round_files_merge,
     "final_sink": q_final_sink,
     "round_file_count": q_round_file_count,

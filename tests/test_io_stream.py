@@ -54,8 +54,11 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     folder.mkdir()
     for i in range(2):
         (folder / f"{i}.csv").write_text(one.read_text())
-    with pytest.raises(ValueError, match="ordinal"):
-        ct.read_catalogue(spark, str(folder), "Alpha", "Alpha", pos_column=None)
+    both = ct.read_catalogue(spark, str(folder), "Alpha", "Alpha", pos_column=None).collect()
+    assert sorted(r.pos for r in both) == [0, 1]
+    ct.read_catalogue(spark, str(one), "Alpha", "Alpha", pos_column="row").write.parquet(str(tmp_path / "pq"))
+    with pytest.raises(ValueError, match="no column"):
+        ct.read_catalogue(spark, str(tmp_path / "pq"), "Alpha", "Alpha", pos_column=None, fmt="parquet")
 
 
 def test_round_files_merge_and_consolidation(spark, tmp_path):
