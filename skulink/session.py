@@ -6,6 +6,7 @@ one in.  ``get_spark`` is for tests, the bench and ad-hoc use.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import weakref
@@ -116,6 +117,16 @@ def cut(df: DataFrame, name: str = "table", partition_by: str | None = None) ->
     return df
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files behind tables that have been written.
+
+    They go once the driver's garbage collector finds their plans unused, by default
+    within half an hour; a job that shuffles its input several times asks earlier.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*dfs: DataFrame | None) -> None:
     """Delete tables written by :func:`cut` once nothing reads them any more.
 
