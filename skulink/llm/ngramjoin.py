@@ -21,11 +21,13 @@ From signatures to classes without listing pairs of a group:
    two sets can share; only pairs that it allows have their shingle sets moved
    together and are verified exactly;
 3. verified links are contracted to components (large star / small star);
-4. members of a hub's groups that ended outside its component may still link
-   with each other or with other members.  A hub's members are dealt into
+4. in groups that reach over several components, members outside their hub's may
+   still link with each other or with other members.  A hub's members are dealt into
    chunks of ``CHUNK`` shingles, outsiders against all, and each pair of
-   chunks is one bounded task that counts common shingles through an
-   inverted index and returns only links that join two components.
+   chunks is one bounded task: first on profiles, which leave the members that any
+   profile of another component allows to link, then on the shingles of those,
+   counting common ones through an inverted index and returning only links that
+   join two components.
 
 Every pair that shares a signature is thereby verified or already in one
 component, so the classes are exact.  Families whose members are all linked
@@ -54,7 +56,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skulink.llm.common import fresh, held
-from skulink.session import cut, discard
+from skulink.session import cut, discard, reclaim
 
 SHINGLE = 3          # words
 PERCENT = 90         # Jaccard similarity, in percent
@@ -290,14 +292,21 @@ def with_roots(sets: DataFrame, links: DataFrame) -> DataFrame:
             .select("node", "key", "n", F.coalesce("v", "key").alias("root")))
 
 
-def rest(star: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(u, v) links between a hub's members in different components."""
-    member = cut(star.select(F.col("b").alias("hub"), F.col("a").alias("node"))
-              .join(roots, "node")
-              .join(roots.select(F.col("node").alias("hub"), F.col("root").alias("home")), "hub")
-              .select("hub", "node", "n", "root", (F.col("root") != F.col("home")).alias("out")),
-                 "members")
-    # how many chunks each side of a hub's family takes; the hub itself has met everybody
+def families(group: DataFrame, roots: DataFrame) -> DataFrame:
+    """(hub, node, n, root, out): members of the signature groups that reach over several components.
+
+    ``out``: the member is outside its hub's component.  The hub has met every member.
+    """
+    g = group.join(roots.select("node", "root", "n"), "node")
+    wide = g.groupBy("sig").agg(F.min("node").alias("hub"), F.min("root").alias("lo"),
+                                F.max("root").alias("hi")).where("lo <> hi").select("sig", "hub")
+    home = roots.select(F.col("node").alias("hub"), F.col("root").alias("home"))
+    return cut(g.join(wide, "sig").select("hub", "node", "n", "root").where("hub <> node").distinct()
+               .join(home, "hub").withColumn("out", F.col("root") != F.col("home")).drop("home"), "members")
+
+
+def dealt(member: DataFrame, payload: DataFrame) -> DataFrame:
+    """Outsiders against all members of a hub, in pairs of chunks (hub, i, j) of ``CHUNK`` shingles."""
     size = cut(member.groupBy("hub").agg(
         F.ceil(F.sum("n") / CHUNK).alias("all_chunks"),
         F.ceil(F.sum(F.when(F.col("out"), F.col("n"))) / CHUNK).alias("out_chunks")).where(
@@ -309,13 +318,68 @@ def rest(star: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> Da
                                       chunk("out_chunks")("i"), every("all_chunks")("j"))
     right = member.select("hub", "node", "root", F.lit(False).alias("left"),
                           every("out_chunks")("i"), chunk("all_chunks")("j"))
-    dealt = left.unionByName(right).join(sets.select("node", "key", "s"), "node").select(
-        "hub", "i", "j", "left", "key", "root", "s")
+    return left.unionByName(right).join(payload, "node")
+
+
+def rest(group: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(u, v) links between a hub's members in different components.
+
+    First on the sets' profiles: only members that some profile of another component
+    allows to link stay; then exactly, on the shingles of those.
+    """
+    member = families(group, roots)
+
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes = near_nodes(pdf[pdf["left"]], pdf[~pdf["left"]], percent)
+        return pd.DataFrame({"hub": np.full(len(nodes), pdf["hub"].iloc[0]), "node": nodes})
+
+    alive = (dealt(member, sets.select("node", "h", F.col("n").alias("size"))).groupBy("hub", "i", "j")
+             .applyInPandas(near, "hub long, node long").distinct())
+    member = cut(member.join(alive, ["hub", "node"], "left_semi"), "members")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         return linked_pairs(pdf[pdf["left"]], pdf[~pdf["left"]], percent)
 
-    return dealt.groupBy("hub", "i", "j").applyInPandas(link, "u binary, v binary").distinct()
+    return (dealt(member, sets.select("node", "key", "s")).groupBy("hub", "i", "j")
+            .applyInPandas(link, "u binary, v binary").distinct())
+
+
+def near_nodes(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> np.ndarray:
+    """Nodes of left and right rows with a partner of another root that their profiles allow."""
+    if not len(left) or not len(right):
+        return np.empty(0, np.int64)
+    sizes, nodes = right["size"].to_numpy(), right["node"].to_numpy()
+    codes = pd.factorize(pd.concat([left["root"], right["root"]]))[0]
+    left_roots, roots = codes[:len(left)], codes[len(left):]
+    bits = np.array([-1 if h is None else len(h).bit_length() - 1 for h in right["h"]])
+    tables: dict = {}           # (bits of the rows, bits folded to) -> matrix of profiles
+
+    def table(rows_of: int, to: int) -> np.ndarray:
+        if (rows_of, to) not in tables:
+            at = np.flatnonzero(bits == rows_of)
+            m = np.stack([np.frombuffer(right["h"].iloc[i], np.uint8) for i in at]).astype(np.int32)
+            tables[rows_of, to] = m.reshape(len(at), 1 << to, -1).sum(axis=2)
+        return tables[rows_of, to]
+
+    alive = set()
+    for node, root, h, n in zip(left["node"], left_roots, left["h"], left["size"]):
+        fits = (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent) & (roots != root)
+        if not fits.any():
+            continue
+        most = np.minimum(sizes, n)
+        own = -1 if h is None else len(h).bit_length() - 1
+        for b in np.unique(bits[fits]):
+            if b < 0 or own < 0:
+                continue
+            at, to = np.flatnonzero(bits == b), min(b, own)
+            mine = np.frombuffer(h, np.uint8).astype(np.int32).reshape(1 << to, -1).sum(axis=1)
+            pick = fits[at]
+            most[at[pick]] = np.minimum(table(b, to)[pick], mine).sum(axis=1)
+        hit = fits & (100 * most >= percent * (n + sizes - most))
+        if hit.any():
+            alive.add(node)
+            alive.update(nodes[hit])
+    return np.array(sorted(alive), np.int64)
 
 
 def linked_pairs(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -364,19 +428,23 @@ def numbered_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     It is read several times.  Row numbers are read from it and never made
     anew: they follow the file splits, which may differ from scan to scan.
     """
+    spark = docs.sparkSession
     rows = cut(described(docs, size), "sets")
     by_sig = Window.partitionBy("sig")
     group = cut(signed(docs, size, percent)
                 .withColumn("lo", F.min("node").over(by_sig))
                 .withColumn("hi", F.max("node").over(by_sig))
                 .where("lo < hi").select("sig", "node").distinct(), "groups")
+    reclaim(spark)
     sets = cut(shingle_sets(docs, size, rows, group.select("node").distinct()), "shingles")
-    star = cut(group.withColumn("hub", F.min("node").over(by_sig)).where("node <> hub")
-               .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-    discard(group)
+    reclaim(spark)
+    hubs = group.groupBy("sig").agg(F.min("node").alias("b"))
+    star = group.join(hubs, "sig").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     links = components(verified(star, sets, percent))
-    found = cut(rest(star, sets, with_roots(sets, links), percent), "links")
-    discard(sets, star)
+    reclaim(spark)
+    found = cut(rest(group, sets, cut(with_roots(sets, links), "roots"), percent), "links")
+    discard(sets, group)
+    reclaim(spark)
     if not found.isEmpty():
         links = components(links.unionByName(found))
     return (rows.join(links.withColumnRenamed("u", "key"), "key", "left")
