@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import weakref
 
@@ -123,8 +124,10 @@ def reclaim(spark: SparkSession) -> None:
     They go once the driver's garbage collector finds their plans unused, by default
     within half an hour; a job that shuffles its input several times asks earlier.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):       # a plan's last user is found by the first, its shuffles by the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def discard(*dfs: DataFrame | None) -> None:
