@@ -7,6 +7,8 @@ from skulink.llm.ngramjoin import PERCENT, SHINGLE
 from skulink.llm import chatformat, merkle, urlgraph
 from skulink.llm.quality import ALPHA, DELTA, GRID, RULES
 
+SHARE = ALPHA / len(RULES)     # of one rule
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 NOT_SPACE = r"'[^\x20\x09-\x0D]+'"
 NORMAL_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -53,9 +55,9 @@ t AS (SELECT g.stratum, g.rule, g.lo, g.width, s.step, n_good, n_bad,
     sum(CASE WHEN h.above >= s.step THEN 1 - good ELSE 0 END) AS caught
   FROM g CROSS JOIN (SELECT unnest(range({GRID})) AS step) s
   JOIN h ON h.stratum IS NOT DISTINCT FROM g.stratum AND h.rule = g.rule GROUP BY ALL),
-ok AS (SELECT * FROM t WHERE n_good > 0 AND k < n_good * {ALPHA}
+ok AS (SELECT * FROM t WHERE n_good > 0 AND k < n_good * {SHARE}
   AND list_sum(list_transform(range(0, k::BIGINT + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1)
-      - lgamma(n_good - i + 1) + i * ln({ALPHA}) + (n_good - i) * ln(1 - {ALPHA}))))
+      - lgamma(n_good - i + 1) + i * ln({SHARE}) + (n_good - i) * ln(1 - {SHARE}))))
       <= {DELTA} / (SELECT greatest(1, count(*) * {GRID}) FROM g)
   AND caught * n_good > 2 * k * n_bad),
 cut AS (SELECT stratum, rule, min(lo + step * width) AS cutoff FROM ok GROUP BY ALL),

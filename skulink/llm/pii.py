@@ -478,7 +478,8 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return out.select("doc_id", *[of_kind(k).alias(f"n_{k}") for k in BASE_KINDS],
                       F.sha2(joined_spans(base), 256).alias("base_sha256"),
-                      joined_spans(F.col("spans")).alias("spans"))
+                      joined_spans(F.col("spans")).alias("spans"),
+                      F.size("spans").cast("long").alias("n_spans"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ Each rule is a score of the text (symbols per word, characters per word,
 repeated lines, repeated three-word windows) and rejects a document whose
 score exceeds the rule's cutoff.  Cutoffs are not guessed: on the labelled
 holdout, per stratum (``lang``), a candidate cutoff is certified when the
-exact binomial test refutes "it rejects more than ALPHA of the good
+exact binomial test refutes "it rejects more than its share of the good
 documents": with k false rejections among n good documents,
-P(Binomial(n, ALPHA) <= k) <= DELTA / m.  m is the number of tests made in
-all strata together (Bonferroni), so with probability 1 - DELTA every chosen
-cutoff of every stratum holds its limit at once.  A rule takes its strictest
+P(Binomial(n, ALPHA / rules) <= k) <= DELTA / m.  A document goes if any rule
+rejects it, so each of the rules gets an equal share of the stratum's limit ALPHA, and m
+is the number of tests made in all strata together (Bonferroni): with probability
+1 - DELTA no stratum loses more than ALPHA of its good documents to all rules together.  A rule takes its strictest
 certified cutoff, provided that it catches bad documents at a higher rate than
 good ones; a stratum with too few labels certifies nothing and keeps
 everything that passes the base rules.
@@ -20,7 +21,8 @@ row per stratum.
 
 Defined results: null and empty text have no words and fail the base rules;
 a null stratum is a stratum; documents with contradicting labels count as
-labelled bad; repeated rows are judged alike; other columns are ignored.
+labelled bad; repeated rows are judged alike; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from skulink.session import cut
 
-ALPHA = 0.02      # share of good documents that a rule may reject in a stratum
+ALPHA = 0.02      # share of good documents that all rules together may reject in a stratum
 DELTA = 0.05      # chance that any certified cutoff breaks that limit
 GRID = 32         # candidate cutoffs per rule
 # score ranges of the candidate grids: symbols per word, code points per word,
@@ -183,7 +185,7 @@ def thresholds(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     low = F.create_map(*[F.lit(x) for r, (a, _) in RULES.items() for x in (r, a)])
     width = F.create_map(*[F.lit(x) for r, (a, b) in RULES.items() for x in (r, (b - a) / grid)])
     certified = tested.where(
-        (binomial_tail(F.col("k"), F.col("n_good"), alpha) <= delta / m)
+        (binomial_tail(F.col("k"), F.col("n_good"), alpha / len(RULES)) <= delta / m)
         & (F.col("caught") * F.col("n_good") > 2 * F.col("k") * F.col("n_bad")))
     chosen = certified.groupBy("stratum", "rule").agg(F.min("step").alias("step")).withColumn(
         "cutoff", low[F.col("rule")] + F.col("step") * width[F.col("rule")])
