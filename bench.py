@@ -25,7 +25,7 @@ HEADLINE = [
     "assisted_band",          # search-assisted band with hits
     "multi_vendor",           # six vendors in one job
     "consolidate_by_left",    # round expansion + keep-first consolidation
-    "cascade_matched",        # exclusion policy, iterative rounds (coarse grid)
+    "cascade_matched",        # exclusion policy, iterative rounds, whole grid
     "semantic_pair_score",    # embeddings of 2 x 4 texts per pair
     "stopword_filter",        # whole-document tokenise + stop words
     "listing_two_hop",        # page extraction + two-hop join
