@@ -430,6 +430,7 @@ def numbered_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = cut(described(docs, size), "sets")
+    reclaim(spark)       # shuffle files of whatever ran before, ahead of the largest shuffle
     by_sig = Window.partitionBy("sig")
     group = cut(signed(docs, size, percent)
                 .withColumn("lo", F.min("node").over(by_sig))
