@@ -454,6 +454,22 @@ def build() -> dict[str, str]:
         f"UNION ALL SELECT page_id, 'delimiter', 1, regexp_replace({after_sql(element_text_sql('t'), ' ')}, '^\\s+|\\s+$', '', 'g') FROM h "
         "UNION ALL SELECT page_id, 'nested', rank, "
         f"translate({element_text_sql('t')}, '()', '') FROM e")
+    # what follows a start tag, up to the tag that ends the element, whether its own end tag or not
+    block = "</(?:p|div|article|footer|nav|ul|body|html)>|<(?:article|div|footer|nav|ul|h1)[ >]|$"
+    cut_at = lambda tag, ends: (
+        f"SELECT page_id, unnest(list_transform(string_split(html, '<{tag}>')[2:], "
+        f"lambda x: regexp_extract(x, '(?s)^(.*?)(?:{ends})', 1))) AS t, "
+        f"unnest(range(1, len(string_split(html, '<{tag}>')))) AS rank FROM pages")
+    q["listing_unclosed"] = (
+        f"WITH p AS ({cut_at('p', block)}), b AS ({cut_at('b', '</b>|<p>|' + block)}), "
+        f"n AS (SELECT page_id, rank, t FROM p WHERE contains(t, '<b>')) "
+        f"SELECT page_id, 'p' AS rule, rank, {element_text_sql('t')} AS value FROM p "
+        f"UNION ALL SELECT page_id, 'b', rank, {element_text_sql('t')} FROM b "
+        "UNION ALL SELECT page_id, 'b in p', row_number() OVER (PARTITION BY page_id ORDER BY rank, i), "
+        f"{element_text_sql('x')} "
+        "FROM (SELECT page_id, rank, unnest(list_transform(string_split(t, '<b>')[2:], "
+        "lambda x: regexp_extract(x, '(?s)^(.*?)(?:</b>|$)', 1))) AS x, "
+        "unnest(range(1, len(string_split(t, '<b>')))) AS i FROM n)")
     q["listing_by_url"] = (f"WITH l AS ({pages_links()}), "
                            "d AS (SELECT page_id AS detail_page_id, 'https://shop.example/' || split_part(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), ' ', 1) AS key FROM pages), "
                            f"i AS (SELECT page_id AS detail_page_id, {element_text_sql('inner_html')} AS product_id FROM ({pages_ids()}) WHERE rank = 1) "

@@ -467,6 +467,17 @@ def q_listing_rules(spark, sf):
     return out
 
 
+def q_listing_unclosed(spark, sf):
+    """Elements whose end tags the pages leave out: paragraphs, and bold text by itself and inside them."""
+    p = fx.table(spark, sf, "pages")
+    rules = {"p": pg.ListingRule("p"), "b": pg.ListingRule("b"),
+             "b in p": pg.ListingRule("b", within=pg.ListingRule("p"))}
+    parts = [pg.extract_listing_ids(p, rule).select(
+        "page_id", F.lit(name).alias("rule"), "rank", F.col("product_id").alias("value"))
+        for name, rule in rules.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_listing_by_url(spark, sf):
     """J8 + P6: links completed by a base URL meet the detail pages' own URL."""
     p = fx.table(spark, sf, "pages")
@@ -524,4 +535,5 @@ QUERIES = {
     "assisted_by_name": q_assisted_by_name,
     "listing_rules": q_listing_rules,
     "listing_by_url": q_listing_by_url,
+    "listing_unclosed": q_listing_unclosed,
 }

@@ -1,23 +1,60 @@
 """Product ids out of crawled listing pages.
 
 The live site search is replaced by a table of crawled pages
-``(page_id, url, html)``.  Elements are found by a tag-balanced scan in
-built-in functions: all tags of the element's name with the text between
-them, a running depth over the tags, and a cut at the tag where the depth
-falls back.  Tag and attribute names match in any case, attribute values in
-either quote or none; an element may be asked for inside another one.
+``(page_id, url, html)``.  Elements are found in one pass over a page's tags
+with a stack of the open elements, so the work is linear in the page:
+
+* void elements (``br``, ``img`` ...) and ``<x/>`` have no content; comments,
+  declarations and the text of ``script``, ``style``, ``title`` and ``textarea``
+  hold no tags;
+* end tags may be missing: a new ``li`` closes the open one of its list, a block
+  element closes an open ``p``, likewise ``dt``/``dd``, ``option`` and the parts of
+  tables; an end tag closes everything that was opened inside its element, and the
+  page's end closes the rest; a tag that the page ends in is none;
+* an end tag without its element is ignored, also if the element is open outside
+  of the table cell (or caption) that the tag stands in.
+
+Tag and attribute names match in any case, attribute values as written, in
+either quote or none; an element may be asked for inside another one.  Only
+this pass runs in Python, in Arrow batches; the rest is built-in functions.
 """
 
 from __future__ import annotations
 
+import html as entities
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skulink.functions.text import EDGE_SPACE_RE, strip_parens, text_after
-from skulink.functions.vectors import let
+
+# Fixed values of HTML: elements without content, elements whose content is text, elements
+# that close an open paragraph, and per element the open ones it closes.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TEXT = frozenset("script style textarea title".split())
+CLOSES_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search "
+    "section summary table ul".split())
+CELLS = ("caption", "table", "td", "th")
+IMPLIED_END = {
+    "li": (("li",), ("ul", "ol", "menu", *CELLS)),
+    "dt": (("dt", "dd"), ("dl", *CELLS)),
+    "dd": (("dt", "dd"), ("dl", *CELLS)),
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tr": (("tr", "caption", "colgroup"), ("table", "thead", "tbody", "tfoot")),
+    "thead": (("thead", "tbody", "tfoot", "caption", "colgroup", "tr"), ("table",)),
+    "tbody": (("thead", "tbody", "tfoot", "caption", "colgroup", "tr"), ("table",)),
+    "tfoot": (("thead", "tbody", "tfoot", "caption", "colgroup", "tr"), ("table",)),
+}
+TABLE_PARTS = frozenset("caption table td th tr thead tbody tfoot colgroup".split())
 
 # Character references decoded in element text (the common five).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
@@ -43,71 +80,123 @@ class ListingRule:
     within: "ListingRule | None" = None
 
 
-def attribute_pattern(name: str, value: str | None = None, one_of: bool = False) -> str:
-    """Regex for a start tag with the attribute (``one_of``: a word of its value)."""
-    n = r"(?is)^<[^>]*?\s" + re.escape(name)
-    if value is None:
-        return n + r"(?=[\s=/>])"
-    v = re.escape(value)
-    if one_of:
-        quoted = (r'"(?:[^"]*\s)?' + v + r'(?:\s[^"]*)?"' + r"|'(?:[^']*\s)?" + v + r"(?:\s[^']*)?'")
-    else:
-        quoted = f'"{v}"' + f"|'{v}'"
-    return n + r"\s*=\s*(?:" + quoted + "|" + v + r"(?=[\s/>]))"
-
-
-def starts(tag: Column, rule: ListingRule) -> Column:
-    """Whether a tag is a start tag that the rule asks for."""
-    ok = ~tag.startswith("</")
-    if rule.css_class is not None:
-        ok = ok & tag.rlike(attribute_pattern("class", rule.css_class, one_of=True))
-    for name, value in rule.attrs.items():
-        ok = ok & tag.rlike(attribute_pattern(name, value))
-    return ok
+# A quote counts after "=" only, and only if it is closed.  Possessive, so each character is read once.
+MARKUP_RE = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"
+    r"""(?P<attrs>(?:[^>=]|=\s*+(?:"[^"]*"|'[^']*'|))*+)(?P<close>>|\Z)""", re.S)
+UNQUOTED_END_RE = re.compile(r"""=\s*[^\s"'=][^\s"'=]*/\Z""")
+ATTRIBUTE_RE = re.compile(
+    r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+RAW_END_RE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW_TEXT}
+
+
+@dataclass
+class Element:
+    """An element of a page: its start tag, where its content lies, and the last one inside it."""
+    name: str
+    attrs: str
+    tag: tuple[int, int]
+    end: int = -1
+    last: int = -1
+
+
+def page_elements(html: str) -> list[Element]:
+    """All elements of a page in the order of their start tags, in one pass."""
+    found: list[Element] = []
+    stack: list[int] = []                   # open elements, outermost first
+    depths: dict[str, list[int]] = {}       # name -> where on the stack
+
+    def deepest(names) -> int:
+        return max((depths[n][-1] for n in names if depths.get(n)), default=-1)
+
+    def close(depth: int, at: int) -> None:
+        """Close the stack down to ``depth``: the content of what is closed ends at ``at``."""
+        while len(stack) > depth:
+            e = found[stack.pop()]
+            depths[e.name].pop()
+            e.end, e.last = at, len(found) - 1
+
+    def imply(names, bounds, at: int) -> None:
+        """Close the outermost open element of ``names`` inside the nearest of ``bounds``."""
+        bound = deepest(bounds)
+        inside = [depths[n][bisect_right(depths[n], bound)] for n in names
+                  if depths.get(n) and depths[n][-1] > bound]
+        if inside:
+            close(min(inside), at)
+
+    at = 0
+    while (m := MARKUP_RE.search(html, at)) is not None:
+        at = m.end()
+        if m["name"] is None:
+            continue
+        if not m["close"]:
+            break            # the page ends inside a tag
+        name = m["name"].lower()
+        if m["end"]:
+            depth = deepest((name,))
+            bounds = () if name == "table" else ("table",) if name in TABLE_PARTS else CELLS
+            if depth > deepest(bounds):
+                close(depth, m.start())
+            continue
+        if name in CLOSES_P:
+            imply(("p",), CELLS, m.start())
+        if name in IMPLIED_END:
+            imply(*IMPLIED_END[name], m.start())
+        attrs = m["attrs"]
+        e = Element(name, attrs, (m.start(), m.end()))
+        found.append(e)
+        if name in VOID or (attrs.endswith("/") and not UNQUOTED_END_RE.search(attrs)):
+            e.end, e.last = m.end(), len(found) - 1
+        elif name in RAW_TEXT:
+            stop = RAW_END_RE[name].search(html, at)
+            e.end = at = stop.start() if stop else len(html)
+            e.last = len(found) - 1
+        else:
+            depths.setdefault(name, []).append(len(stack))
+            stack.append(len(found) - 1)
+    close(0, len(html))
+    return found
+
+
+def fits(e: Element, rule: ListingRule) -> bool:
+    """Whether an element is one that the rule asks for (not looking at ``within``)."""
+    if e.name != rule.tag.lower():
+        return False
+    if rule.css_class is None and not rule.attrs:
+        return True
+    attrs: dict[str, str] = {}
+    for name, *values in ATTRIBUTE_RE.findall(e.attrs):
+        attrs.setdefault(name.lower(), entities.unescape("".join(values)))     # the first one counts
+    return ((rule.css_class is None or rule.css_class in attrs.get("class", "").split())
+            and all(k.lower() in attrs and v in (None, attrs[k.lower()]) for k, v in rule.attrs.items()))
+
+
+def matching(found: list[Element], rule: ListingRule) -> list[int]:
+    """Numbers of a rule's elements in order; inside two enclosing ones an element counts twice."""
+    own = [i for i, e in enumerate(found) if fits(e, rule)]
+    if rule.within is None:
+        return own
+    return [i for k in matching(found, rule.within)
+            for i in own[bisect_right(own, k):bisect_left(own, found[k].last + 1)]]
 
 
 def elements(markup: Column, rule: ListingRule) -> Column:
     """Elements of a markup in order: array of struct m (with tags), t (inner markup)."""
-    if rule.within is not None:
-        import dataclasses
-        inner = dataclasses.replace(rule, within=None)
-        return F.flatten(F.transform(elements(markup, rule.within),
-                                     lambda e: elements(e["t"], inner)))
-    tag_re = F.lit(r"(?is)</?" + re.escape(rule.tag) + r"(?=[\s/>])[^>]*>")
-
-    def of_tags(tags, pieces):
-        # +1 at a start tag, -1 at an end tag, 0 at an empty one
-        step = F.transform(tags, lambda t: F.when(t.startswith("</"), -1).when(
-            t.endswith("/>"), 0).otherwise(1))
-        depth = F.aggregate(
-            step, F.struct(F.lit(0).alias("d"), F.array().cast("array<int>").alias("a")),
-            lambda s, x: F.struct((s["d"] + x).alias("d"),
-                                  F.concat(s["a"], F.array(s["d"] + x)).alias("a")),
-            lambda s: s["a"])
-        return let(depth, lambda d: cut(tags, pieces, d))
-
-    def cut(tags, pieces, d):
-        n = F.size(tags)
-        at = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                      lambda i: (i < n) & starts(F.get(tags, i), rule))
-
-        def element(i):
-            # the first later tag that brings the depth back below the start tag's
-            ends = F.filter(F.sequence(i, n - 1), lambda j: F.get(d, j) == F.get(d, i) - 1)
-            end = F.when(F.get(tags, i).endswith("/>"), i).otherwise(F.array_min(ends))
-            return let(end, lambda j: F.when(
-                j > i, F.array_join(F.flatten(F.transform(F.sequence(i + 1, j), lambda k: F.array(
-                    F.get(pieces, k), F.when(k < j, F.get(tags, k)).otherwise("")))), "")
-            ).when(j == i, F.lit("")))
-
-        found = F.transform(at, lambda i: F.struct(F.get(tags, i).alias("s"), element(i).alias("t")))
-        # a start tag that is never closed is no element
-        return F.transform(F.filter(found, lambda e: e["t"].isNotNull()), lambda e: F.struct(
-            F.concat(e["s"], e["t"], F.lit(f"</{rule.tag}>")).alias("m"), e["t"].alias("t")))
-
-    html = F.coalesce(markup, F.lit(""))
-    return let(F.regexp_extract_all(html, tag_re, F.lit(0)),
-               lambda tags: let(F.split(html, tag_re, -1), lambda pieces: of_tags(tags, pieces)))
+    @F.pandas_udf("array<struct<m:string,t:string>>")
+    def of_pages(pages: pd.Series) -> pd.Series:
+        out = []
+        for html in pages:
+            row = []
+            if html:
+                found = page_elements(html)
+                for e in (found[i] for i in matching(found, rule)):
+                    inner = html[e.tag[1]:e.end]
+                    row.append({"m": f"{html[slice(*e.tag)]}{inner}</{rule.tag}>", "t": inner})
+            out.append(row)
+        return pd.Series(out)
+
+    return of_pages(markup)
 
 
 def element_text(inner) -> Column:

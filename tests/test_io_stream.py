@@ -132,7 +132,7 @@ def test_nested_and_odd_listings(spark):
                                   "page_id long, url string, html string")
     got = pg.extract_listing_ids(pages, pg.ListingRule("div", "ad")).collect()
     assert [(r.rank, r.product_id) for r in got] == [
-        (1, "x Item # 77"), (2, "88"), (3, "inout"), (4, "in"), (5, "")]
+        (1, "x Item # 77"), (2, "88"), (3, "inout"), (4, "in"), (5, ""), (6, "open")]
     got = pg.extract_listing_ids(pages, pg.ListingRule("div", "ad", delimiter="#")).collect()
     assert got[0].product_id == "77"
 
