@@ -163,11 +163,16 @@ def agreement(colors_l, colors_r, measures_l, measures_r) -> Column:
 
 def tokenize(x) -> Column:
     """Lower-case, split quotes, contractions and punctuation into tokens."""
-    s = F.regexp_replace(F.lower(null_to_empty(x)), "n't", " n't")
+    return split_tokens(F.lower(null_to_empty(x)), TOKEN_RE)
+
+
+def split_tokens(s: Column, token_re: str) -> Column:
+    """Tokens of a lower-cased text by a pattern, quotes and contractions split before."""
+    s = F.regexp_replace(s, "n't", " n't")
     s = F.regexp_replace(s, r"(?U)\bcannot\b", "can not")
     s = F.regexp_replace(s, r'(^|[\s(\[{<])"', "$1 `` ")
     s = F.replace(s, F.lit('"'), F.lit(" '' "))
-    return F.regexp_extract_all(s, F.lit(TOKEN_RE), 0)
+    return F.regexp_extract_all(s, F.lit(token_re), 0)
 
 
 def remove_stop_words(tokens, stop_words=None) -> Column:

@@ -58,6 +58,45 @@ def filtered_tokens_sql(x: str) -> str:
     return f"list_filter({tokens_sql(x)}, lambda t: NOT list_contains({STOP}, t))"
 
 
+KEPT = "\ue000"        # a point inside a word, or an abbreviation's
+POINTED_SQL_RE = r"(?s)^(.*[\p{L}\p{N}])\.([^\p{L}\p{N}.]*)$"
+KEPT_TOKEN_RE = (rf"``|''''|\.\.\.|n''t|''\p{{L}}+|\p{{N}}+(?:[,{KEPT}]\p{{N}}+)+{KEPT}?"
+                 rf"|[\p{{L}}\p{{N}}_{KEPT}]+(?:-[\p{{L}}\p{{N}}_{KEPT}]+)*|[^\s\p{{L}}\p{{N}}_{KEPT}]")
+
+
+def pointed_types_ctes() -> str:
+    """Words of all documents, their types, and each pointed type's score (table pt)."""
+    return rf"""
+sw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS ws
+       FROM documents),
+tw AS (SELECT unnest(ws) AS w FROM sw),
+ty AS (SELECT regexp_replace(regexp_extract(w, '{POINTED_SQL_RE}', 1), '^[^\p{{L}}\p{{N}}]+', '') AS pointed,
+              regexp_replace(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}]+$', '') AS plain FROM tw),
+tc AS (SELECT CASE WHEN pointed <> '' THEN pointed ELSE plain END AS type,
+              count(*) FILTER (pointed <> '') AS n_pointed, count(*) FILTER (pointed = '') AS n_plain
+       FROM ty GROUP BY 1 HAVING regexp_matches(type, '\p{{L}}')),
+tp AS (SELECT sum(n_pointed) / sum(n_pointed + n_plain) AS p FROM tc),
+pt AS (SELECT type, n_pointed, n_plain, greatest(0.0::DOUBLE,
+              2 * (n_pointed * (ln(0.99) - ln(p)) + n_plain * (ln(0.01) - ln(1 - p)))
+              * exp(-length(replace(type, '.', ''))) * (1 + length(type) - length(replace(type, '.', '')))
+              * pow(length(replace(type, '.', ''))::DOUBLE, -n_plain)) AS score
+       FROM tc, tp WHERE n_pointed > 0)"""
+
+
+def sentence_tokens_sql() -> str:
+    kept = (f"list_transform(ws, lambda w, i: CASE WHEN i < len(ws) AND list_contains(known, "
+            rf"regexp_replace(regexp_extract(w, '{POINTED_SQL_RE}', 1), '^[^\p{{L}}\p{{N}}]+', '')) "
+            rf"THEN regexp_replace(w, '{POINTED_SQL_RE}', '\1{KEPT}\2') ELSE w END)")
+    s = f"array_to_string({kept}, ' ')"
+    for _ in range(2):
+        s = rf"regexp_replace({s}, '([\p{{L}}\p{{N}}_])\.([\p{{L}}\p{{N}}_])', '\1{KEPT}\2', 'g')"
+    s = f"regexp_replace({s}, 'n''t', ' n''t', 'g')"
+    s = rf"regexp_replace({s}, '\bcannot\b', 'can not', 'g')"
+    s = rf"""regexp_replace({s}, '(^|[\s(\[{{<])"', '\1 `` ', 'g')"""
+    s = f"""replace({s}, '"', ' '''' ')"""
+    return f"list_transform(regexp_extract_all({s}, '{KEPT_TOKEN_RE}'), lambda t: replace(t, '{KEPT}', '.'))"
+
+
 def vec_sql(toks: str) -> str:
     """Mean-pooled hash vector of a token list (empty list -> empty vector)."""
     return (f"CASE WHEN len({toks}) = 0 THEN CAST([] AS DOUBLE[]) ELSE list_transform(range(16), lambda i: "
@@ -454,6 +493,12 @@ def build() -> dict[str, str]:
         f"UNION ALL SELECT page_id, 'delimiter', 1, regexp_replace({after_sql(element_text_sql('t'), ' ')}, '^\\s+|\\s+$', '', 'g') FROM h "
         "UNION ALL SELECT page_id, 'nested', rank, "
         f"translate({element_text_sql('t')}, '()', '') FROM e")
+    q["pointed_types"] = (f"WITH {pointed_types_ctes()} SELECT type, n_pointed, n_plain, round(score, 6) AS score, "
+                          "score >= 0.3 AS abbreviation FROM pt")
+    q["sentence_tokens"] = (
+        f"WITH {pointed_types_ctes()}, kn AS (SELECT coalesce(list(type), []) AS known FROM pt WHERE score >= 0.3), "
+        f"st AS (SELECT doc_id, {sentence_tokens_sql()} AS t FROM sw, kn) "
+        "SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n_tokens FROM st")
     # what follows a start tag, up to the tag that ends the element, whether its own end tag or not
     block = "</(?:p|div|article|footer|nav|ul|body|html)>|<(?:article|div|footer|nav|ul|h1)[ >]|$"
     cut_at = lambda tag, ends: (

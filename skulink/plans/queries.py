@@ -16,6 +16,7 @@ from skulink.functions import vectors as vx
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
 from skulink.operators.consolidate import (consolidate_by_left, consolidate_by_pair,
                                            consolidate_matches)
+from skulink.operators import sentences as sn
 from skulink.operators.lookup import exclude_rows, first_by_key
 from skulink.operators.pooling import pool_groups
 from skulink.plans import cascade as cz
@@ -451,6 +452,20 @@ def q_assisted_by_name(spark, sf):
                                     hits=fx.fixture_hits(spark, sf, by="product_name")))
 
 
+# -- sentences (X9) ----------------------------------------------------------------
+def q_pointed_types(spark, sf):
+    """How far each type seen with a final point is an abbreviation, over all documents."""
+    return sn.pointed_types(fx.table(spark, sf, "documents")).select(
+        "type", "n_pointed", "n_plain", r6("score").alias("score"),
+        (F.col("score") >= sn.THRESHOLD).alias("abbreviation"))
+
+
+def q_sentence_tokens(spark, sf):
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    return sn.tokenize_sentences(docs, "doc_id").select(
+        "doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n_tokens"))
+
+
 # -- listing rules (F5, X18, X19, P6) ----------------------------------------------
 def q_listing_rules(spark, sf):
     """The rules' options: text an element must hold, a delimiter, nesting and parentheses."""
@@ -536,4 +551,6 @@ QUERIES = {
     "listing_rules": q_listing_rules,
     "listing_by_url": q_listing_by_url,
     "listing_unclosed": q_listing_unclosed,
+    "pointed_types": q_pointed_types,
+    "sentence_tokens": q_sentence_tokens,
 }
