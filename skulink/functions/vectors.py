@@ -29,7 +29,7 @@ def let(expr, fn) -> Column:
 
 def check_pooling(strategy: str) -> str:
     if strategy not in POOLING:
-        raise ValueError(f"Unknown pooling strategy: {strategy}")
+        raise ValueError(f"pooling is one of {', '.join(POOLING)}, not {strategy!r}")
     return strategy
 
 

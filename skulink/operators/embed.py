@@ -7,7 +7,8 @@ normalise (X13).
 
 An encoder is a function ``Column(text) -> Column(array<array<float>>)``
 of token vectors, e.g. a caller's ``pandas_udf`` wrapping a model (Arrow
-batches, one model load per executor).  ``None`` selects the built-in
+batches, one model load per executor), or a ``batched.BatchEncoder``: sub-words of
+a vocabulary, padded batches with masks, pooled inside the task.  ``None`` selects the built-in
 deterministic hash encoder, pure SQL, so tests and the oracle run offline.
 """
 
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from skulink.functions.text import (ENCODER_MAX_TOKENS, remove_stop_words, stop_filtered_text,
                                     tokenize, truncate_tokens)
 from skulink.functions.vectors import check_pooling, hash_token_vectors, l2_normalize, pool_tokens
+from skulink.operators.batched import BatchEncoder
 
-Encoder = Callable[[Column], Column]
+Encoder = Callable[[Column], Column] | BatchEncoder
 
 
 def hash_encoder(text: Column, stop_words=None, max_tokens: int = ENCODER_MAX_TOKENS - 2) -> Column:
@@ -37,6 +39,8 @@ def hash_encoder(text: Column, stop_words=None, max_tokens: int = ENCODER_MAX_TO
 def sentence_vector(text: Column, encoder: Encoder | None = None, pooling: str = "mean",
                     stop_words=None, max_tokens: int = ENCODER_MAX_TOKENS - 2) -> Column:
     check_pooling(pooling)
+    if isinstance(encoder, BatchEncoder):
+        return encoder.vector(remove_stop_words(tokenize(text), stop_words), pooling)
     if encoder is None:
         tv = hash_encoder(text, stop_words, max_tokens)
     else:

@@ -97,6 +97,29 @@ def sentence_tokens_sql() -> str:
     return f"list_transform(regexp_extract_all({s}, '{KEPT_TOKEN_RE}'), lambda t: replace(t, '{KEPT}', '.'))"
 
 
+def subword_ctes() -> str:
+    """Ids of every document (table ds: doc_id, ids without specials), word by word."""
+    parts = " UNION ".join(f"SELECT substr(w, 1, {k}) AS p FROM tp UNION SELECT '##' || right(w, {k}) FROM tp"
+                           for k in (1, 2, 3))
+    return f"""
+tk AS (SELECT doc_id, {filtered_tokens_sql('text')} AS t FROM documents),
+tw AS (SELECT doc_id, unnest(t) AS w, unnest(range(len(t))) AS i FROM tk),
+wc AS (SELECT w, count(*) AS n FROM tw GROUP BY w),
+tp AS (SELECT w FROM wc ORDER BY n DESC, w LIMIT 5000),
+vo AS (SELECT p, 3 + row_number() OVER (ORDER BY p) AS id FROM (SELECT w AS p FROM tp UNION {parts})),
+pm AS (SELECT max(len(p)) AS longest FROM vo),
+sp AS (SELECT w, s, unnest(range(1, 1 + least(len(w) - s + 1, CASE WHEN s = 1 THEN longest ELSE longest - 2 END))) AS n
+       FROM (SELECT w, unnest(range(1, len(w) + 1)) AS s FROM wc WHERE len(w) <= 100), pm),
+st AS (SELECT w, s, max(n) AS n, arg_max(id, n) AS id
+       FROM sp JOIN vo ON p = CASE WHEN s = 1 THEN '' ELSE '##' END || substr(w, s, n) GROUP BY w, s),
+wk AS (SELECT w, 1::BIGINT AS s, []::BIGINT[] AS ids FROM wc
+       UNION ALL SELECT wk.w, wk.s + st.n, list_append(wk.ids, st.id) FROM wk JOIN st ON st.w = wk.w AND st.s = wk.s),
+ws AS (SELECT wc.w, coalesce(any_value(wk.ids), [1]::BIGINT[]) AS ids
+       FROM wc LEFT JOIN wk ON wk.w = wc.w AND wk.s = len(wc.w) + 1 GROUP BY wc.w),
+ds AS (SELECT doc_id, coalesce(ids, []::BIGINT[]) AS ids FROM documents LEFT JOIN
+       (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM tw JOIN ws USING (w) GROUP BY doc_id) USING (doc_id))"""
+
+
 def vec_sql(toks: str) -> str:
     """Mean-pooled hash vector of a token list (empty list -> empty vector)."""
     return (f"CASE WHEN len({toks}) = 0 THEN CAST([] AS DOUBLE[]) ELSE list_transform(range(16), lambda i: "
@@ -499,6 +522,16 @@ def build() -> dict[str, str]:
         f"WITH {pointed_types_ctes()}, kn AS (SELECT coalesce(list(type), []) AS known FROM pt WHERE score >= 0.3), "
         f"st AS (SELECT doc_id, {sentence_tokens_sql()} AS t FROM sw, kn) "
         "SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n_tokens FROM st")
+    q["subword_limit"] = (
+        f"WITH RECURSIVE {subword_ctes()} SELECT doc_id, "
+        "array_to_string(list_concat([2], ids[1:126], [3]), ' ') AS ids, len(ids) AS n_subwords FROM ds")
+    own = lambda j: f"(id * {2 * j + 3}) % 101 / 101.0 - 0.5"
+    dims = " UNION ALL ".join(f"SELECT doc_id, {j} AS dim, max({own(j)}) + 0.5 * avg({own(j)}) AS v FROM pl GROUP BY doc_id"
+                              for j in range(6))
+    q["batched_encoder"] = (
+        f"WITH RECURSIVE {subword_ctes()}, pl AS (SELECT doc_id, unnest(list_concat([2], ids[1:126], [3])) AS id FROM ds), "
+        f"ev AS ({dims}) SELECT doc_id, dim, "
+        "round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS value FROM ev")
     # what follows a start tag, up to the tag that ends the element, whether its own end tag or not
     block = "</(?:p|div|article|footer|nav|ul|body|html)>|<(?:article|div|footer|nav|ul|h1)[ >]|$"
     cut_at = lambda tag, ends: (

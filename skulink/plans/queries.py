@@ -7,6 +7,7 @@ joined strings; doubles are rounded to 6 places for comparison.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from skulink.functions import vectors as vx
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
 from skulink.operators.consolidate import (consolidate_by_left, consolidate_by_pair,
                                            consolidate_matches)
+from skulink.operators import batched as bt
 from skulink.operators import sentences as sn
+from skulink.operators.embed import embed_texts
 from skulink.operators.lookup import exclude_rows, first_by_key
 from skulink.operators.pooling import pool_groups
 from skulink.plans import cascade as cz
@@ -438,13 +441,57 @@ def letter_encoder():
 
 def q_encoder_udf(spark, sf):
     """Product names through a pandas UDF encoder, each distinct text once."""
-    from skulink.operators.embed import embed_texts
     cat = fx.fixture_catalogue(spark, sf).select("pos", "product_name")
     vec = embed_texts(cat, "product_name", encoder=letter_encoder())
     return (vec.select("pos", F.posexplode("vec").alias("dim", "value"))
             .select("pos", "dim", r6("value").alias("value")))
 
 
+VOCABULARY_WORDS = 5_000     # whole words of the example vocabulary, the most frequent
+
+
+def corpus_vocabulary(docs: DataFrame, n_words: int = VOCABULARY_WORDS) -> bt.Subwords:
+    """An example vocabulary: frequent words, their one to three first letters and last letters.
+
+    At most seven pieces a word reach the driver, ids follow the pieces' order.
+    """
+    words = docs.select(F.explode(tx.remove_stop_words(tx.tokenize("text"))).alias("w"))
+    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(n_words).select("w")
+    parts = [F.col("w")]
+    for k in (1, 2, 3):
+        parts += [F.substring("w", 1, k), F.concat(F.lit("##"), F.substring("w", -k, k))]
+    pieces = top.select(F.explode(F.array(*parts)).alias("p")).distinct()
+    names = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"] + sorted(r["p"] for r in pieces.collect())
+    return bt.Subwords({p: i for i, p in enumerate(names)})
+
+
+def toy_model():
+    """Six numbers per piece, each moved by the mean over all places that are not padding."""
+    def run(ids, mask):
+        own = np.stack([ids * (2 * j + 3) % 101 / 101.0 - 0.5 for j in range(6)], axis=2)
+        mean = (own * mask[:, :, None]).sum(axis=1) / mask.sum(axis=1)[:, None]
+        return own + 0.5 * mean[:, None, :]
+    return run
+
+
+def q_subword_limit(spark, sf):
+    """The sub-words that a model's limit of 128 places keeps, and how many the text has."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    sub = bt.subwords(tx.remove_stop_words(tx.tokenize("text")), corpus_vocabulary(docs))
+    return docs.select("doc_id", sub.alias("s")).select(
+        "doc_id", F.array_join(F.col("s.ids").cast("array<string>"), " ").alias("ids"),
+        F.col("s.n_subwords").alias("n_subwords"))
+
+
+def q_batched_encoder(spark, sf):
+    """Whole documents through a batched encoder, largest value over the places kept."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    encoder = bt.BatchEncoder(toy_model, corpus_vocabulary(docs))
+    vec = embed_texts(docs, "text", encoder=encoder, pooling="max")
+    return (vec.select("doc_id", F.posexplode("vec").alias("dim", "value"))
+            .select("doc_id", "dim", r6("value").alias("value")))
+
+
 def q_assisted_by_name(spark, sf):
     """I7 with the product's name as the search text."""
     L, R = _lr(spark, sf)
@@ -553,4 +600,6 @@ QUERIES = {
     "listing_unclosed": q_listing_unclosed,
     "pointed_types": q_pointed_types,
     "sentence_tokens": q_sentence_tokens,
+    "subword_limit": q_subword_limit,
+    "batched_encoder": q_batched_encoder,
 }
