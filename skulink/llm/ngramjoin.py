@@ -18,8 +18,8 @@ From signatures to classes without listing pairs of a group:
 2. signature groups with two or more sets are kept; in each, every member is
    paired with the group's smallest member, its hub (a star: as many pairs as
    members).  A profile of each set (shingles per hash range, a byte each) bounds what
-   two sets can share; only pairs that it allows have their shingle sets moved
-   together and are verified exactly;
+   two sets can share; only for pairs that it allows are the shingle sets made again,
+   moved together and verified exactly;
 3. verified links are contracted to components (large star / small star);
 4. in groups that reach over several components, members outside their hub's may
    still link with each other or with other members.  A hub's members are dealt into
@@ -152,17 +152,18 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """uid, id, n_shingles, key (null for empty sets) per row."""
-    @F.pandas_udf("n long, key binary")
+    """uid, id, n_shingles, key and profile h (key null for empty sets) per row."""
+    @F.pandas_udf("n long, key binary, h binary")
     def describe(texts: pd.Series) -> pd.DataFrame:
         out = []
         for raw in texts:
             s = shingles(raw, size)
-            out.append((len(s), digest(s) if len(s) else None))
-        return pd.DataFrame(out, columns=["n", "key"])
+            out.append((len(s), digest(s), profile(s)) if len(s) else (0, None, None))
+        return pd.DataFrame(out, columns=["n", "key", "h"])
 
     return (docs.select("uid", "id", describe("raw").alias("d"))
-            .select("uid", "id", F.col("d.n").alias("n_shingles"), F.col("d.key").alias("key")))
+            .select("uid", "id", F.col("d.n").alias("n_shingles"), F.col("d.key").alias("key"),
+                    F.col("d.h").alias("h")))
 
 
 def signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -214,18 +215,29 @@ def most_common(a: bytes | None, b: bytes | None, na: int, nb: int) -> int:
     return int(np.minimum(x, y).sum())
 
 
-def shingle_sets(docs: DataFrame, size: int, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, key, n, s, h) of the sets in ``nodes``: one text per set is read again."""
-    @F.pandas_udf("s array<long>, h binary")
-    def sets(texts: pd.Series) -> pd.DataFrame:
-        out = [shingles(raw, size) for raw in texts]
-        return pd.DataFrame({"s": [x.view(np.int64) for x in out], "h": [profile(x) for x in out]})
-
+def profiled(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, key, uid, n, h) of the sets in ``nodes``: ``uid`` is one row that holds the set."""
     node = F.expr("conv(hex(substring(key, 1, 8)), 16, -10)").cast("long")
-    reps = (rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("uid").alias("uid"))
+    return (rows.where(F.col("key").isNotNull()).groupBy("key")
+            .agg(F.min("uid").alias("uid"), F.first("n_shingles").alias("n"), F.first("h").alias("h"))
             .withColumn("node", node).join(nodes, "node", "left_semi"))
-    return (docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("x"))
-            .select("node", "key", "x.s", "x.h", F.size("x.s").alias("n")))
+
+
+def shingle_sets(docs: DataFrame, size: int, profiles: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, key, n, s) of the sets in ``nodes``: one text per set is read again.
+
+    Only sets that must be compared exactly are asked for; where they are few, Spark sends
+    their row numbers to the texts instead of shuffling those.
+    """
+    @F.pandas_udf("array<long>")
+    def sets(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(raw, size).view(np.int64) for raw in texts])
+
+    reps = cut(profiles.join(nodes, "node", "left_semi").select("uid", "node", "key"), "representatives")
+    out = cut(docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("s"))
+              .select("node", "key", "s", F.size("s").alias("n")), "shingles")
+    discard(reps)
+    return out
 
 
 def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,18 +258,21 @@ def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))).select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v) set keys, u > v, of the (a, b) pairs that are similar enough."""
-    pairs = cut(promising(pairs, sets, percent), "pairs")
+    pairs = cut(promising(pairs, profiles, percent), "pairs")
+    sets = shingle_sets(docs, size, profiles, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     a = sets.select(F.col("node").alias("a"), F.col("key").alias("ka"),
                     F.col("s").alias("sa"), F.col("n").alias("na"))
     b = sets.select(F.col("node").alias("b"), F.col("key").alias("kb"),
                     F.col("s").alias("sb"), F.col("n").alias("nb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(a, "a").join(b, "b")
-            .where(100 * both >= percent * (F.col("na") + F.col("nb") - both))
-            .select(F.greatest("ka", "kb").alias("u"), F.least("ka", "kb").alias("v"))
-            .where("u > v"))
+    links = cut(pairs.join(a, "a").join(b, "b")
+                .where(100 * both >= percent * (F.col("na") + F.col("nb") - both))
+                .select(F.greatest("ka", "kb").alias("u"), F.least("ka", "kb").alias("v"))
+                .where("u > v"), "verified")
+    discard(pairs, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -321,7 +336,8 @@ def dealt(member: DataFrame, payload: DataFrame) -> DataFrame:
     return left.unionByName(right).join(payload, "node")
 
 
-def rest(group: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def rest(group: DataFrame, profiles: DataFrame, roots: DataFrame, docs: DataFrame, size: int,
+         percent: int) -> DataFrame:
     """(u, v) links between a hub's members in different components.
 
     First on the sets' profiles: only members that some profile of another component
@@ -333,9 +349,11 @@ def rest(group: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> D
         nodes = near_nodes(pdf[pdf["left"]], pdf[~pdf["left"]], percent)
         return pd.DataFrame({"hub": np.full(len(nodes), pdf["hub"].iloc[0]), "node": nodes})
 
-    alive = (dealt(member, sets.select("node", "h", F.col("n").alias("size"))).groupBy("hub", "i", "j")
+    alive = (dealt(member, profiles.select("node", "h", F.col("n").alias("size"))).groupBy("hub", "i", "j")
              .applyInPandas(near, "hub long, node long").distinct())
-    member = cut(member.join(alive, ["hub", "node"], "left_semi"), "members")
+    every, member = member, cut(member.join(alive, ["hub", "node"], "left_semi"), "members")
+    discard(every)
+    sets = shingle_sets(docs, size, profiles, member.select("node").distinct())
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         return linked_pairs(pdf[pdf["left"]], pdf[~pdf["left"]], percent)
@@ -437,14 +455,13 @@ def numbered_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 .withColumn("hi", F.max("node").over(by_sig))
                 .where("lo < hi").select("sig", "node").distinct(), "groups")
     reclaim(spark)
-    sets = cut(shingle_sets(docs, size, rows, group.select("node").distinct()), "shingles")
-    reclaim(spark)
+    profiles = cut(profiled(rows, group.select("node").distinct()), "profiles")
     hubs = group.groupBy("sig").agg(F.min("node").alias("b"))
     star = group.join(hubs, "sig").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    links = components(verified(star, sets, percent))
+    links = components(verified(star, profiles, docs, size, percent))
     reclaim(spark)
-    found = cut(rest(group, sets, cut(with_roots(sets, links), "roots"), percent), "links")
-    discard(sets, group)
+    found = cut(rest(group, profiles, cut(with_roots(profiles, links), "roots"), docs, size, percent), "links")
+    discard(profiles, group)
     reclaim(spark)
     if not found.isEmpty():
         links = components(links.unionByName(found))
