@@ -26,6 +26,7 @@ from skulink.functions.vectors import cosine
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, right_sets
 from skulink.operators.embed import Encoder, sentence_vector
 from skulink.operators.lookup import first_by_key
+from skulink.operators.skew import bounded_broadcast
 from skulink.session import cut, materialize
 from skulink.sources.resume import skip_done_left
 
@@ -71,9 +72,17 @@ def prepare_left(left: DataFrame, fold_case: bool = False) -> DataFrame:
     # written before the self join, so the catalogue and its words are computed once
     left = cut(left.drop("words", "desc_by_id").withColumn("words", name_words("product_name", fold_case)),
                "left-words")
-    desc = first_by_key(left, "product_id", "pos", "product_desc").withColumnRenamed(
+    # an id that one row holds gives that row its own description, so only shared ids move theirs
+    shared, n = bounded_broadcast(left.where(F.col("product_id").isNotNull()).groupBy("product_id").count()
+                                  .where(F.col("count") > 1).select("product_id"))
+    own = F.when(F.col("product_id").isNotNull(), F.col("product_desc"))
+    if n == 0:
+        return left.withColumn("desc_by_id", own)
+    rows = left.join(shared, "product_id", "left_semi")
+    desc = first_by_key(rows, "product_id", "pos", "product_desc").withColumnRenamed(
         "product_desc", "desc_by_id")
-    return left.join(desc, "product_id", "left")
+    return (left.join(shared, "product_id", "left_anti").withColumn("desc_by_id", own)
+            .unionByName(rows.join(desc, "product_id", "left")))
 
 
 def prepare_right(right: DataFrame, fold_case: bool = False) -> DataFrame:

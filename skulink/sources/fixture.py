@@ -41,16 +41,18 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = F.lit(max(1, docs.count()))          # answered by the Parquet footers
-    nd = docs.select(F.col("doc_id").alias("n_doc"), F.filter(
-        F.split("text", WORD_SPLIT), lambda w: w != "").alias("nw"))
+    # texts are moved as they are and cut to a name's words before the next join, which moves only those
+    nd = docs.select(F.col("doc_id").alias("n_doc"), F.col("text").alias("n_text"))
     dd = docs.select(F.col("doc_id").alias("d_doc"), F.col("text").alias("d_text"))
-    p = (p.join(nd, nd.n_doc == F.expr("p_partkey div 2") % n_docs, "left")
-          .join(dd, dd.d_doc == (k * 3) % n_docs, "left"))
+    p = p.join(nd, nd.n_doc == F.expr("p_partkey div 2") % n_docs, "left").withColumn(
+        "nw", F.filter(F.split("n_text", WORD_SPLIT), lambda w: w != ""))
     # four to eight words from anywhere in the document
     name_words = F.array_join(F.slice(
         F.coalesce("nw", F.array().cast("array<string>")),
         (F.lit(1) + (F.expr("p_partkey div 2") * 31) % F.greatest(F.lit(1), F.size("nw") - 12)
          + k % 3).cast("int"), (F.lit(4) + k % 5).cast("int")), " ")
+    p = p.withColumn("name_words", name_words).drop("n_doc", "n_text", "nw")
+    p = p.join(dd, dd.d_doc == (k * 3) % n_docs, "left")
     measure = (F.when(k % 4 == 0, F.concat(F.col("p_size"), F.lit(" mL")))
                 .when(k % 4 == 1, F.concat(F.col("p_size"), F.lit(".5 mm")))
                 .when(k % 4 == 2, F.concat(F.lit("No "), F.col("p_size")))
@@ -58,7 +60,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat_ws(" ",
                        F.when(k % 7 < 5, F.col("p_name")),
                        F.when(k % 3 == 0, F.lower("p_type")),
-                       measure, name_words)
+                       measure, F.col("name_words"))
     desc = F.when(k % 11 != 0, F.col("d_text"))
     pid = F.concat(F.lit("P"), k.cast("string"))
     return p.select(
