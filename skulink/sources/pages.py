@@ -264,5 +264,6 @@ def two_hop_ids(pages: DataFrame, rule: ListingRule, base_url: str = "", key: st
     details = {"heading": heading_key, "url": url_key}[key](pages)
     ids = extract_listing_ids(pages, rule).where(F.col("rank") == 1).select(
         F.col("page_id").alias("detail_page_id"), "product_id")
-    return (links.join(details, "key").join(ids, "detail_page_id")
+    # a page's key and id meet first: the links' many rows are joined once and not moved again
+    return (links.join(details.join(ids, "detail_page_id"), "key")
             .select("page_id", "rank", "href", "detail_page_id", "product_id"))
