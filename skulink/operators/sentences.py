@@ -52,13 +52,16 @@ def plain_type(w: Column) -> Column:
 
 def type_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``type, n_pointed, n_plain`` of every type with a letter, over all texts."""
-    w = docs.select(F.explode(words(text_col)).alias("w"))
-    w = w.select(pointed_type(F.col("w")).alias("pointed"), "w")
-    w = w.select((F.col("pointed") != "").alias("p"),
+    # words are counted and written first: a word's type is found once, not at each of its occurrences,
+    # where the optimiser would else move the test for a letter
+    w = cut(docs.select(F.explode(words(text_col)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")),
+            "words")
+    w = w.select(pointed_type(F.col("w")).alias("pointed"), "w", "n")
+    w = w.select((F.col("pointed") != "").alias("p"), "n",
                  F.when(F.col("pointed") != "", F.col("pointed")).otherwise(plain_type(F.col("w"))).alias("type"))
     return (w.where(F.col("type").rlike(r"\p{L}")).groupBy("type")
-            .agg(F.sum(F.col("p").cast("long")).alias("n_pointed"),
-                 F.sum((~F.col("p")).cast("long")).alias("n_plain")))
+            .agg(F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("n_pointed"),
+                 F.sum(F.when(F.col("p"), F.lit(0)).otherwise(F.col("n"))).alias("n_plain")))
 
 
 def pointed_types(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -87,7 +90,7 @@ def sentence_tokens(x, known) -> Column:
     """Tokens of a text; ``known``: array of the abbreviations that it holds."""
     def kept(ws: Column) -> Column:
         return F.transform(ws, lambda w, i: F.when(
-            (i < F.size(ws) - 1) & F.array_contains(known, pointed_type(w)),
+            w.contains(".") & (i < F.size(ws) - 1) & F.array_contains(known, pointed_type(w)),
             F.regexp_replace(w, POINTED_RE, "$1" + KEPT + "$2")).otherwise(w))
 
     s = F.array_join(let(words(x), kept), " ")
@@ -105,7 +108,9 @@ def tokenize_sentences(docs: DataFrame, id_col: str, text_col: str = "text", out
     """
     known, _ = bounded_broadcast(abbreviations(docs, text_col) if known is None else known.select("type"),
                                  max_broadcast_rows)
-    pointed = F.array_distinct(F.filter(F.transform(words(text_col), pointed_type), lambda t: t != ""))
+    # only words with a point can have such a type; equal ones are looked at once
+    dotted = F.array_distinct(F.filter(words(text_col), lambda w: w.contains(".")))
+    pointed = F.array_distinct(F.filter(F.transform(dotted, pointed_type), lambda t: t != ""))
     has = (docs.select(F.col(id_col).alias("_id"), F.explode(pointed).alias("type")).join(known, "type")
            .groupBy("_id").agg(F.collect_set("type").alias("_known")))
     none = F.array().cast("array<string>")

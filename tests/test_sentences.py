@@ -100,3 +100,12 @@ def test_empty_corpus(spark):
     assert sn.abbreviations(none).count() == 0
     assert [r["tokens"] for r in sn.tokenize_sentences(none, "id").orderBy("id").collect()] == [
         [], [], ["no", "points", "here"]]
+
+
+def test_types_are_found_once_per_word(spark):
+    docs = frame(spark, ["Dr. Who (u.s.) who, WHO."] * 3 + [None, "dr. dr 12."])
+    counts = sn.type_counts(docs)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" in plan and "Generate" not in plan      # words are read, not split again
+    assert {r["type"]: (r["n_pointed"], r["n_plain"]) for r in counts.collect()} == {
+        "dr": (4, 1), "who": (3, 6), "u.s": (3, 0)}
