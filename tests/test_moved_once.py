@@ -3,7 +3,9 @@
 import re
 
 from helpers import SF0001
-from skulink.plans.cascade import prepare_left
+from pyspark.sql import functions as F
+from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, meet, postings, right_sets
+from skulink.plans.cascade import match_none, prepare_left
 from skulink.sources import fixture as fx
 from skulink.sources import pages as pg
 
@@ -46,3 +48,37 @@ def test_links_are_joined_last(spark):
     assert joins == ["key", "detail_page_id"]
     got = sorted((r.page_id, r["rank"], r.detail_page_id, r.product_id) for r in out.collect())
     assert got == [(1, 1, 2, "B"), (1, 2, 2, "B"), (3, 1, 1, "A")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_rows_are_never_broadcast(spark):
+    words = ["a b x", "a b y", "b c z", "a c", "b", "x y z"]
+    cat = spark.createDataFrame([("V", i, w.split()) for i, w in enumerate(words)],
+                                "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(cat), right_sets(cat), JoinConfig(hot_limit=2))
+    rows = sc.left.withColumn("vendor", F.lit("V"))
+    both = [meet(postings(rows, "lkey", "nl", F.size("toks"), "rkey"),
+                 postings(sc.right, "rkey", "nr", F.size("toks"), "lkey"), lambda i, u: 2 * i >= u),
+            sc.hot_best(rows), sc.pairs_at_least(30), sc.pairs_in([50])]
+    for df in both:
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # every set finds itself
+    assert {r.lkey for r in sc.best().where("inter = uni").collect()} == {" ".join(sorted(w.split())) for w in words}
+
+
+def test_cascade_broadcasts_last_ordinals_only(spark):
+    cols = "pos long, vendor string, product_id string, product_name string, product_desc string"
+    left = spark.createDataFrame([(i, "L", f"p{i}", f"red mug {'abcdef'[i] * 3} handle", "d") for i in range(6)], cols)
+    right = spark.createDataFrame([(i, v, f"p{i}", f"red mug {'abcdef'[i] * 3} handle", "e") for i in range(6) for v in "VW"], cols)
+    m = match_none(left, right, band="direct")
+    plan = _plan(m)
+    assert len(re.findall(r"BroadcastExchange", plan)) <= 1 and "SortMergeJoin" in plan
+    # tables, not row files: a reader of ids takes no texts
+    ids = m.select("pos", "vendor", "match_pos")
+    assert "product_desc" not in "".join(re.findall(r"ReadSchema: \S+", _plan(ids)))
+    assert sorted((r.vendor, r.pos, r.match_pos) for r in ids.collect()) == [
+        (v, i, i) for v in "VW" for i in range(6)]
