@@ -5,6 +5,7 @@ import re
 from helpers import SF0001
 from pyspark.sql import functions as F
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, meet, postings, right_sets
+from skulink.plans import queries as q
 from skulink.plans.cascade import match_none, prepare_left
 from skulink.sources import fixture as fx
 from skulink.sources import pages as pg
@@ -82,3 +83,8 @@ def test_cascade_broadcasts_last_ordinals_only(spark):
     assert "product_desc" not in "".join(re.findall(r"ReadSchema: \S+", _plan(ids)))
     assert sorted((r.vendor, r.pos, r.match_pos) for r in ids.collect()) == [
         (v, i, i) for v in "VW" for i in range(6)]
+
+
+def test_pair_queries_write_names_only(spark):
+    L, R, _ = q._scorer(*q._names(spark, SF0001))
+    assert L.columns == R.columns == ["vendor", "pos", "product_name", "words"]
