@@ -65,6 +65,7 @@ PARTS = 3            # second-level parts; signatures leave one out
 BAND = 1.25          # ratio of a size band's ends
 CHUNK = 1_000_000    # shingles of the members that meet in one task, per side
 WORDS_KEPT = 200_000  # word hashes a worker remembers
+FILTER_BITS = 1 << 23  # of the filter that texts pass before they are moved (1 MB, whatever the input)
 
 C1, C2, C3 = (np.uint64(c) for c in
               (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -223,18 +224,33 @@ def profiled(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             .withColumn("node", node).join(nodes, "node", "left_semi"))
 
 
+def sifted(docs: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``docs`` whose ``uid`` may be one of ``wanted``: none of those is missing, few others stay.
+
+    A bitmap of the hashed row numbers, of a fixed size, is sent to the rows; an exact join follows.
+    """
+    bit = F.pmod(F.xxhash64("uid"), F.lit(bits))
+    marks = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("marks"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("marks", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (docs.withColumns({"bucket": F.bitmap_bucket_number(bit), "at": at})
+            .join(F.broadcast(marks), "bucket").where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0)
+            .select(*docs.columns))
+
+
 def shingle_sets(docs: DataFrame, size: int, profiles: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, key, n, s) of the sets in ``nodes``: one text per set is read again.
 
-    Only sets that must be compared exactly are asked for; where they are few, Spark sends
-    their row numbers to the texts instead of shuffling those.
+    Only sets that must be compared exactly are asked for, and only texts whose row number
+    may be among theirs are moved.
     """
     @F.pandas_udf("array<long>")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([shingles(raw, size).view(np.int64) for raw in texts])
 
     reps = cut(profiles.join(nodes, "node", "left_semi").select("uid", "node", "key"), "representatives")
-    out = cut(docs.select("uid", "raw").join(reps, "uid").select("node", "key", sets("raw").alias("s"))
+    out = cut(sifted(docs.select("uid", "raw"), reps).join(reps, "uid").select("node", "key", sets("raw").alias("s"))
               .select("node", "key", "s", F.size("s").alias("n")), "shingles")
     discard(reps)
     return out

@@ -347,3 +347,18 @@ def test_pipeline(spark, tmp_path):
     assert len(out & toxic) <= 0.1 * len(toxic)
     clean = {i for i, _, t in labels if not t}
     assert len(out & clean) >= 0.97 * len(clean)
+
+
+def test_texts_pass_a_filter_before_they_are_moved(spark):
+    docs = spark.range(2000).selectExpr("id + shiftleft(id % 3, 33) uid", "string(id) raw")
+    wanted = docs.where("raw % 50 = 0").select("uid")
+    for bits in (64, 1 << 15, ngramjoin.FILTER_BITS):
+        got = ngramjoin.sifted(docs, wanted, bits)
+        assert got.columns == docs.columns
+        assert got.join(wanted, "uid").count() == 40 and got.distinct().count() == got.count()
+    assert got.count() < 60                     # few others stay
+    assert ngramjoin.sifted(docs, wanted.limit(0)).count() == 0
+    profiles = docs.selectExpr("uid", "uid node", "unhex(hex(raw)) key")
+    sets = ngramjoin.shingle_sets(docs.selectExpr("uid", "cast(raw as binary) raw"), 3, profiles,
+                                  wanted.withColumnRenamed("uid", "node"))
+    assert sets.count() == 40
