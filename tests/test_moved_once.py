@@ -88,3 +88,15 @@ def test_cascade_broadcasts_last_ordinals_only(spark):
 def test_pair_queries_write_names_only(spark):
     L, R, _ = q._scorer(*q._names(spark, SF0001))
     assert L.columns == R.columns == ["vendor", "pos", "product_name", "words"]
+
+
+def test_joins_on_words_move_numbers(spark):
+    cat = spark.createDataFrame([("V", i, w.split()) for i, w in enumerate(["a b x", "b c z", "a c", "b c a"])],
+                                "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(cat), right_sets(cat), JoinConfig())
+    post = postings(sc.left, "lkey", "nl", F.size("toks"), "rkey")
+    kinds = dict(post.dtypes)
+    assert kinds["token"] == "bigint" and kinds["ids"] == "array<bigint>" and "toks" not in kinds
+    # one number per word, the same on both sides
+    pair = lambda sets: {(t, i) for r in sets.collect() for t, i in zip(r.toks, r.ids)}
+    assert pair(sc.left) == pair(sc.right) and len({i for _, i in pair(sc.left)}) == 5
