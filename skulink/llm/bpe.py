@@ -8,9 +8,10 @@ the number of smaller words it skips, so the sum along a path is the word's
 index and thereby its row of token ids.  The automaton is a few flat arrays
 in one block that each Python worker memory-maps; a batch's new pieces walk
 it all together, one byte per step.  Pieces that it doesn't know are merged
-exactly (lowest rank first, then leftmost; a heap keeps that n log n for
-pieces of any length).  The lexicon only saves work: its size (``LEXICON``
-pieces, a documented bound of what the driver holds) cannot change a result.
+exactly (lowest rank first, then leftmost): short ones together as rows of a
+matrix, long ones by a heap that keeps it n log n.  The lexicon only saves
+work: its size (``LEXICON`` pieces, a documented bound of what the driver
+holds) cannot change a result.
 
 Texts of ASCII and Latin-1 letters are split by one regular expression;
 chunks with any other character go through the tokenizer's own normaliser
@@ -34,10 +35,12 @@ import mmap
 import re
 import tempfile
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +52,10 @@ LEXICON = 120_000         # frequent pieces in the automaton
 LONGEST = 48              # bytes of the longest piece that may enter it
 COUNTER_ROWS = 100_000    # pieces a counting task holds before it writes them out
 CACHE_ROWS = 150_000   # pieces a worker remembers per generation (two generations)
-BLOCK_PIECES = 300_000  # pieces of texts encoded together
+BLOCK_PIECES = 100_000  # pieces of texts encoded together
+SHORT = 40             # bytes of the longest piece that is merged in a matrix
+MERGE_ROWS = 4096      # its rows
+BATCH_TEXTS = 256      # texts taken out of an Arrow batch at a time
 # white space as Unicode defines it; str.split() also splits at \x1c-\x1f
 SEPARATORS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 EXTRA = re.compile("[\x1c-\x1f]")
@@ -59,6 +65,12 @@ PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]
                          "|[^\t-\r a-z0-9\xdf-\xf6\xf8-\xff]+")
 
 
+# the characters that stand for bytes: printable ones for themselves, others from 256 on
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+BYTE_CHARS = [chr(b if b in _SHOWN else 256 + _HIDDEN.index(b)) for b in range(256)]
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path(TOKENIZER)
@@ -89,6 +101,20 @@ class WordBpe:
         self.split_chunks: dict[str, tuple[str, ...]] = {}
         self.special_re = re.compile("|".join(
             re.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        # the same as arrays: first ids by byte, merges sorted by their pair of ids
+        id_of = lambda t: self.vocab.get(t, -1)
+        self.inner = np.array([id_of(c) for c in BYTE_CHARS], np.int32)
+        self.final = np.array([id_of(c + self.suffix) for c in BYTE_CHARS], np.int32)
+        merges = np.array([(id_of(a), id_of(b), id_of(a + b), rank)
+                           for (a, b), rank in self.ranks.items()], np.int64).reshape(-1, 4)
+        merges = merges[(merges[:, :3] >= 0).all(axis=1)]
+        self.none = len(self.ranks)
+        self.merged = np.full(self.none + 1, -1, np.int32)
+        self.merged[merges[:, 3]] = merges[:, 2]
+        pair = merges[:, 0] << 32 | merges[:, 1]
+        order = np.argsort(pair)
+        self.pair = np.append(pair[order], np.iinfo(np.int64).max)
+        self.pair_rank = np.append(merges[order, 3], self.none).astype(np.int32)
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one pre-split piece: lowest rank first, leftmost on ties."""
@@ -140,6 +166,62 @@ class WordBpe:
                     heapq.heappush(heap, (ranks[p], before[i], p))
         return [self.vocab[p] for p in parts if p is not None]
 
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, ``none`` where there is no merge."""
+        pair = a.astype(np.int64) << 32 | b
+        at = np.searchsorted(self.pair, pair)
+        return np.where(self.pair[at] == pair, self.pair_rank[at], self.none)
+
+    def merge_all(self, pieces: list[str], raw: list[bytes]):
+        """:meth:`merge` of many pieces (``raw``: as bytes): parts of (places, numbers of ids, ids in a row)."""
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        order = np.argsort(size, kind="stable")           # rows of a matrix are about equally long
+        short = int(np.searchsorted(size[order], SHORT, "right"))
+        for k in range(0, short, MERGE_ROWS):
+            at = order[k:min(k + MERGE_ROWS, short)]
+            yield at, *self.merge_rows([raw[i] for i in at.tolist()], size[at])
+        for i in order[short:]:
+            ids = self.merge(pieces[i])
+            yield np.array([i]), np.array([len(ids)]), np.array(ids, np.int32)
+
+    def merge_rows(self, raw: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces as rows of a matrix of ids: each step merges every row's best pair."""
+        width = max(int(size.max()), 1)
+        text = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in raw]), np.uint8).reshape(-1, width)
+        column, row = np.arange(width), np.arange(len(raw))
+        ids = self.inner[text]
+        ids[row, size - 1] = self.final[text[row, size - 1]]
+        ids[column >= size[:, None]] = -1
+        # bytes that the vocabulary lacks are dropped before anything is merged
+        ids = np.take_along_axis(ids, np.argsort(ids < 0, axis=1, kind="stable"), axis=1)
+        size = (ids >= 0).sum(axis=1)
+        # a pair's rank stands at its left id; what has been merged away has none
+        rank = np.full((len(raw), width), self.none, np.int32)
+        pair = (ids[:, :-1] >= 0) & (ids[:, 1:] >= 0)
+        rank[:, :-1][pair] = self.rank_of(ids[:, :-1][pair], ids[:, 1:][pair])
+        after, before = np.tile(column + 1, (len(raw), 1)), np.tile(column - 1, (len(raw), 1))
+        while True:
+            i = rank[row].argmin(axis=1)                  # the leftmost of the lowest
+            best = rank[row, i]
+            more = best < self.none
+            row, i, best = row[more], i[more], best[more]
+            if not len(row):
+                break
+            j = after[row, i]
+            k = after[row, j]
+            ids[row, i], ids[row, j], rank[row, j], after[row, i] = self.merged[best], -1, self.none, k
+            rank[row, i] = self.none
+            has = k < size[row]
+            r, a, b = row[has], i[has], k[has]
+            before[r, b] = a
+            rank[r, a] = self.rank_of(ids[r, a], ids[r, b])
+            b = before[row, i]
+            has = b >= 0
+            r, a, b = row[has], i[has], b[has]
+            rank[r, b] = self.rank_of(ids[r, b], ids[r, a])
+        kept = ids >= 0
+        return kept.sum(axis=1), ids[kept]
+
     def chunk_pieces(self, chunk: str) -> tuple[str, ...]:
         """Pieces of a chunk without white space or special strings."""
         norm = self.normalizer.normalize_str(chunk)
@@ -281,70 +363,126 @@ class Lexicon:
         return self.flat[self.starts[index]:self.starts[index + 1]].tolist()
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start:start + size]`` one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Memory:
+    """Pieces numbered in the order they are met, and where their ids lie in one flat array."""
+
+    def __init__(self):
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__     # a new piece gets the next number
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+
+    def close(self) -> "Memory":
+        """No piece is added any more (and the numbers refer to themselves no longer)."""
+        self.number.default_factory = None
+        return self
+
+    def add(self, n: int, parts) -> None:
+        """Ids of the next ``n`` pieces: (places among them, sizes, ids in a row) per part."""
+        starts, sizes, flats, end = np.zeros(n, np.int64), np.zeros(n, np.int64), [self.flat], len(self.flat)
+        for at, size, flat in parts:
+            starts[at], sizes[at] = end + np.cumsum(size) - size, size
+            flats.append(flat.astype(np.int32))
+            end += len(flat)
+        self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, sizes)
+        self.flat = np.concatenate(flats)
+
+
 class Encoder:
     """One per Python worker: lexicon first, exact merge for the rest, a bounded memory.
 
-    Two tables give a piece's ids and tokens as text.  They are kept in two generations:
-    when the young one is full it becomes the old one, and what a block still needs moves
-    over, so pieces in use are never learnt twice in a row.
+    The memory is kept in two generations: when the young one is full it becomes the old
+    one, and what a block still needs moves over, so pieces in use are never learnt twice in a
+    row.  A piece is looked up once per occurrence; its ids are gathered by arrays.
     """
 
     def __init__(self, path: str, block: bytes):
         self.bpe, self.lexicon = WordBpe(path), Lexicon(block)
-        self.ids: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-        self.old: tuple[dict, dict] = ({}, {})
-        self.empty: set[str] = set()         # pieces without tokens
+        self.young, self.old = Memory(), Memory().close()
+        top = max(self.bpe.names, default=-1) + 1
+        self.digits = [b"%d" % i for i in range(top)]
+        self.tokens = [self.bpe.names.get(i, "").encode() for i in range(top)]
 
     @classmethod
     def of(cls, name: str, path: str, block) -> "Encoder":
         return held(name, lambda: cls(path, block.value))
 
     def learn(self, pieces: list[str]) -> None:
-        found = self.lexicon.find([p.encode("utf-8", "replace") for p in pieces])
-        special, names = self.bpe.special, self.bpe.names
-        for p, i in zip(pieces, found):
-            ids = (self.lexicon.ids(i) if i >= 0 else
-                   [special[p]] if p in special else self.bpe.merge(p))
-            if not ids:
-                self.empty.add(p)
-            self.ids[p] = " ".join(map(str, ids)).encode()
-            self.tokens[p] = " ".join([names[i] for i in ids]).encode()
+        old, lexicon, special = self.old, self.lexicon, self.bpe.special
+        seen = np.fromiter((old.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        at = np.flatnonzero(seen >= 0)
+        sizes = old.sizes[seen[at]]
+        parts = [(at, sizes, gather(old.flat, old.starts[seen[at]], sizes))]
+        at = np.flatnonzero(seen < 0)
+        raw = [pieces[i].encode("utf-8", "replace") for i in at]
+        found = lexicon.find(raw)
+        known, word = at[found >= 0], found[found >= 0]
+        starts = lexicon.starts[word].astype(np.int64)
+        sizes = lexicon.starts[word + 1] - starts
+        parts.append((known, sizes, gather(lexicon.flat, starts, sizes)))
+        rest = [(i, r) for i, r, f in zip(at.tolist(), raw, found.tolist()) if f < 0]
+        own = [(i, special[pieces[i]]) for i, _ in rest if pieces[i] in special]
+        parts.append((np.array([i for i, _ in own], np.int64), np.ones(len(own), np.int64),
+                      np.array([k for _, k in own], np.int32)))
+        rest = [(i, r) for i, r in rest if pieces[i] not in special]
+        place = np.array([i for i, _ in rest], np.int64)
+        parts += [(place[k], n, flat) for k, n, flat in self.bpe.merge_all(
+            [pieces[i] for i, _ in rest], [r for _, r in rest])]
+        self.young.add(len(pieces), parts)
 
     def encode_all(self, texts):
-        """(ids, tokens) as text of each text; new pieces of some texts are learnt together."""
-        block: list[list[str]] = []
-        size = 0
+        """The ids of each text; new pieces of some texts are learnt together."""
+        block: list[str] = []
+        ends: list[int] = []
         for t in texts:
-            block.append(self.bpe.pieces(t) if t else [])
-            size += len(block[-1])
-            if size > BLOCK_PIECES:
-                yield from self.encode_block(block)
-                block, size = [], 0
-        yield from self.encode_block(block)
-
-    def encode_block(self, block: list[list[str]]):
-        if len(self.ids) > CACHE_ROWS:
-            self.old, self.ids, self.tokens = (self.ids, self.tokens), {}, {}
-            self.empty &= self.old[0].keys()
-        new: set[str] = set()
-        for pieces in block:
-            new.update(pieces)
-        new.difference_update(self.ids)
+            if t:
+                block += self.bpe.pieces(t)
+            ends.append(len(block))
+            if len(block) > BLOCK_PIECES:
+                yield from self.encode_block(block, ends)
+                block, ends = [], []
+        yield from self.encode_block(block, ends)
+
+    def encode_block(self, pieces: list[str], ends: list[int]) -> list[np.ndarray]:
+        if len(self.young.number) > CACHE_ROWS:
+            self.old, self.young = self.young.close(), Memory()
+        number = self.young.number
+        known = len(number)
+        rows = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        new = list(islice(reversed(number), len(number) - known))[::-1]
         if new:
-            ids, tokens = self.old
-            for p in new & ids.keys():
-                self.ids[p], self.tokens[p] = ids[p], tokens[p]
-            self.learn([p for p in new if p not in ids])
-        for pieces in block:
-            if self.empty:
-                pieces = [p for p in pieces if p not in self.empty]
-            yield (b" ".join(map(self.ids.__getitem__, pieces)),
-                   b" ".join(map(self.tokens.__getitem__, pieces)))
+            self.learn(new)
+        sizes = self.young.sizes[rows]
+        flat = gather(self.young.flat, self.young.starts[rows], sizes)
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        at = [0, *total[np.array(ends, np.int64)].tolist()]
+        return [flat[a:b] for a, b in zip(at, at[1:])]
+
+    def texts(self, ids: np.ndarray) -> tuple[bytes, bytes]:
+        """Decimal ids joined by one space; the decoded text."""
+        ids = ids.tolist()
+        return (b" ".join(map(self.digits.__getitem__, ids)), b" ".join(map(self.tokens.__getitem__, ids)))
 
 
-def id_list(text: bytes) -> np.ndarray:
-    return np.fromstring(text.decode(), np.int32, sep=" ") if text else np.empty(0, np.int32)
+def strings(texts: pa.Array):
+    """Values of an Arrow column, BATCH_TEXTS turned into Python strings at a time."""
+    for k in range(0, len(texts), BATCH_TEXTS):
+        yield from texts.slice(k, BATCH_TEXTS).to_pylist()
+
+
+def list_array(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)])
+    if ends[-1] > np.iinfo(np.int32).max:
+        raise ValueError("a batch holds more token ids than an Arrow list can; lower "
+                         "spark.sql.execution.arrow.maxRecordsPerBatch")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+        np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32()))
 
 
 def piece_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -379,7 +517,13 @@ class Codec:
         # a top-k report: the bound is the operator's parameter
         counts = cut(piece_counts(docs, self.path, text_col).where(
             (F.octet_length("piece") <= LONGEST) & ~F.col("piece").isin(*bpe.special)), "bpe-counts")
-        entries = {p.encode(): bpe.merge(p) for p, _ in most_frequent(counts, "piece", lexicon)}
+        words = [p for p, _ in most_frequent(counts, "piece", lexicon)]
+        raw = [p.encode() for p in words]
+        entries = {}
+        for at, n, flat in bpe.merge_all(words, raw):
+            end = np.cumsum(n).tolist()
+            flat = flat.tolist()
+            entries.update((raw[i], flat[a:b]) for i, a, b in zip(at.tolist(), [0, *end], end))
         self.name = uuid.uuid4().hex
         self.block = docs.sparkSession.sparkContext.broadcast(compile_lexicon(entries))
 
@@ -387,10 +531,9 @@ class Codec:
         """Column function: text -> array of token ids."""
         name, path, block = self.name, self.path, self.block
 
-        @F.pandas_udf("array<int>")
-        def ids(texts: pd.Series) -> pd.Series:
-            enc = Encoder.of(name, path, block)
-            return pd.Series([id_list(ids) for ids, _ in enc.encode_all(texts)])
+        @F.arrow_udf("array<int>")
+        def ids(texts: pa.Array) -> pa.Array:
+            return list_array(list(Encoder.of(name, path, block).encode_all(strings(texts))))
         return ids
 
     def decode(self):
@@ -412,18 +555,23 @@ class Codec:
         """
         name, path, block = self.name, self.path, self.block
 
-        def digests(texts: pd.Series) -> pd.DataFrame:
+        def digests(texts: pa.Array) -> pa.Array:
             enc = Encoder.of(name, path, block)
-            out = []
-            for ids, tokens in enc.encode_all(texts):
-                row = (ids.count(b" ") + 1 if ids else 0, hashlib.sha256(ids).hexdigest(),
-                       hashlib.sha256(tokens).hexdigest())
-                out.append((*row, id_list(ids)) if with_ids else row)
+            n, sha, decoded, kept = [], [], [], []
+            for ids in enc.encode_all(strings(texts)):
+                n.append(len(ids))
+                for out, text in zip((sha, decoded), enc.texts(ids)):
+                    out.append(hashlib.sha256(text).hexdigest())
+                if with_ids:
+                    kept.append(ids)
+            columns = [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(decoded, pa.string())]
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
-            return pd.DataFrame(out, columns=names if with_ids else names[:3])
+            if with_ids:
+                columns.append(list_array(kept))
+            return pa.StructArray.from_arrays(columns, names=names[:len(columns)])
 
         kind = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-        return F.pandas_udf(digests, kind + (", ids array<int>" if with_ids else ""))
+        return F.arrow_udf(digests, kind + (", ids array<int>" if with_ids else ""))
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -204,6 +205,35 @@ def test_lexicon_shares_suffixes():
     assert list(bpe.Lexicon(bpe.compile_lexicon({})).find([b"a"])) == [-1]
 
 
+def test_pieces_are_merged_together_as_one_by_one():
+    r = random.Random(5)
+    words = {"".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(1, 60))) for _ in range(5000)}
+    words |= {w for t in odd_texts() for w in bpe.WordBpe(bpe.default_path()).pieces(t)}
+    enc = bpe.Encoder(bpe.default_path(), bpe.compile_lexicon({}))
+    words = [w for w in sorted(words) if w not in enc.bpe.special]
+    for w, ids in zip(words, enc.encode_all(words)):
+        if enc.bpe.pieces(w) == [w]:
+            assert ids.tolist() == enc.bpe.merge(w), w
+    assert list(enc.bpe.merge_all([], [])) == []
+
+
+def test_a_remembered_piece_takes_little_memory(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ROWS", 30_000)
+    r = random.Random(6)
+    texts = [" ".join("".join(r.choice("etaoinshrdlu") for _ in range(9)) for _ in range(100)) for _ in range(250)]
+    enc = bpe.Encoder(bpe.default_path(), bpe.compile_lexicon({}))
+    first = [x.tobytes() for x in enc.encode_all(texts[:50])]
+    tracemalloc.start()
+    for x in enc.encode_all(texts):
+        del x
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert used < 20_000 * 210          # 247 bytes a piece with ids and tokens kept as text
+    for _ in range(3):                  # generations change, ids stay
+        again = [x.tobytes() for x in enc.encode_all(texts)]
+    assert again[:50] == first
+
+
 def test_token_counts_equal_the_library(spark, sf_rows):
     from tokenizers import Tokenizer, models, pre_tokenizers
     uni = Tokenizer(models.Unigram(tokcount.vocabulary(tokcount.default_path()), 0, False))
