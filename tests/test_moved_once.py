@@ -5,6 +5,7 @@ import re
 from helpers import SF0001
 from pyspark.sql import functions as F
 from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, meet, postings, right_sets
+from skulink.plans import cascade
 from skulink.plans import queries as q
 from skulink.plans.cascade import match_none, prepare_left
 from skulink.sources import fixture as fx
@@ -100,3 +101,26 @@ def test_joins_on_words_move_numbers(spark):
     # one number per word, the same on both sides
     pair = lambda sets: {(t, i) for r in sets.collect() for t, i in zip(r.toks, r.ids)}
     assert pair(sc.left) == pair(sc.right) and len({i for _, i in pair(sc.left)}) == 5
+
+
+def test_right_texts_are_written_for_a_band_only(spark, monkeypatch):
+    written = {}
+    real = cascade.cut
+    monkeypatch.setattr(cascade, "cut", lambda df, name="table", **kw: (
+        written.update({name: set(df.columns)}), real(df, name, **kw))[1])
+    cols = "vendor string, pos long, product_id string, product_name string, product_desc string"
+    left = spark.createDataFrame([("B", 0, "a", "red box", "x")], cols)
+    right = spark.createDataFrame([("V", 1, "b", "red box", "y"), ("V", 3, "c", None, None)], cols)
+    for band, texts in (("off", set()), ("direct", {"product_name", "product_desc"})):
+        rows = match_none(left, right, band=band).collect()
+        assert [(r.match_pos, r.match_k, r.score) for r in rows] == [(1, 80, 1.0)]
+        assert written["right"] == {"vendor", "pos", "words"} | texts
+
+
+def test_names_take_their_words_from_the_documents_once(spark):
+    sides = fx.fixture_sides(spark, SF0001, 2)
+    plain = fx.fixture_left(spark, SF0001), fx.fixture_right(spark, SF0001, 2)
+    for side, old in zip(sides, plain):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert "split(" not in plan and "n_text" not in plan
+        assert sorted(map(str, side.collect())) == sorted(map(str, old.collect()))
