@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import model
 from helpers import SF0001, catalogue
+from skulink.operators.candidates import SetScorer
 from skulink.plans import cascade as cz
 from skulink.plans.exclusion import match_excluding
 from skulink.session import cut
@@ -165,3 +166,20 @@ def test_duplicate_right_rows_leave_together(spark, policy):
     got = _spark_result(match_excluding(left, right, policy, grid=grid, band="direct"))
     want = model.run(_rows(left), _rows(right), step=10, mode="direct", policy=policy)
     _same(got, want)
+
+
+def test_lost_best_rows_are_scored_again_in_their_round_only(spark, monkeypatch):
+    # left 4 loses its best row in round 33 and its second best in round 28, but its own round is 12
+    left = catalogue(spark, [(0, "a aone atwo"), (2, "b bone btwo"), (4, "a b yone ytwo")], vendor="Base")
+    right = catalogue(spark, [(1, "a aone p q r"), (3, "b bone s t u v"), (5, "yone f g h i j k"), (7, "zzz")])
+    asked, real = [], SetScorer.rescored
+
+    def rescored(self, rows):
+        asked.extend(r.lkey for r in rows.collect())
+        return real(self, rows)
+
+    monkeypatch.setattr(SetScorer, "rescored", rescored)
+    got = _spark_result(match_excluding(left, right, "matched", band="off"))
+    _same(got, model.run(_rows(left), _rows(right), mode="off", policy="matched"))
+    assert [got[p][:2] for p in (0, 2, 4)] == [(33, 1), (28, 3), (10, 5)]
+    assert asked == ["a b yone ytwo"]
