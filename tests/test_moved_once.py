@@ -4,7 +4,7 @@ import re
 
 from helpers import SF0001
 from pyspark.sql import functions as F
-from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, meet, postings, right_sets
+from skulink.operators.candidates import JoinConfig, SetScorer, left_sets, meet, most_shared, postings, right_sets
 from skulink.plans import cascade
 from skulink.plans import queries as q
 from skulink.plans.cascade import match_none, prepare_left
@@ -124,3 +124,45 @@ def test_names_take_their_words_from_the_documents_once(spark):
         plan = side._jdf.queryExecution().optimizedPlan().toString()
         assert "split(" not in plan and "n_text" not in plan
         assert sorted(map(str, side.collect())) == sorted(map(str, old.collect()))
+
+
+def test_joins_test_pairs_in_compiled_conditions(spark):
+    # a lambda in a join condition is run uncompiled, for every candidate
+    words = ["a b x", "a b y", "b c z", "a c", "b", "x y z"]
+    cat = spark.createDataFrame([("V", i, w.split()) for i, w in enumerate(words)],
+                                "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(cat), right_sets(cat), JoinConfig(hot_limit=2))
+    for df in (sc.pairs_at_least(30), sc.pairs_in([50]), sc.rest_pairs(
+            sc.left.withColumns({"vendor": F.lit("V"), "inter0": F.lit(1), "uni0": F.lit(9)}))):
+        joins = [x for x in _plan(df).splitlines() if "SortMergeJoin" in x]
+        assert joins and not any("lambda" in x for x in joins)
+
+
+def test_bits_bound_the_shared_words(spark):
+    sets = [list(range(i, i + 1 + i % 9)) + [64 * i, 1 << 40] for i in range(40)]
+    cat = spark.createDataFrame([("V", i, [f"w{x}" for x in s]) for i, s in enumerate(sets)],
+                                "vendor string, pos long, words array<string>")
+    sc = SetScorer(left_sets(cat), right_sets(cat), JoinConfig())
+    rows = [(set(r.toks), r.sig) for r in sc.left.collect()]
+    seen = sc.left.select("toks", "sig").crossJoin(sc.right.select(F.col("toks").alias("r"), F.col("sig").alias("rsig")))
+    got = seen.select(most_shared(F.size("toks"), F.col("sig"), F.col("rsig")).alias("most"),
+                      F.size(F.array_intersect("toks", "r")).alias("both"), F.size("toks").alias("n")).collect()
+    assert len(got) == len(rows) ** 2 and all(r.both <= r.most <= r.n for r in got)
+    # sets with one word in common are told from equal ones
+    assert sum(r.most < r.n for r in got) > len(got) / 2
+
+
+def test_catalogues_of_several_vendors_take_their_words_once(spark, monkeypatch):
+    names, real = [], fx.fixture_names
+    monkeypatch.setattr(fx, "fixture_names", lambda *a: (names.append(a), real(*a))[1])
+    for query in (q.q_multi_vendor, lambda *a: q._names(*a)):
+        query(spark, SF0001)
+        assert len(names) == 1
+        names.clear()
+
+
+def test_a_resumed_run_scores_words_once(spark, monkeypatch):
+    made, real = [], SetScorer.__init__
+    monkeypatch.setattr(SetScorer, "__init__", lambda self, *a, **kw: (made.append(1), real(self, *a, **kw))[1])
+    assert q.q_resume_skip(spark, SF0001).columns == ["vendor", "left_pos", "threshold", "right_product_id", "score"]
+    assert len(made) == 1
