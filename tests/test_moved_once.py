@@ -134,8 +134,11 @@ def test_joins_test_pairs_in_compiled_conditions(spark):
     sc = SetScorer(left_sets(cat), right_sets(cat), JoinConfig(hot_limit=2))
     for df in (sc.pairs_at_least(30), sc.pairs_in([50]), sc.rest_pairs(
             sc.left.withColumns({"vendor": F.lit("V"), "inter0": F.lit(1), "uni0": F.lit(9)}))):
-        joins = [x for x in _plan(df).splitlines() if "SortMergeJoin" in x]
+        plan = _plan(df)
+        joins = [x for x in plan.splitlines() if "SortMergeJoin" in x]
         assert joins and not any("lambda" in x for x in joins)
+        # words are compared once a pair, not at every use of their number
+        assert len(re.findall(r"array_intersect\(", plan)) == len(joins)
 
 
 def test_bits_bound_the_shared_words(spark):
