@@ -183,3 +183,12 @@ def test_lost_best_rows_are_scored_again_in_their_round_only(spark, monkeypatch)
     _same(got, model.run(_rows(left), _rows(right), mode="off", policy="matched"))
     assert [got[p][:2] for p in (0, 2, 4)] == [(33, 1), (28, 3), (10, 5)]
     assert asked == ["a b yone ytwo"]
+
+
+def test_rows_of_a_repeated_ordinal_come_out_once_a_round_waited(spark):
+    left = catalogue(spark, [(0, "a aone atwo"), (2, "b bone btwo"), (4, "yone ytwo")], vendor="Base")
+    right = catalogue(spark, [(1, "a aone p q r"), (3, "b bone s t u v"), (5, "yone f g h i j k"),
+                              (5, "yone f g h i j k")])
+    m = match_excluding(left, right, "matched", band="off")
+    got = {(r.pos, r.match_k, r.match_pos): r["count"] for r in m.groupBy("pos", "match_k", "match_pos").count().collect()}
+    assert got == {(0, 33, 1): 1, (2, 28, 3): 1, (4, 12, 5): 8}
